@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash, tokenfiles
+from . import decontaminate, licenses, packing, simhash, tokenfiles, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(*tokenfiles.write(_table(spark, sf_dir, "documents")))
 
@@ -27,8 +31,26 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+_ALL = (
+    op1_simhash_near_dedup,
+    op2_benchmark_decontamination,
+    op3_token_files,
+    op4_best_fit_packing,
+    op5_warc_archive,
+    op6_license_scan,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op3_token_files, op4_best_fit_packing)}
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
