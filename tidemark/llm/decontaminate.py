@@ -15,8 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import grams
 
@@ -126,35 +128,57 @@ def contaminated(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = RA
     blocks of at most ``block`` characters (one item at least), each sent to
     all tasks, whatever the benchmark's size.
     """
-    spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    known = items.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    size = known.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks, out = max(1, -(-size // block)), None
-    for b in range(blocks):
-        own = known if blocks == 1 else known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        shared = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])
+    out = None
+    for shared in _blocks(items, block):
 
         def search(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             searcher = Searcher(shared.value, q, rate)
+            lengths = {i: len(p) for i, p in zip(searcher.ids, searcher.items)}
             for f in frames:
-                rows, ids, batch, size = [], f["doc_id"].to_numpy(), [], 0
-                lengths = {i: len(p) for i, p in zip(searcher.ids, searcher.items)}
-
-                def flush(first: int) -> None:
-                    rows.extend((ids[first + d], i, e, 1 - e / lengths[i], a, z) for d, i, e, a, z in searcher.find(batch))
-
-                first = 0
-                for n, t in enumerate(f["text"]):
-                    batch.append(normal(t))
-                    size += len(batch[-1])
-                    if size > CHUNK:
-                        flush(first)
-                        batch, size, first = [], 0, n + 1
-                if batch:
-                    flush(first)
+                ids = f["doc_id"].to_numpy()
+                rows = [(ids[d], i, e, 1 - e / lengths[i], a, z) for d, i, e, a, z in _copies(searcher, f["text"])]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "similarity", "span_start", "span_end"])
 
         found = slim.mapInPandas(search, f"doc_id string, {SCHEMA}")
         out = found if out is None else out.unionByName(found)
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def _blocks(items: DataFrame, block: int) -> list[Broadcast]:
+    """The items, in blocks of about ``block`` characters."""
+    known = items.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    size = known.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // block))
+    parts = [known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else known for b in range(blocks)]
+    return [items.sparkSession.sparkContext.broadcast([tuple(r) for r in p.collect()]) for p in parts]
+
+
+def _copies(searcher: Searcher, texts: pd.Series) -> Iterator[tuple[int, int, int, int, int]]:
+    """:meth:`Searcher.find` over many texts, some at a time."""
+    batch, size, first = [], 0, 0
+    for n, t in enumerate([*texts, None]):
+        if size > CHUNK or n == len(texts):
+            yield from ((first + d, *r) for d, *r in searcher.find(batch))
+            batch, size, first = [], 0, n
+        batch.append(normal(t))
+        size += len(batch[-1])
+
+
+def clean(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = RATE, block: int = ITEMS) -> DataFrame:
+    """The rows of ``docs`` that hold no copy of an item, all columns as they are; see :func:`contaminated`."""
+    for shared in _blocks(items, block):
+        docs = docs.where(_free(shared, q, rate)(F.col("text")))
+    return docs
+
+
+def _free(shared: Broadcast, q: int, rate: float):
+    @F.pandas_udf(T.BooleanType())
+    def free(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        searcher = Searcher(shared.value, q, rate)
+        for s in texts:
+            out = np.ones(len(s), bool)
+            out[[d for d, *_ in _copies(searcher, s)]] = False
+            yield pd.Series(out)
+
+    return free

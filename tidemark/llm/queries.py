@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, packing, simhash, tokenfiles, warc
+from . import decontaminate, htmltext, licenses, linededup, orderminhash, packing, quality, simhash, tokenfiles, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,22 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderminhash.fingerprint(_table(spark, sf_dir, "documents"))
+
+
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(_table(spark, sf_dir, "pages"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 _ALL = (
     op1_simhash_near_dedup,
     op2_benchmark_decontamination,
@@ -46,6 +62,10 @@ _ALL = (
     op4_best_fit_packing,
     op5_warc_archive,
     op6_license_scan,
+    op7_line_dedup,
+    op8_order_minhash,
+    op9_html_main_text,
+    op10_quality_classifier,
 )
 
 
@@ -54,4 +74,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_line_dedup": linededup.SQL}

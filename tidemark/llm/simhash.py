@@ -202,3 +202,13 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, sample: int = SAMPLE,
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return own.join(named, "fp").select("doc_id", hexed("fp").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` whose doc_id names their component, all columns as they are.
+
+    Repeated rows of that doc_id stay; rows with a null doc_id go unless their
+    whole component has none.
+    """
+    kept = near_duplicates(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
