@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import detections, ruleset
+
 Query = Callable[[SparkSession, str], DataFrame]
+_ALL = detections.QUERIES | ruleset.QUERIES
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {name: q for name, (q, _) in _ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in _ALL.items() if sql}
