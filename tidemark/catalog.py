@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import detections, reports, ruleset, warehouse
+from .plans import detections, reports, ruleset, scans, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
-_ALL = detections.QUERIES | ruleset.QUERIES | warehouse.QUERIES | reports.QUERIES
+_ALL = detections.QUERIES | ruleset.QUERIES | warehouse.QUERIES | reports.QUERIES | scans.QUERIES
 
 
 def queries() -> dict[str, Query]:
