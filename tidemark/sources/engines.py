@@ -82,7 +82,7 @@ def detections(events: DataFrame, index: DataFrame, classtypes: DataFrame) -> Da
     )
     joined = own.join(index, "sid", "left").join(classtypes, "sid", "left")
     source = F.when(F.col("source").isNull(), F.raise_error(F.concat(F.lit("no source has sid "), F.col("sid").cast("string"))).cast("string")).otherwise(F.col("source"))
-    return joined.withColumns({"source": source, "tier": F.lit(2)}).where("source_class <> 'identify'").drop("source_class")
+    return joined.withColumns({"source": source, "tier": F.lit(2)}).where(~F.col("source_class").eqNullSafe("identify")).drop("source_class")
 
 
 def alert_counts(events: DataFrame, index: DataFrame) -> DataFrame:
