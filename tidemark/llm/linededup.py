@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import store
+
 #: Sites on which a line is boilerplate; lines of ``LONG`` words or more need ``LONG_SITES``.
 SITES, LONG, LONG_SITES = 5, 50, 3
 #: Body keys per document of a line, at least.
@@ -26,48 +28,69 @@ LG_K, MARGIN = 11, 0.15
 
 def lines(text: Column) -> Column:
     """The trimmed, non-empty lines of a text."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def body_key(line: Column) -> Column:
+    """60 bits of a line's MD5, as a number."""
+    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
 def key(line: Column) -> Column:
-    return F.md5(line.cast("binary"))
+    """124 bits, as two numbers: fixed-width groups need no sort."""
+    return F.struct(body_key(line).alias("k1"), F.xxhash64(line).alias("k2"))
+
+
+KEY = ["k1", "k2"]
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """A row per document and distinct line: key, words, doc_id, source, body."""
+    """A row per document and distinct line: k1, k2, words, doc_id, source, body."""
     own = docs.select("doc_id", "source", F.array_distinct(lines(F.col("text"))).alias("lines")).where(F.size("lines") > 0)
-    keyed = own.select("doc_id", "source", F.transform("lines", lambda x: F.struct(key(x).alias("key"), F.size(F.split(x, " ")).alias("words"))).alias("lines"))
-    body = F.array_min(F.transform("lines", lambda x: x["key"]))
+    keyed = own.select("doc_id", "source", F.transform("lines", lambda x: F.struct(body_key(x).alias("k1"), F.xxhash64(x).alias("k2"), F.size(F.split(x, " ")).alias("words"))).alias("lines"))
+    body = F.array_min(F.transform("lines", lambda x: x["k1"]))
     return keyed.select("doc_id", "source", body.alias("body"), F.explode("lines").alias("line")).select("line.*", "doc_id", "source", "body")
 
 
-def boilerplate(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites: int = LONG_SITES, bodies: float = BODIES) -> DataFrame:
-    """``docs(doc_id, text, source)`` -> ``key, keeper``: boilerplate lines and the document that keeps each.
+def removals(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites: int = LONG_SITES, bodies: float = BODIES) -> DataFrame:
+    """``docs(doc_id, text, source)`` -> ``k1, k2, doc_id``: the boilerplate lines that a document loses.
 
     A null source is no site; lines are compared trimmed of spaces.
     """
-    seen = _occurrences(docs)
+    seen = store.table(_occurrences(docs), "lines")
     # A line needs as many documents as sites, and different bodies: most lines go here, before any sketch is made.
     least = min(sites, long_sites)
-    often = seen.groupBy("key").agg(F.count("*").alias("documents"), F.min("doc_id").alias("keeper"), F.first("words").alias("words"), F.min("body").alias("b0"), F.max("body").alias("b1"))
+    often = seen.groupBy(*KEY).agg(F.count("*").alias("documents"), F.min("doc_id").alias("keeper"), F.max("words").alias("words"), F.min("body").alias("b0"), F.max("body").alias("b1"))
     often = often.where((F.col("documents") >= least) & (F.col("b0") != F.col("b1"))).drop("b0", "b1")
-    rows = seen.drop("words").join(often, "key")
-    spread = rows.groupBy("key").agg(
-        F.first("documents").alias("documents"), F.first("keeper").alias("keeper"), F.first("words").alias("words"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("source", LG_K)).alias("sites"), F.hll_sketch_estimate(F.hll_sketch_agg("body", LG_K)).alias("bodies"),
-    )
-    need = F.when(F.col("words") >= long, long_sites).otherwise(sites)
-    wanted = F.col("documents") * bodies
-    spread = spread.withColumns({"need": need, "wanted": wanted})
+    rows = store.table(seen.drop("words").join(often, KEY), "repeated")
+    spread = rows.groupBy(*KEY, "documents", "keeper", "words").agg(
+        F.hll_sketch_estimate(F.hll_sketch_agg("source", LG_K)).alias("sites"), F.hll_sketch_estimate(F.hll_sketch_agg("body", LG_K)).alias("bodies")
+    )
+    spread = spread.withColumns({"need": F.when(F.col("words") >= long, long_sites).otherwise(sites), "wanted": F.col("documents") * bodies})
     unlikely = (F.col("sites") < F.col("need") * (1 - MARGIN)) | (F.col("bodies") < F.col("wanted") * (1 - MARGIN))
     certain = (F.col("sites") > F.col("need") * (1 + MARGIN)) & (F.col("bodies") > F.col("wanted") * (1 + MARGIN))
-    spread = spread.where(~unlikely).withColumn("certain", certain)
-    near = spread.where(~F.col("certain")).select("key", "need", "wanted", "keeper")
+    spread = store.table(spread.where(~unlikely).withColumn("certain", certain), "spread")
+    near = spread.where("not certain").select(*KEY, "need", "wanted")
     # Distinct pairs first: a line that is on every page of a hot site is one row here.
-    exact_sites = rows.join(near.select("key"), "key", "left_semi").select("key", "source").where("source is not null").distinct().groupBy("key").agg(F.count("*").alias("exact_sites"))
-    exact_bodies = rows.join(near.select("key"), "key", "left_semi").select("key", "body").distinct().groupBy("key").agg(F.count("*").alias("exact_bodies"))
-    counted = near.join(exact_sites, "key").join(exact_bodies, "key").where("exact_sites >= need and exact_bodies >= wanted")
-    return spread.where("certain").select("key", "keeper").unionByName(counted.select("key", "keeper"))
+    asked = rows.join(near.select(*KEY), KEY, "left_semi")
+    exact_sites = asked.select(*KEY, "source").where("source is not null").distinct().groupBy(*KEY).agg(F.count("*").alias("exact_sites"))
+    exact_bodies = asked.select(*KEY, "body").distinct().groupBy(*KEY).agg(F.count("*").alias("exact_bodies"))
+    counted = near.join(exact_sites, KEY).join(exact_bodies, KEY).where("exact_sites >= need and exact_bodies >= wanted")
+    bad = spread.where("certain").select(*KEY).unionByName(counted.select(*KEY))
+    return rows.join(bad, KEY).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select(*KEY, "doc_id")
+
+
+def _stripped(docs: DataFrame, sites: int, long: int, long_sites: int, bodies: float) -> DataFrame:
+    """``docs`` with ``text`` changed and ``__removed``, the number of lines that went."""
+    hit = removals(docs, sites, long, long_sites, bodies)
+    # A document's own lines bound this list.
+    per_doc = hit.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set(F.struct(*KEY)).alias("__bad"))
+    joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__doc"]), "left")
+    raw = F.split("text", "\n")
+    kept = F.filter(raw, lambda x: ~F.array_contains("__bad", key(F.trim(x))))
+    text = F.when(F.col("__bad").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    removed = F.when(F.col("__bad").isNull(), 0).otherwise(F.size(raw) - F.size(kept)).cast("long")
+    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], removed.alias("__removed"))
 
 
 def dedup(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites: int = LONG_SITES, bodies: float = BODIES) -> DataFrame:
@@ -75,28 +98,17 @@ def dedup(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites: int
 
     A document keeps its row even if no line is left.  A null text stays null
     and an empty one empty; rows that share a doc_id are one document; a null
-    doc_id is never a keeper unless no other document has the line, so such
-    rows lose boilerplate.  Other columns pass unchanged.
+    doc_id is a keeper only if no other document has the line.  Other columns
+    pass unchanged, but for one that is called ``lines_removed``.
     """
-    bad = boilerplate(docs, sites, long, long_sites, bodies)
-    hit = _occurrences(docs).select("key", "doc_id").join(bad, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    # A document's own lines bound this list.
-    per_doc = hit.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("key").alias("__bad"))
-    joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__doc"]), "left")
-    raw = F.split("text", "\n")
-    kept = F.filter(raw, lambda x: ~F.array_contains("__bad", key(F.trim(x))))
-    return joined.select(
-        *[c for c in docs.columns if c != "text"],
-        F.when(F.col("__bad").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.when(F.col("__bad").isNull(), 0).otherwise(F.size(raw) - F.size(kept)).cast("long").alias("lines_removed"),
-    )
+    return _stripped(docs, sites, long, long_sites, bodies).drop("lines_removed").withColumnRenamed("__removed", "lines_removed")
 
 
 def keep(docs: DataFrame) -> DataFrame:
     """``docs`` after :func:`dedup`, with the columns it had; a document of which only boilerplate was there goes."""
-    left = dedup(docs).where((F.col("lines_removed") == 0) | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
+    left = _stripped(docs, SITES, LONG, LONG_SITES, BODIES).where((F.col("__removed") == 0) | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("lines_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        left = left.withColumn("n_chars", F.when(F.col("__removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return left.select(docs.columns)
 
 
@@ -106,7 +118,7 @@ WITH own AS (
   SELECT doc_id, source, list_distinct(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')) AS ls
   FROM documents
 ), seen AS (
-  SELECT doc_id, source, list_min(list_transform(ls, lambda x: md5(x))) AS body, unnest(ls) AS line FROM own
+  SELECT doc_id, source, list_min(list_transform(ls, lambda x: CAST('0x' || substr(md5(x), 1, 15) AS bigint))) AS body, unnest(ls) AS line FROM own
 ), bad AS (
   SELECT line, min(doc_id) AS keeper FROM seen GROUP BY line
   HAVING count(DISTINCT source) >= CASE WHEN len(string_split(line, ' ')) >= {LONG} THEN {LONG_SITES} ELSE {SITES} END
