@@ -33,8 +33,8 @@ WORDS = 4
 RADIUS = 4
 #: Fingerprints on which the tree is fitted, at most.
 SAMPLE = 20_000
-#: Fingerprints of a shard that are wanted, and of one block of a large shard.
-SHARD = 8_192
+#: Fingerprints of a shard that are wanted, and of a block into which a larger shard or its visitors are cut.
+SHARD, BLOCK = 65_536, 32_768
 _VOTES = 1 << 16
 
 
@@ -137,8 +137,9 @@ def join_within(home: np.ndarray, asked: np.ndarray, radius: int) -> tuple[np.nd
     """Edges that connect what pairs within ``radius`` connect, at most one for each point."""
     both = np.unique(np.concatenate([home, asked]))
     label, at_home, at_asked = np.arange(len(both)), np.searchsorted(both, home), np.searchsorted(both, asked)
-    for i in range(0, len(asked), 64):
-        q, h = np.nonzero(np.bitwise_count(asked[i : i + 64, None] ^ home[None, :]) <= radius)
+    rows = max(1, (1 << 19) // max(1, len(home)))
+    for i in range(0, len(asked), rows):
+        q, h = np.nonzero(np.bitwise_count(asked[i : i + rows, None] ^ home[None, :]) <= radius)
         a, b = at_asked[i + q], at_home[h]
         keep = a != b
         a, b = a[keep], b[keep]
@@ -171,7 +172,7 @@ def links(fps: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, shard: int
     routed = store.table(fps.mapInPandas(spread, "fp bigint, shard int, visitor boolean"), "routed")
     # One row a shard, and the tree has no more shards than its sample has points.
     sizes = {r["shard"]: (r["h"], r["n"]) for r in routed.groupBy("shard").agg(F.count_if(~F.col("visitor")).alias("h"), F.count("*").alias("n")).collect()}
-    cut = [(s, -(-h // shard), -(-n // (8 * shard))) for s, (h, n) in sizes.items() if h and n > 1]
+    cut = [(s, -(-h // BLOCK), -(-n // BLOCK)) for s, (h, n) in sizes.items() if h and n > 1]
     blocks = F.broadcast(spark.createDataFrame(cut, "shard int, by_home int, by_asked int"))
     dealt = routed.join(blocks, "shard").withColumns({"x": F.pmod(F.xxhash64("fp"), F.col("by_home")), "y": F.pmod(F.xxhash64("fp", F.lit(1)), F.col("by_asked"))})
     grid = lambda a, b: F.sequence(a, b - 1)
