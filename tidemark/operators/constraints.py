@@ -40,3 +40,24 @@ def source_entries(df: DataFrame) -> DataFrame:
     """Entries of labels: known tier, a threat and a licence, a device's entries with a ruleset."""
     blank = lambda n: F.coalesce(F.col(n), F.lit("")) == ""
     return violations(df, {"tier is unknown": ~F.coalesce(F.col("tier").isin(1, 2), F.lit(False)), "no threat": blank("threat"), "no licence": blank("licence"), "source may not label": F.col("source_class") == "identify"}, "did")
+
+
+def stamps(df: DataFrame, *names: str) -> DataFrame:
+    """``name, value``: stamps that aren't written in the one format; null is allowed."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names]))
+    return df.select(each.alias("s")).select("s.*").where(~F.col("value").rlike(STAMP))
+
+
+def identifiers(df: DataFrame, name: str) -> DataFrame:
+    """Values of a content address that aren't 16 hexadecimal digits."""
+    return df.select(name).where(~F.coalesce(F.col(name).rlike(ID), F.lit(False)))
+
+
+def placement(df: DataFrame) -> DataFrame:
+    """Placed detections with both or neither of a flow and a reason."""
+    return violations(df, {"both a flow and a reason": F.col("uid").isNotNull() & F.col("reason").isNotNull(), "neither a flow nor a reason": F.col("uid").isNull() & F.col("reason").isNull()}, "did")
+
+
+def skew(device_us: Column, here_us: Column, seconds: int = 30) -> Column:
+    """Whether two clocks are too far apart to place one's events by the other."""
+    return F.abs(device_us - here_us) > seconds * 1_000_000

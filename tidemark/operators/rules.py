@@ -173,3 +173,30 @@ def content_id_of(files: dict[str, bytes]) -> str:
     for path, content in sorted(files.items()):
         h.update(path.encode() + b"\0" + struct.pack(">Q", len(content)) + content)
     return h.hexdigest()[:16]
+
+
+def dataset_files(lines: DataFrame) -> DataFrame:
+    """``source, file``: data files that rules load."""
+    found = F.regexp_extract_all("text", F.lit(r"\bdataset\s*:[^;]*?\bload\s+([^\s,;]+)"), F.lit(1))
+    return lines.select("source", F.explode(found).alias("file")).distinct()
+
+
+def resolved(files: DataFrame, available: DataFrame) -> DataFrame:
+    """``files`` with the one ``folder`` of ``available(folder, file)`` that has each; none or several are failures."""
+    by = files.join(available, "file", "left").groupBy("source", "file").agg(F.array_sort(F.collect_set("folder")).alias("f"))
+    fault = F.raise_error(F.concat(F.lit("data file in "), F.size("f").cast("string"), F.lit(" folders: "), "file")).cast("string")
+    return by.select("source", "file", F.when(F.size("f") == 1, F.col("f")[0]).otherwise(fault).alias("folder"))
+
+
+def totals(admissions: DataFrame) -> DataFrame:
+    """One row: what a snapshot admits over all its sources."""
+    return admissions.agg(F.coalesce(F.sum("admitted"), F.lit(0)).alias("total_admitted"), F.coalesce(F.sum("ja4_admitted"), F.lit(0)).alias("total_ja4_admitted"))
+
+
+def nothing_admitted(admissions: DataFrame) -> DataFrame:
+    """``source, message`` of sources that admitted nothing: a failure, with what is likely behind it."""
+    message = (
+        F.when(F.col("fetched") == 0, "the feed has no active rule").when(F.col("no_confidence") == F.col("fetched"), "no rule has a confidence")
+        .when(F.col("unloadable") == F.col("fetched"), "no rule can be loaded").otherwise("every rule was excluded")
+    )
+    return admissions.where("admitted = 0").select("source", message.alias("message"))
