@@ -215,6 +215,13 @@ def test_order_matters_to_fingerprints(spark):
     assert same(a, c) > 0.7 > same(a, b)
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 50])
+def test_ranks(spark, n):
+    bounds = sorted({k * k % 97 for k in range(n)})
+    got = [r[0] for r in spark.range(-1, 99).select("id", orderminhash._rank(F.col("id"), bounds).alias("r")).orderBy("id").select("r").collect()]
+    assert got == [sum(b <= x for b in bounds) for x in range(-1, 99)]
+
+
 def test_order_minhash_runs_no_python(spark):
     plan = orderminhash.fingerprints(spark.createDataFrame([(1, 1, "a", "b")], "run int, place int, text string, edited string"))._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))

@@ -144,7 +144,7 @@ def pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end: int = EN
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, encoder = TaskContext.get().partitionId(), None
         for f in frames:
-            encoder = encoder or tokens.Encoder(tokens.vocabulary(vocabulary), spaced)
+            encoder = encoder or tokens.encoder(tokens.vocabulary(vocabulary), spaced)
             out = []
             for row, ids in enumerate(encoder.encode(list(f["text"]))):
                 ids += last

@@ -145,7 +145,7 @@ def write(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end: int = END
         head = next(frames, None)
         if head is None:
             return
-        encoder, name = tokens.Encoder(tokens.vocabulary(vocabulary), spaced), f"part-{part:06d}.tok.zst"
+        encoder, name = tokens.encoder(tokens.vocabulary(vocabulary), spaced), f"part-{part:06d}.tok.zst"
         with store.Files(uri).write(name) as out:
             writer = Writer(out, frame)
             while head is not None:
