@@ -9,6 +9,11 @@ document-level dedup, and stay.
 Per line hash, sketches of the sites and of the body keys merge by
 aggregation.  Lines whose estimates lie near a threshold are counted exactly.
 The document with the smallest doc_id keeps the line; the others lose it.
+
+That rule is :func:`dedup`'s, which has a SQL twin.  A line that is the least
+of its documents becomes their body key, and so stays.  :func:`keep`, the
+pipeline's stage, takes body keys from a document's own lines instead (those
+that few documents have), and wants as many different ones as sites.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ from . import store
 SITES, LONG, LONG_SITES = 5, 50, 3
 #: Body keys per document of a line, at least.
 BODIES = 0.3
+#: Share of a document's words that its own lines hold, at least, for it to count as a body of its own; else it is taken for a copy.
+OWN = 0.5
 #: Logarithm of a sketch's size, and how far (in shares) an estimate may be off before it needs an exact count.
 LG_K, MARGIN = 11, 0.15
 
@@ -45,28 +52,47 @@ KEY = ["k1", "k2"]
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """A row per document and distinct line: k1, k2, words, doc_id, source, body."""
-    own = docs.select("doc_id", "source", F.array_distinct(lines(F.col("text"))).alias("lines")).where(F.size("lines") > 0)
-    keyed = own.select("doc_id", "source", F.transform("lines", lambda x: F.struct(body_key(x).alias("k1"), F.xxhash64(x).alias("k2"), F.size(F.split(x, " ")).alias("words"))).alias("lines"))
+    """A row per document and distinct line: k1, k2, words, doc_id, source, body, whole (a number for the text)."""
+    own = docs.select("doc_id", "source", F.xxhash64("text").alias("whole"), F.array_distinct(lines(F.col("text"))).alias("lines")).where(F.size("lines") > 0)
+    keyed = own.select("doc_id", "source", "whole", F.transform("lines", lambda x: F.struct(body_key(x).alias("k1"), F.xxhash64(x).alias("k2"), F.size(F.split(x, " ")).alias("words"))).alias("lines"))
     body = F.array_min(F.transform("lines", lambda x: x["k1"]))
-    return keyed.select("doc_id", "source", body.alias("body"), F.explode("lines").alias("line")).select("line.*", "doc_id", "source", "body")
+    return keyed.select("doc_id", "source", "whole", body.alias("body"), F.explode("lines").alias("line")).select("line.*", "doc_id", "source", "body", "whole")
+
+
+def _own_bodies(seen: DataFrame, often: DataFrame, own: float) -> DataFrame:
+    """``__doc, __whole, body``: documents with lines of their own, and the least hash of those."""
+    marked = seen.join(often.select(*KEY, F.lit(True).alias("shared")), KEY, "left")
+    alone = F.col("shared").isNull()
+    by = marked.groupBy(F.col("doc_id").alias("__doc"), F.col("whole").alias("__whole")).agg(F.min(F.when(alone, F.col("k1"))).alias("body"), F.sum(F.when(alone, F.col("words")).otherwise(0)).alias("own"), F.sum("words").alias("words"))
+    return by.where(F.col("body").isNotNull() & (F.col("own") >= own * F.col("words"))).select("__doc", "__whole", "body")
 
 
-def removals(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites: int = LONG_SITES, bodies: float = BODIES) -> DataFrame:
+def removals(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites: int = LONG_SITES, bodies: float = BODIES, own: float | None = None) -> DataFrame:
     """``docs(doc_id, text, source)`` -> ``k1, k2, doc_id``: the boilerplate lines that a document loses.
 
-    A null source is no site; lines are compared trimmed of spaces.
+    A null source is no site; lines are compared trimmed of spaces.  With
+    ``own``, bodies are told apart by the documents' own lines, and a line
+    needs as many bodies as sites, not ``bodies`` per document.
     """
     seen = store.table(_occurrences(docs), "lines")
     # A line needs as many documents as sites, and different bodies: most lines go here, before any sketch is made.
     least = min(sites, long_sites)
     often = seen.groupBy(*KEY).agg(F.count("*").alias("documents"), F.min("doc_id").alias("keeper"), F.max("words").alias("words"), F.min("body").alias("b0"), F.max("body").alias("b1"))
-    often = often.where((F.col("documents") >= least) & (F.col("b0") != F.col("b1"))).drop("b0", "b1")
-    rows = store.table(seen.drop("words").join(often, KEY), "repeated")
+    if own is None:
+        often = often.where((F.col("documents") >= least) & (F.col("b0") != F.col("b1"))).drop("b0", "b1")
+        rows = store.table(seen.drop("words", "whole").join(often, KEY), "repeated")
+    else:
+        often = store.table(often.where(F.col("documents") >= least).drop("b0", "b1"), "often")
+        bodied = _own_bodies(seen, often, own)
+        rows = seen.drop("words", "body").join(often, KEY)
+        rows = rows.join(bodied, rows["doc_id"].eqNullSafe(bodied["__doc"]) & (rows["whole"] == bodied["__whole"]), "left")
+        rows = store.table(rows.drop("whole", "__doc", "__whole"), "repeated")
     spread = rows.groupBy(*KEY, "documents", "keeper", "words").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("source", LG_K)).alias("sites"), F.hll_sketch_estimate(F.hll_sketch_agg("body", LG_K)).alias("bodies")
     )
     spread = spread.withColumns({"need": F.when(F.col("words") >= long, long_sites).otherwise(sites), "wanted": F.col("documents") * bodies})
+    if own is not None:
+        spread = spread.withColumn("wanted", F.col("need"))
     unlikely = (F.col("sites") < F.col("need") * (1 - MARGIN)) | (F.col("bodies") < F.col("wanted") * (1 - MARGIN))
     certain = (F.col("sites") > F.col("need") * (1 + MARGIN)) & (F.col("bodies") > F.col("wanted") * (1 + MARGIN))
     spread = store.table(spread.where(~unlikely).withColumn("certain", certain), "spread")
@@ -74,15 +100,15 @@ def removals(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites:
     # Distinct pairs first: a line that is on every page of a hot site is one row here.
     asked = rows.join(near.select(*KEY), KEY, "left_semi")
     exact_sites = asked.select(*KEY, "source").where("source is not null").distinct().groupBy(*KEY).agg(F.count("*").alias("exact_sites"))
-    exact_bodies = asked.select(*KEY, "body").distinct().groupBy(*KEY).agg(F.count("*").alias("exact_bodies"))
+    exact_bodies = asked.select(*KEY, "body").where("body is not null").distinct().groupBy(*KEY).agg(F.count("*").alias("exact_bodies"))
     counted = near.join(exact_sites, KEY).join(exact_bodies, KEY).where("exact_sites >= need and exact_bodies >= wanted")
     bad = spread.where("certain").select(*KEY).unionByName(counted.select(*KEY))
     return rows.join(bad, KEY).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select(*KEY, "doc_id")
 
 
-def _stripped(docs: DataFrame, sites: int, long: int, long_sites: int, bodies: float) -> DataFrame:
+def _stripped(docs: DataFrame, sites: int, long: int, long_sites: int, bodies: float, own: float | None = None) -> DataFrame:
     """``docs`` with ``text`` changed and ``__removed``, the number of lines that went."""
-    hit = removals(docs, sites, long, long_sites, bodies)
+    hit = removals(docs, sites, long, long_sites, bodies, own)
     # A document's own lines bound this list.
     per_doc = hit.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set(F.struct(*KEY)).alias("__bad"))
     joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__doc"]), "left")
@@ -105,8 +131,8 @@ def dedup(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites: int
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """``docs`` after :func:`dedup`, with the columns it had; a document of which only boilerplate was there goes."""
-    left = _stripped(docs, SITES, LONG, LONG_SITES, BODIES).where((F.col("__removed") == 0) | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
+    """``docs`` without boilerplate lines, told by the documents' own lines, with the columns it had; a document of which only boilerplate was there goes."""
+    left = _stripped(docs, SITES, LONG, LONG_SITES, BODIES, OWN).where((F.col("__removed") == 0) | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("__removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return left.select(docs.columns)
