@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
@@ -74,6 +75,30 @@ def test_near_duplicates_are_those_of_brute_force(spark):
     assert kept == set(want.values())
 
 
+def test_the_pipeline_links_similar_documents_as_brute_force_does(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    texts = [None, "", "too short", "Too  short"]
+    for n in (40, 120, 400):
+        for _ in range(12):
+            base = rng.choices(words, k=n)
+            for _ in range(4):
+                other = list(base)
+                for _ in range(rng.randint(0, max(1, n // 40))):
+                    other[rng.randrange(n)] = rng.choice(words)
+                texts.append(" ".join(other))
+    base = rng.choices(words, k=300)
+    texts += [" ".join([*base, *rng.choices(words, k=8)]) for _ in range(60)]  # one large group
+    sets = [frozenset(" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if (w := (t or "").lower().split()) else frozenset() for t in texts]
+    alike = lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    want = brute_components(range(len(texts)), alike)
+    far = [(a, b) for a in want for b in range(a) if alike(a, b) and (brute_fingerprint(texts[a]) ^ brute_fingerprint(texts[b])).bit_count() > 4]
+    assert len(far) > 50
+    got = {r["doc_id"]: r["component_id"] for r in simhash.alike(docs(spark, texts)).collect()}
+    assert got == want
+    assert {r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, docs(spark, texts), "").collect()} == set(want.values())
+
+
 @pytest.mark.parametrize(("sample", "shard"), [(10, 5), (200, 40), (5_000, 300)])
 def test_any_tree_finds_every_link(spark, sample, shard):
     rng = np.random.default_rng(3)

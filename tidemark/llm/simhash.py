@@ -13,6 +13,11 @@ the triangle bound a link into another shell needs a distance within
 ``radius`` of the shell's edge, so boundary fingerprints also visit those
 shards.  Shards are compared exactly.  The tree only steers the work: any tree
 gives the same links, and a shard that turns out large is cut into blocks.
+
+The pipeline's stage, :func:`keep_unlike`, links documents whose sets of 5-word
+shingles have a Jaccard similarity of 0.8 or more.  Fingerprints of those sets
+within a wide radius give candidates; a one-permutation sketch takes the chance
+ones out, and the shingles themselves decide.
 """
 
 from __future__ import annotations
@@ -36,6 +41,14 @@ SAMPLE = 20_000
 #: Fingerprints of a shard that are wanted, and of a block into which a larger shard or its visitors are cut.
 SHARD, BLOCK = 65_536, 32_768
 _VOTES = 1 << 16
+#: The stage's shingles, the similarity that links, and the radius of its candidates.
+LIKE_WORDS, LIKE, WIDE = 5, 0.8, 20
+#: Bins of a sketch, a byte each, and the similarity by sketch under which a candidate is one by chance.
+BINS, LIKE_SKETCH = 64, 0.6
+#: Candidates that are verified: so many spanning forests of each block, the likest first.
+FORESTS = 4
+#: Groups that are compared pair by pair, at least, and documents of a group, at most.
+GROUPS, GROUP = 8, 250_000
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -213,3 +226,157 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     kept = near_duplicates(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+
+
+def shingles(text: str | None, words: int = LIKE_WORDS) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles; a text of fewer words is one shingle, one without words has none."""
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(found)
+    ends = np.cumsum([len(w) + 1 for w in found]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    starts, ends = (starts[: 1 - words], ends[words - 1 :]) if len(found) > words else (starts[:1], ends[-1:])
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], np.uint64))
+
+
+def _features(hashes: np.ndarray) -> tuple[int, int, bytes]:
+    """Of a set of shingles: a number for the set, its fingerprint, and its sketch (a byte for each bin's least hash, 0 for none)."""
+    votes = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), _VOTES):
+        votes += np.unpackbits(hashes[at : at + _VOTES].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    fp = int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<i8")[0])
+    edges = np.searchsorted(hashes, np.arange(BINS, dtype=np.uint64) << np.uint64(58))
+    sketch = np.zeros(BINS, np.uint8)
+    full = np.diff(edges, append=len(hashes)) > 0
+    sketch[full] = 1 + (hashes[edges[full]] >> np.uint64(8)) % np.uint64(255)
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64)), fp, sketch.tobytes()
+
+
+@F.pandas_udf(T.StructType([T.StructField("sig", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("sketch", T.BinaryType())]))
+def _features_udf(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for s in texts:
+        yield pd.DataFrame([_features(shingles(t)) for t in s], columns=["sig", "fp", "sketch"])
+
+
+@F.pandas_udf(T.BinaryType())
+def _shingles_udf(texts: pd.Series) -> pd.Series:
+    """Shingles by 32 bits of their hashes."""
+    return pd.Series([np.unique(shingles(t).astype("<u4")).tobytes() for t in texts])
+
+
+@F.pandas_udf(T.DoubleType())
+def _jaccard_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    out = []
+    for x, y in zip(a, b):
+        x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        out.append(both / max(1, len(x) + len(y) - both))
+    return pd.Series(out, dtype=float)
+
+
+def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Which edges are in the spanning forest of ``n`` nodes that takes the first edges (Boruvka's rounds)."""
+    chosen, label, live = np.zeros(len(i), bool), np.arange(n), np.arange(len(i))
+    while True:
+        a, b = label[i[live]], label[j[live]]
+        apart = a != b
+        live, a, b = live[apart], a[apart], b[apart]
+        if not len(live):
+            return chosen
+        best = np.full(n, len(i))
+        np.minimum.at(best, a, live)
+        np.minimum.at(best, b, live)
+        took = np.unique(best[best < len(i)])
+        chosen[took] = True
+        a, b = label[i[took]], label[j[took]]
+        while len(a):
+            label = _roots(label)
+            a, b = label[a], label[b]
+            apart = a != b
+            a, b = a[apart], b[apart]
+            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        label = _roots(label)
+
+
+def _forests(i: np.ndarray, j: np.ndarray, like: np.ndarray, n: int) -> np.ndarray:
+    """Which edges are in the first ``FORESTS`` spanning forests, each of the likest edges that are left.
+
+    A group with few candidates to others keeps them all; no group of n has more than ``FORESTS * n``.
+    """
+    left, out = np.argsort(-like, kind="stable"), []
+    for _ in range(FORESTS):
+        chosen = _forest(i[left], j[left], n)
+        out.append(left[chosen])
+        left = left[~chosen]
+    return np.concatenate(out)
+
+
+def candidates(home: tuple[np.ndarray, np.ndarray], asked: tuple[np.ndarray, np.ndarray], same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (home, asked) of (fingerprints, sketches) that may be alike, as indexes; ``same``: both are one group."""
+    (fp, sketch), (fp2, sketch2) = home, asked
+    got = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    rows, size = max(1, (1 << 17) // max(1, len(fp))), 0
+    parts: list[list[np.ndarray]] = []
+
+    def thin() -> list[np.ndarray]:
+        h, q, like = (np.concatenate(x) for x in zip(got, *parts))
+        kept = _forests(h, q if same else q + len(fp), like, len(fp) + len(fp2))
+        return [h[kept], q[kept], like[kept]]
+
+    for i in range(0, len(fp2), rows):
+        q, h = np.nonzero(np.bitwise_count(fp2[i : i + rows, None] ^ fp[None, :]) <= radius)
+        q += i
+        if same:
+            q, h = q[h < q], h[h < q]
+        for at in range(0, len(q), 1 << 14):
+            a, b = h[at : at + (1 << 14)], q[at : at + (1 << 14)]
+            x, y = sketch[a], sketch2[b]
+            like = ((x == y) & (x > 0)).sum(1) / np.maximum(1, ((x > 0) | (y > 0)).sum(1))
+            good = like >= LIKE_SKETCH
+            if good.any():
+                parts.append([a[good], b[good], like[good]])
+                size += int(good.sum())
+        if size > 1 << 17:
+            got, parts, size = thin(), [], 0
+    got = thin()
+    return got[0], got[1]
+
+
+def alike(docs: DataFrame, radius: int = WIDE, least: float = LIKE) -> DataFrame:
+    """``docs(doc_id, text)`` -> doc_id, component_id: linked by the Jaccard similarity of their shingles.
+
+    Texts without any word are alike, and like no other.  A null doc_id names
+    a component only if all its members are null.
+    """
+    own = store.table(docs.select("doc_id", F.xxhash64("text").alias("whole"), _features_udf("text").alias("x")).select("doc_id", "whole", "x.*"), "features")
+    # Equal sets of shingles are one row from here, so copies cost nothing more.
+    first = store.table(own.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.min("whole").alias("whole"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch")), "sets")
+    groups = max(GROUPS, -(-first.count() // GROUP))
+    dealt = first.select("sig", "fp", "sketch", F.pmod(F.xxhash64("sig"), F.lit(groups)).cast("int").alias("x")).withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    dealt = dealt.withColumns({"a": F.least("x", "y"), "b": F.greatest("x", "y")})
+
+    def block(f: pd.DataFrame) -> pd.DataFrame:
+        x, a, b = f["x"].to_numpy(), int(f["a"].iloc[0]), int(f["b"].iloc[0])
+        sig, fp = f["sig"].to_numpy(np.int64), f["fp"].to_numpy(np.int64).view(np.uint64)
+        sketch = np.frombuffer(b"".join(f["sketch"]), np.uint8).reshape(-1, BINS)
+        h, q = candidates((fp[x == a], sketch[x == a]), (fp[x == b], sketch[x == b]), a == b, radius)
+        return pd.DataFrame({"u": sig[x == a][h], "v": sig[x == b][q]})
+
+    pairs = store.table(dealt.select("a", "b", "x", "sig", "fp", "sketch").groupBy("a", "b").applyInPandas(block, "u bigint, v bigint"), "candidates")
+    asked = pairs.select(F.col("u").alias("sig")).unionByName(pairs.select(F.col("v").alias("sig"))).distinct()
+    texts = docs.select(F.xxhash64("text").alias("whole"), "text").join(first.join(asked, "sig").select("whole", "sig"), "whole").groupBy("sig").agg(F.min("text").alias("text"))
+    sets = store.table(texts.select("sig", _shingles_udf("text").alias("s")), "shingles")
+    both = pairs.join(sets.select(F.col("sig").alias("u"), F.col("s").alias("su")), "u").join(sets.select(F.col("sig").alias("v"), F.col("s").alias("sv")), "v")
+    linked = both.select("u", "v", _jaccard_udf("su", "sv").alias("j")).where(F.col("j") >= least).select("u", "v")
+    near = components.connected(linked).withColumnRenamed("node", "sig")
+    rooted = first.select("sig", "first_id").join(near, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("sig", "component_id")
+    return own.select("doc_id", "sig").join(named, "sig").select("doc_id", "component_id")
+
+
+def keep_unlike(docs: DataFrame, radius: int = WIDE, least: float = LIKE) -> DataFrame:
+    """As :func:`keep_one`, by :func:`alike`."""
+    kept = alike(docs, radius, least).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
