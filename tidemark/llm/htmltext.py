@@ -28,7 +28,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: An element that begins closes one of these that is open, up to the element that bounds it.
 SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-DROPPED = frozenset("nav footer aside form button select option menu dialog object audio video canvas input head".split())
+DROPPED = frozenset("nav footer aside button select option menu dialog object audio video canvas input head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Words of a class or id that mark what isn't the article.
 MARKS = frozenset(
@@ -36,6 +36,15 @@ MARKS = frozenset(
     "comment comments commentlist respond replies discussion disqus cookie cookies consent gdpr notice notices notification alert popup modal overlay lightbox newsletter subscribe subscription signup login "
     "share sharing social related recommended recommendations outbrain taboola widget widgets pagination pager toolbar skip rss copyright disclaimer form search hidden".split()
 )
+#: Those of them that also name pages and parts of pages in which an article may stand.
+LOOSE = frozenset(
+    "banner promo promotion foot notice notices notification alert popup modal overlay lightbox sidebar share sharing social related recommended recommendations widget widgets "
+    "subscription signup login toolbar copyright disclaimer form search hidden".split()
+)
+#: Words that say that what follows them is absent or elsewhere, and a last word that does so for what comes before.
+NEGATIONS, FREE = frozenset("no not non without has have with hide hides is".split()), "free"
+#: A marked element holds the page's article if what else there is has less than this share of its points.
+ELSE = 0.25
 HEADS = frozenset("header masthead topbar".split())
 PARAGRAPHS = frozenset("p pre td blockquote dd li h1 h2 h3 h4 h5 h6 div section article main body figcaption".split())
 KEPT_SIBLINGS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table figure".split())
@@ -111,18 +120,62 @@ class _Page:
                 return  # a formatting end tag doesn't end a block
 
 
-def _marked(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    """Whether an element is something other than the article; ``inside``: it is within an article."""
+NONE, LOOSELY, SURELY, GONE = range(4)
+
+
+def _names(value: str) -> set[str]:
+    """The words of the class names in ``value``, without those that are said to be absent."""
+    out: set[str] = set()
+    for name in value.split():
+        words = [w for w in _NAMES.split(name) if w]
+        if FREE not in words[-1:]:
+            out.update(words[: next((i for i, w in enumerate(words) if w in NEGATIONS), None)])
+    return out
+
+
+def _mark(tag: str, attributes: dict[str, str], inside: bool) -> int:
+    """How an element is marked as something other than the article; ``inside``: it is within an article."""
     if tag in DROPPED or tag in RAW:
-        return True
-    if tag == "header":
-        return not inside
-    if not attributes or tag in ("html", "body", "main"):
-        return False
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role") in ROLES or "display:none" in attributes.get("style", "").replace(" ", ""):
-        return True
-    words = {w for k in ("class", "id") for w in _NAMES.split(attributes.get(k, ""))}
-    return bool(words & MARKS) or (not inside and bool(words & HEADS))
+        return GONE
+    loose = tag == "form" or (tag == "header" and not inside)
+    if attributes and tag not in ("html", "body", "main"):
+        if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", ""):
+            return GONE
+        words = _names(attributes.get("class", "")) | _names(attributes.get("id", ""))
+        if words & MARKS - LOOSE:
+            return SURELY
+        loose = loose or attributes.get("role") in ROLES or bool(words & LOOSE) or (not inside and bool(words & HEADS))
+    return LOOSELY if loose else NONE
+
+
+def _total(parent: list[int], values: list[float], out: list[bool]) -> list[float]:
+    """Sums of ``values`` over subtrees, without the subtrees that are ``out``."""
+    whole = list(values)
+    for i in range(len(parent) - 1, 0, -1):
+        if not out[i]:
+            whole[parent[i]] += whole[i]
+    return whole
+
+
+def _drop(page: _Page, mark: list[int], points: list[float]) -> list[bool]:
+    """Which elements go: those marked, but for those that hold the article."""
+    n, tag, parent = len(page.tag), page.tag, page.parent
+    gone = [m == GONE for m in mark]
+    dropped = [m != NONE for m in mark]
+    if any(NONE < m < GONE for m in mark):
+        whole = _total(parent, points, gone)
+        # Only an element with half of all points may hold the article in spite of its name, or one with the only article.
+        small = [dropped[i] and whole[i] < 0.5 * whole[0] for i in range(n)]
+        rest = _total(parent, points, small)
+        articles = [float(tag[i] in ("article", "main") and not dropped[i]) for i in range(n)]
+        held = _total(parent, articles, gone)
+        for i in range(1, n):
+            if LOOSELY <= mark[i] <= SURELY:
+                alone = held[i] > 0 and held[i] == held[0]
+                dropped[i] = not (alone or (mark[i] == LOOSELY and not small[i] and rest[i] > 0 and rest[0] - rest[i] < ELSE * rest[i]))
+    for i in range(1, n):
+        dropped[i] = dropped[i] or dropped[parent[i]]
+    return dropped
 
 
 def extract(text: str | None) -> str:
@@ -132,10 +185,11 @@ def extract(text: str | None) -> str:
     page = _Page(text)
     n = len(page.tag)
     tag, parent = page.tag, page.parent
-    inside, dropped, linked = [False] * n, [False] * n, [False] * n
+    inside, gone, linked, mark = [False] * n, [False] * n, [False] * n, [NONE] * n
     for i in range(1, n):
         up = parent[i]
-        dropped[i] = dropped[up] or _marked(tag[i], page.attributes[i], inside[up])
+        mark[i] = _mark(tag[i], page.attributes[i], inside[up])
+        gone[i] = gone[up] or mark[i] == GONE
         inside[i] = inside[up] or tag[i] in ("article", "main")
         linked[i] = linked[up] or tag[i] == "a"
     # Own text of each block: a run belongs to the nearest element that isn't inline.
@@ -144,20 +198,26 @@ def extract(text: str | None) -> str:
         block[i] = block[parent[i]] if tag[i] in INLINE else i
     length, links, commas = [0] * n, [0] * n, [0] * n
     for i, run in page.runs:
-        if run and not dropped[i]:
+        if run and not gone[i]:
             size = len(run.strip())
             length[block[i]] += size
             commas[block[i]] += run.count(",")
             if linked[i]:
                 links[block[i]] += size
+    points = [0.0] * n
+    for i in range(1, n):
+        if length[i] and tag[i] in PARAGRAPHS:
+            points[i] = (length[i] >= 25) + commas[i] + min(length[i] / 100, 3) + 0.01
+    dropped = _drop(page, mark, [p * (1 - links[i] / length[i]) if p else 0.0 for i, p in enumerate(points)])
     score = [0.0] * n
     for i in range(1, n):
-        if length[i] and tag[i] in PARAGRAPHS and not dropped[i]:
-            points = (length[i] >= 25) + commas[i] + min(length[i] / 100, 3) + 0.01
+        if dropped[i]:
+            length[i] = links[i] = 0
+        elif points[i]:
             up = i if tag[i] in ("div", "section", "article", "main", "body", "td") else parent[i]
             far = 1
             while up and far < 6:
-                score[up] += points / (far if far < 3 else 3 * (far - 1))
+                score[up] += points[i] / (far if far < 3 else 3 * (far - 1))
                 up, far = parent[up], far + 1
     whole, linkage = length[:], links[:]
     for i in range(n - 1, 0, -1):
@@ -184,7 +244,7 @@ def extract(text: str | None) -> str:
             keep[i] = keep[i] or alike or (tag[i] in KEPT_SIBLINGS and tag[best] != "article" and share[i] < 0.25)
     for i in range(1, n):
         keep[i] = (keep[i] or keep[parent[i]]) and not dropped[i]
-        if keep[i] and i != best and tag[i] in LINKED and share[i] > 0.6:
+        if keep[i] and i != best and tag[i] in LINKED and share[i] > 0.6 and not inside[i]:
             keep[i] = False
             dropped[i] = True
         elif dropped[parent[i]]:
