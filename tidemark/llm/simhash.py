@@ -11,8 +11,10 @@ fingerprints.  Each node cuts the space into shells by Hamming distance from
 its vantage point, each leaf is a shard.  A fingerprint lives in one shard; by
 the triangle bound a link into another shell needs a distance within
 ``radius`` of the shell's edge, so boundary fingerprints also visit those
-shards.  Shards are compared exactly.  The tree only steers the work: any tree
-gives the same links, and a shard that turns out large is cut into blocks.
+shards.  Within a shard the same goes on: the task that holds it picks vantage
+points of its own, cuts by every distance, and compares pair by pair only what
+the triangle bound leaves together.  Trees only steer the work: any tree gives
+the same links, and a shard that turns out large is cut into blocks.
 
 The pipeline's stage, :func:`keep_unlike`, links documents whose sets of 5-word
 shingles have a Jaccard similarity of 0.8 or more.  Fingerprints of those sets
@@ -38,8 +40,10 @@ WORDS = 4
 RADIUS = 4
 #: Fingerprints on which the tree is fitted, at most.
 SAMPLE = 20_000
-#: Fingerprints of a shard that are wanted, and of a block into which a larger shard or its visitors are cut.
+#: Fingerprints of a shard that are wanted (the root is cut at any size), and of a block into which a larger shard or its visitors are cut.
 SHARD, BLOCK = 65_536, 32_768
+#: Pairs of a leaf that are compared one by one, within a task.
+LEAF = 1 << 17
 _VOTES = 1 << 16
 #: The stage's shingles, the similarity that links, and the radius of its candidates.
 LIKE_WORDS, LIKE, WIDE = 5, 0.8, 20
@@ -97,7 +101,7 @@ def fit(sample: np.ndarray, total: int, radius: int = RADIUS, shard: int = SHARD
     def grow(points: np.ndarray, depth: int) -> Node:
         nonlocal count
         cuts: list[int] = []
-        if len(points) * scale > shard and len(points) >= 32 and depth < 12:
+        if (len(points) * scale > shard or not depth) and len(points) >= 32 and depth < 12:
             tried = rng.choice(points, min(8, len(points)), replace=False)
             vantage = max(tried, key=lambda v: np.bitwise_count(points ^ v).astype(float).var())
             far = np.bitwise_count(points ^ vantage).astype(int)
@@ -146,22 +150,63 @@ def _roots(label: np.ndarray) -> np.ndarray:
         label = up
 
 
-def join_within(home: np.ndarray, asked: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect what pairs within ``radius`` connect, at most one for each point."""
+def leaves(home: np.ndarray, asked: np.ndarray, radius: int, leaf: int = LEAF) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index arrays (of ``home``, of ``asked``) that together hold every pair within ``radius``, by a vantage-point tree."""
+    rng = np.random.default_rng(11)
+    stack = [(np.arange(len(home)), np.arange(len(asked)))]
+    while stack:
+        h, a = stack.pop()
+        if not len(h) or not len(a):
+            continue
+        parts = None
+        if len(h) * len(a) > leaf and len(h) > 1:
+            # The point that tells most apart, of a few; copies of one fingerprint can't be told apart by any.
+            tried = home[h[rng.integers(0, len(h), 8)]]
+            few = home[h[rng.integers(0, len(h), 256)]]
+            vantage = max(tried, key=lambda v: np.bitwise_count(few ^ v).astype(float).var())
+            parts = np.bitwise_count(home[h] ^ vantage).astype(np.int16), np.bitwise_count(asked[a] ^ vantage).astype(np.int16)
+        if parts is None or parts[0].min() == parts[0].max():
+            if parts is not None:
+                a = a[np.abs(parts[1] - parts[0][0]) <= radius]
+            yield h, a
+            continue
+        (dh, da), by_h, by_a = parts, np.argsort(parts[0], kind="stable"), np.argsort(parts[1], kind="stable")
+        at = np.unique(dh)
+        ends = np.searchsorted(dh[by_h], at, "left"), np.searchsorted(dh[by_h], at, "right"), np.searchsorted(da[by_a], at - radius, "left"), np.searchsorted(da[by_a], at + radius, "right")
+        stack += [(h[by_h[i:j]], a[by_a[k:m]]) for i, j, k, m in zip(*ends)]
+
+
+def join_within(home: np.ndarray, asked: np.ndarray, radius: int, leaf: int = LEAF, tally: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what pairs within ``radius`` connect, at most one for each point; ``tally`` gets the pairs compared."""
     both = np.unique(np.concatenate([home, asked]))
     label, at_home, at_asked = np.arange(len(both)), np.searchsorted(both, home), np.searchsorted(both, asked)
-    rows = max(1, (1 << 19) // max(1, len(home)))
-    for i in range(0, len(asked), rows):
-        q, h = np.nonzero(np.bitwise_count(asked[i : i + rows, None] ^ home[None, :]) <= radius)
-        a, b = at_asked[i + q], at_home[h]
-        keep = a != b
-        a, b = a[keep], b[keep]
-        while len(a):
-            label = _roots(label)
-            a, b = label[a], label[b]
-            differ = a != b
-            a, b = a[differ], b[differ]
-            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def merge() -> None:
+        nonlocal label, found, size
+        if found:
+            a, b = (np.concatenate(x) for x in zip(*found))
+            while len(a):
+                label = _roots(label)
+                a, b = label[a], label[b]
+                differ = a != b
+                a, b = a[differ], b[differ]
+                np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+            found, size = [], 0
+
+    for h, a in leaves(home, asked, radius, leaf):
+        if tally is not None:
+            tally.append(len(h) * len(a))
+        rows = max(1, (1 << 19) // max(1, len(h)))
+        for i in range(0, len(a), rows):
+            q, k = np.nonzero(np.bitwise_count(asked[a[i : i + rows], None] ^ home[None, h]) <= radius)
+            x, y = at_asked[a[i + q]], at_home[h[k]]
+            found.append((x[x != y], y[x != y]))
+            size += len(found[-1][0])
+            if size > 1 << 19 or len(found) > 1 << 14:
+                merge()
+    merge()
     label = _roots(label)
     moved = label != np.arange(len(both))
     return both[moved], both[label[moved]]
