@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -43,7 +44,7 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     first, *lines = head.decode().split("\r\n")
     if not first.startswith("WARC/"):
         raise Malformed(first[:40])
-    fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+    fields = {k.strip().lower(): v.strip(" \t") for k, _, v in (x.partition(":") for x in lines)}
     n = int(fields["content-length"])
     if rest[n:] != b"\r\n\r\n":
         raise Malformed("record end")
@@ -87,9 +88,9 @@ def member(raw: bytes) -> bytes:
     return pack.compress(raw) + pack.flush()
 
 
-def _field(text: str | None) -> str:
-    """A header value on one line; characters that would end the line are percent-encoded."""
-    return "".join(f"%{ord(c):02X}" if c in "\r\n%" or ord(c) < 32 else c for c in text or "")
+def _field(text: str) -> str:
+    """A header value on one line; characters that would end or trim the line are percent-encoded, all others stay."""
+    return re.sub(r"[\x00-\x1f\x7f]|^ | $", lambda m: f"%{ord(m[0]):02X}", text)
 
 
 def _urn(page_id) -> str:
@@ -128,7 +129,7 @@ def write(pages: DataFrame, least: int = LEAST) -> DataFrame:
         with store.Files(folder).write(name) as out:
             while f is not None:
                 for page, url, html, n, digest, of in f[["page_id", "url", "html", "n", "digest", "of"]].itertuples(index=False):
-                    fields = {"WARC-Record-ID": _urn(page), "WARC-Date": "1970-01-01T00:00:00Z", "WARC-Target-URI": _field(url), "WARC-Payload-Digest": f"sha256:{digest}", "Content-Type": "application/http;msgtype=response"}
+                    fields = {"WARC-Record-ID": _urn(page), "WARC-Date": "1970-01-01T00:00:00Z", **({} if url is None else {"WARC-Target-URI": _field(url)}), "WARC-Payload-Digest": f"sha256:{digest}", "Content-Type": "application/http;msgtype=response"}
                     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode()
                     if of is None:
                         raw = record("response", fields, http + html)
@@ -226,7 +227,9 @@ def _rows(out: list[tuple]) -> pd.DataFrame:
 def archive(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """Pages written as whole-file archives, normalised, and read back.
 
-    Null html is an empty payload; null page_ids and repeated rows have records
-    of their own; no rows give no rows; other columns are ignored.
+    Null html is an empty payload and a null url no URI; a url comes back as it
+    was, but for control characters and a space at either end, which are
+    percent-encoded.  A payload is held whole by the task that writes or reads
+    it.  Null page_ids and repeated rows have records of their own; no rows give no rows; other columns are ignored.
     """
     return read(normalise(write(pages, least)))
