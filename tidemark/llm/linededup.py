@@ -106,35 +106,47 @@ def removals(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites:
     return rows.join(bad, KEY).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select(*KEY, "doc_id")
 
 
-def _stripped(docs: DataFrame, sites: int, long: int, long_sites: int, bodies: float, own: float | None = None) -> DataFrame:
-    """``docs`` with ``text`` changed and ``__removed``, the number of lines that went."""
+def _fresh(docs: DataFrame, name: str) -> str:
+    """``name``, longer as often as needed to clash with no column, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _stripped(docs: DataFrame, sites: int, long: int, long_sites: int, bodies: float, own: float | None = None) -> tuple[DataFrame, str]:
+    """``docs`` with ``text`` changed and another column, whose name is returned: the number of lines that went."""
+    doc, bad, gone = (_fresh(docs, n) for n in ("__doc", "__bad", "__removed"))
     hit = removals(docs, sites, long, long_sites, bodies, own)
     # A document's own lines bound this list.
-    per_doc = hit.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set(F.struct(*KEY)).alias("__bad"))
-    joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__doc"]), "left")
+    per_doc = hit.groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set(F.struct(*KEY)).alias(bad))
+    joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc[doc]), "left")
     raw = F.split("text", "\n")
-    kept = F.filter(raw, lambda x: ~F.array_contains("__bad", key(F.trim(x))))
-    text = F.when(F.col("__bad").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    removed = F.when(F.col("__bad").isNull(), 0).otherwise(F.size(raw) - F.size(kept)).cast("long")
-    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], removed.alias("__removed"))
+    kept = F.filter(raw, lambda x: ~F.array_contains(bad, key(F.trim(x))))
+    text = F.when(F.col(bad).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    removed = F.when(F.col(bad).isNull(), 0).otherwise(F.size(raw) - F.size(kept)).cast("long")
+    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], removed.alias(gone)), gone
 
 
 def dedup(docs: DataFrame, sites: int = SITES, long: int = LONG, long_sites: int = LONG_SITES, bodies: float = BODIES) -> DataFrame:
     """Documents without boilerplate lines: all columns of ``docs``, ``text`` changed, and ``lines_removed``.
 
-    A document keeps its row even if no line is left.  A null text stays null
+    Lines are cut at line feeds and compared without the spaces around them;
+    other white space counts.  A document keeps its row even if no line is left.  A null text stays null
     and an empty one empty; rows that share a doc_id are one document; a null
     doc_id is a keeper only if no other document has the line.  Other columns
     pass unchanged, but for one that is called ``lines_removed``.
     """
-    return _stripped(docs, sites, long, long_sites, bodies).drop("lines_removed").withColumnRenamed("__removed", "lines_removed")
+    left, gone = _stripped(docs, sites, long, long_sites, bodies)
+    return left.drop("lines_removed").withColumnRenamed(gone, "lines_removed")
 
 
 def keep(docs: DataFrame) -> DataFrame:
     """``docs`` without boilerplate lines, told by the documents' own lines, with the columns it had; a document of which only boilerplate was there goes."""
-    left = _stripped(docs, SITES, LONG, LONG_SITES, BODIES, OWN).where((F.col("__removed") == 0) | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
+    left, gone = _stripped(docs, SITES, LONG, LONG_SITES, BODIES, OWN)
+    left = left.where((F.col(gone) == 0) | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("__removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        left = left.withColumn("n_chars", F.when(F.col(gone) == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return left.select(docs.columns)
 
 

@@ -21,6 +21,8 @@ def root(spark: SparkSession) -> str:
         now = jsc.getCheckpointDir()
         if now.isDefined():
             return now.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     if not jsc.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(named)
