@@ -41,7 +41,7 @@ RADIUS = 4
 #: Fingerprints on which the tree is fitted, at most.
 SAMPLE = 20_000
 #: Fingerprints of a shard that are wanted (the root is cut at any size), and of a block into which a larger shard or its visitors are cut.
-SHARD, BLOCK = 65_536, 32_768
+SHARD, BLOCK = 131_072, 131_072
 #: Pairs of a leaf that are compared one by one, within a task.
 LEAF = 1 << 17
 _VOTES = 1 << 16
