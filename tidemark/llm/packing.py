@@ -4,11 +4,18 @@ The plan is made on the histogram of piece lengths, which has at most
 ``capacity`` rows however many documents there are:
 
 1. the configuration linear program (fewest sequences whose contents cover
-   the histogram) is approximated by multiplicative weights; each round prices
-   a configuration by dynamic programming over the knapsack ``capacity``;
-2. its fractional solution is rounded down to whole sequences;
-3. what is left is packed by best fit, a pattern at a time: longest piece
-   first, then the longest that still fits, as often as the counts allow.
+   the histogram) is solved by multiplicative weights.  Each round prices the
+   configurations by dynamic programming over the knapsack ``capacity``, for
+   all lengths at once: the same table gives the dearest configuration and the
+   dearest one that has a given length.  Any prices, divided by that of the
+   dearest configuration, bound the program from below; rounds end once the
+   fractional solution is within ``GAP`` of the best bound;
+2. the fractional solution is rounded to whole sequences, and the program is
+   solved again for what is left;
+3. the rest is packed by best fit, a pattern at a time: longest piece first,
+   then the longest that still fits, as often as the counts allow.  Of the
+   plans that leave the program's rounding at different points, that without
+   it included, the one with the fewest sequences is used.
 
 Each document then finds its place from its rank among the pieces of its
 length, so no task ever holds more than a share of the pieces.
@@ -16,6 +23,7 @@ length, so no task ever holds more than a share of the pieces.
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from bisect import bisect_right
@@ -31,80 +39,104 @@ from . import store, tokens
 
 CAPACITY = 4096
 END = 1
-#: Rounds of multiplicative weights, their step, and the share of a bottleneck that a round fills.
-ROUNDS, ETA, STEP = 240, 1.0, 0.5
-
-
-def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
-    """Copies of each length in the configuration of highest price (dynamic programming)."""
-    order = np.argsort(lengths)
-    size, price = lengths[order], prices[order]
-    best = np.zeros(capacity + 1)
-    took = np.full(capacity + 1, -1)
-    stop = np.searchsorted(size, np.arange(capacity + 1), "right")
-    for c in range(int(size[0]), capacity + 1):
-        gain = best[c - size[: stop[c]]] + price[: stop[c]]
-        k = int(gain.argmax())
-        if gain[k] > best[c - 1]:
-            best[c], took[c] = gain[k], k
-        else:
-            best[c] = best[c - 1]
-    out = np.zeros(len(lengths), np.int64)
-    c = capacity
-    while c > 0:
-        if took[c] < 0:
-            c -= 1
-        else:
-            out[order[took[c]]] += 1
-            c -= int(size[took[c]])
-    return out
+#: Rounds of multiplicative weights at most, each over all lengths, their first step and how it shrinks, what an earlier round counts for
+#: in the solution, and the gap to the lower bound that ends them.
+ROUNDS, ETA, SHRINK, DECAY, GAP = 30, 0.12, 0.96, 0.8, 0.003
+#: Rounds without a better solution that end them as well.
+PATIENCE = 10
+#: How much cheaper than the dearest configuration one may be that is used in a round.
+SLACK = 0.01
+#: Times the program is solved again for what rounding left, at most.
+SOLVES = 3
 
+Pattern = tuple[tuple[int, int], ...]
 
-def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
-    """A fractional solution of the configuration program: (copies of each length, sequences)."""
-    covered = np.zeros(len(lengths))
-    out = []
-    live = lengths < capacity
-    for _ in range(rounds if live.any() else 0):
-        # The dual of a perfect packing prices a token alike wherever it is; what is covered loses weight.
-        price = np.where(live, lengths * np.exp(-ETA * covered / counts), 0)
-        # Long lists are priced on the lengths with most tokens still open, and the short ones that fill gaps.
-        open_ = np.maximum(0, counts - covered) * lengths * live
-        pick = np.union1d(np.argsort(-open_, kind="stable")[:160], np.nonzero(live & (lengths <= 64) & (open_ > 0))[0][:64])
-        pick = pick[open_[pick] > 0]
-        if not len(pick):
-            break
-        copies = np.zeros(len(lengths), np.int64)
-        copies[pick] = knapsack(lengths[pick], price[pick], capacity)
-        used = copies > 0
-        if not used.any():
-            break
-        amount = STEP * float(((counts - covered)[used] / copies[used]).min())
-        if amount >= 1 or not out:
-            out.append((copies, amount))
-        covered += amount * copies
-    return out
 
+class Knapsack:
+    """The dearest contents of each room up to ``capacity``, for prices by length (-inf: no such piece)."""
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
-    """Patterns ``({length: copies}, sequences)`` that hold exactly what ``histogram`` counts."""
-    lengths = np.array(sorted(histogram), np.int64)
-    left = {int(k): int(histogram[k]) for k in lengths}
-    out: list[tuple[dict[int, int], int]] = []
+    def __init__(self, price: np.ndarray, capacity: int):
+        self.price, self.best = price, np.zeros(capacity + 1)
+        best, some = self.best, price[1:]
+        for c in range(1, capacity + 1):
+            best[c] = max(best[c - 1], (some[:c] + best[c - 1 :: -1][:c]).max())
+
+    def contents(self, c: int, wanted: np.ndarray, slack: float) -> dict[int, int]:
+        """Pieces for room ``c`` that are worth all but ``slack`` of the dearest, those that are most ``wanted`` first."""
+        out: dict[int, int] = {}
+        while c > 0 and self.best[c] > 0:
+            lost = self.best[c] - (self.price[1 : c + 1] + self.best[c - 1 :: -1][:c])
+            near = np.flatnonzero(lost <= slack + 1e-9)
+            k = 1 + int(near[wanted[near + 1].argmax()]) if len(near) else 0
+            if not k or (k in out and wanted[k] <= 0):
+                k = 1 + int(lost.argmin())
+            slack -= max(0.0, float(lost[k - 1]))
+            out[k] = out.get(k, 0) + 1
+            c -= k
+            if self.best[c] <= slack:
+                break
+        return out
 
-    def take(pattern: dict[int, int], times: int) -> None:
-        out.append((pattern, times))
-        for k, n in pattern.items():
-            left[k] -= n * times
 
-    if len(lengths):
-        for copies, amount in solve(lengths, np.array([histogram[int(k)] for k in lengths], float), capacity, rounds):
-            pattern = {int(k): int(n) for k, n in zip(lengths, copies) if n}
-            full = sum(k * n for k, n in pattern.items()) >= 0.995 * capacity
-            times = min([int(amount), *(left[k] // n for k, n in pattern.items())])
-            if full and times:
-                take(pattern, times)
-    open_ = [int(k) for k in lengths if left[int(k)]]
+def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[dict[Pattern, float], float]:
+    """A fractional solution of the configuration program, ``{pattern: sequences}``, and a lower bound of the program.
+
+    A round uses the dearest configurations to cover each length once, where it
+    can; lengths that stay open become dearer, those covered twice cheaper.
+    A solution is a mean over the rounds, in which the last ones count most; the
+    one that needs the fewest sequences, its uncovered tokens included, is kept.
+    """
+    lengths = np.array(sorted(counts), np.int64)
+    count = np.zeros(capacity + 1)
+    count[lengths] = [counts[int(k)] for k in lengths]
+    # The dual of a perfect packing prices a token alike wherever it is.
+    weight, mean, used, covered, bound, eta = np.log(lengths), np.zeros(len(lengths)), {}, np.zeros(len(lengths)), 0.0, ETA
+    best: tuple[float, dict[Pattern, float], int] = (math.inf, {}, 0)
+
+    def priced(values: np.ndarray) -> tuple[np.ndarray, Knapsack]:
+        nonlocal bound
+        price = np.full(capacity + 1, -np.inf)
+        price[lengths] = values
+        sack = Knapsack(price, capacity)
+        bound = max(bound, float((count[lengths] * values).sum() / sack.best[capacity]))
+        return price, sack
+
+    for t in range(rounds):
+        price, sack = priced(np.exp(weight))
+        mean = DECAY * mean + price[lengths] / sack.best[capacity]
+        if t % 5 == 4:
+            priced(mean)
+        top, gain = sack.best[capacity], np.zeros(capacity + 1)
+        worth = price[lengths] + sack.best[capacity - lengths]
+        used = {p: DECAY * x for p, x in used.items() if x > 1e-9}
+        for k in lengths[worth >= (1 - SLACK) * top][::-1].tolist():
+            while gain[k] < 1 - 1e-6:
+                wanted = (1 - gain) * count
+                inside = sack.contents(capacity - k, wanted, float(price[k] + sack.best[capacity - k] - (1 - SLACK) * top))
+                inside[k] = inside.get(k, 0) + 1
+                # As far as the pieces go that are wanted; what only fills up may be covered more than once.
+                most = wanted[k] / inside[k]
+                amount = most if wanted[k] < 0.1 * count[k] else min(most, max(most / 3, min(wanted[j] / n for j, n in inside.items())))
+                for j, n in inside.items():
+                    gain[j] += n * amount / count[j]
+                pattern = tuple(sorted(inside.items(), reverse=True))
+                used[pattern] = used.get(pattern, 0.0) + amount
+        covered = DECAY * covered + gain[lengths]
+        weight += eta * np.clip(1 - gain[lengths], -2, 1)
+        eta *= SHRINK
+        scale = max(1e-9, float(np.median(covered)))
+        rest = np.maximum(0, 1 - covered / scale) * count[lengths] * lengths
+        needs = sum(used.values()) / scale + float(rest.sum()) / capacity
+        if needs < best[0]:
+            best = needs, {p: x / scale for p, x in used.items()}, t
+        if needs <= (1 + GAP) * bound or t - best[2] >= PATIENCE:
+            break
+    return best[1], bound
+
+
+def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
+    """Best fit over a histogram: ``(pattern, sequences)``."""
+    left, open_, out = dict(counts), sorted(k for k, n in counts.items() if n), []
     while open_:
         room, pattern = capacity, {}
         while True:
@@ -117,19 +149,75 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
             n = min(room // k, left[k] - pattern.get(k, 0))
             pattern[k] = pattern.get(k, 0) + n
             room -= n * k
-        take(pattern, min(left[k] // n for k, n in pattern.items()))
+        times = min(left[k] // n for k, n in pattern.items())
+        for k, n in pattern.items():
+            left[k] -= n * times
+        out.append((tuple(pattern.items()), times))
         open_ = [k for k in open_ if left[k]]
     return out
 
 
-def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
+def rounded(used: dict[Pattern, float], left: dict[int, int]) -> list[tuple[Pattern, int]]:
+    """Whole sequences of a fractional solution, as far as ``left`` (which they are taken from) has the pieces.
+
+    Whole parts first.  Where that is next to nothing, because lengths are many
+    and pieces few, the largest fractions are rounded up, to half of them.
+    """
+    out: list[tuple[Pattern, int]] = []
+
+    def take(pattern: Pattern, times: int) -> int:
+        times = min(times, *(left[k] // n for k, n in pattern))
+        if times > 0:
+            for k, n in pattern:
+                left[k] -= n * times
+            out.append((pattern, times))
+        return max(0, times)
+
+    order = sorted(used, key=lambda p: (-used[p], p))
+    whole, total = sum(take(p, int(used[p])) for p in order), sum(used.values())
+    if whole < 0.2 * total:
+        for p in order:
+            whole += take(p, 1)
+            if whole >= 0.5 * total:
+                break
+    return out
+
+
+def _sequences(plan: list[tuple[Pattern, int]]) -> int:
+    return sum(times for _, times in plan)
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Pattern, int]]:
+    """Patterns ``(((length, copies), ..), sequences)`` that hold exactly what ``histogram`` counts."""
+    left = {int(k): int(n) for k, n in histogram.items() if n}
+    full = [(((capacity, 1),), left.pop(capacity))] if capacity in left else []
+    taken, best = [], best_fit(left, capacity)
+    least = sum(k * n for k, n in left.items()) / capacity
+    for _ in range(SOLVES if rounds else 0):
+        if not left:
+            break
+        used, bound = solve(left, capacity, rounds)
+        least = max(least, bound) if not taken else least
+        got = rounded(used, left)
+        if not got:
+            break
+        taken += got
+        left = {k: n for k, n in left.items() if n}
+        now = taken + best_fit(left, capacity)
+        best = min(now, best, key=_sequences)
+        if _sequences(best) < least + 1:  # no plan is better
+            break
+    return full + best
+
+
+def slots(patterns: list[tuple[Pattern, int]]) -> dict[int, np.ndarray]:
     """Per length, rows (first rank, copies in a sequence, first sequence, first offset), by rank."""
     out: dict[int, list[tuple[int, int, int, int]]] = {}
     ranked: dict[int, int] = {}
     sequence = 0
     for pattern, times in patterns:
         offset = 0
-        for k, n in sorted(pattern.items(), reverse=True):
+        for k, n in sorted(pattern, reverse=True):
             out.setdefault(k, []).append((ranked.get(k, 0), n, sequence, offset))
             ranked[k] = ranked.get(k, 0) + n * times
             offset += n * k
