@@ -7,12 +7,15 @@ So a copy leaves at least ``n - q + 1 - k * q`` shared grams on ``k + 1``
 neighbouring diagonals.  Shared grams are counted in overlapping diagonal
 bands, bands that reach the bound are aligned within the band, and those that
 need at most ``k`` edits are reported.  No copy within the budget is missed.
+Items of fewer than ``q`` characters have no gram: they are searched as they
+are, as whole words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
@@ -84,7 +87,17 @@ def align(pattern: np.ndarray, text: np.ndarray, low: int, width: int, most: int
 
 class Searcher:
     def __init__(self, items: list[tuple[int, str]], q: int = Q, rate: float = RATE):
-        kept = [(i, grams.points(t)) for i, t in ((i, normal(t)) for i, t in items) if budget(len(t), q, rate) >= 0]
+        known = [(i, normal(t)) for i, t in items]
+        kept = [(i, grams.points(t)) for i, t in known if budget(len(t), q, rate) >= 0]
+        self.short = ahocorasick.Automaton()
+        brief: dict[str, list[int]] = {}
+        for i, t in known:
+            if t and budget(len(t), q, rate) < 0:
+                brief.setdefault(t, []).append(i)
+        for t, ids in brief.items():
+            self.short.add_word(f" {t} ", (t, sorted(ids)))
+        if brief:
+            self.short.make_automaton()
         self.q, self.ids, self.items = q, [i for i, _ in kept], [p for _, p in kept]
         n = np.array([len(p) for p in self.items], np.int64)
         self.most = np.array([budget(int(k), q, rate) for k in n], np.int64)
@@ -98,8 +111,7 @@ class Searcher:
         whole = np.zeros(int(ends[-1]) if len(parts) else 0, np.uint32)  # zeros stand between the texts
         for p, e in zip(parts, ends):
             whole[e - 1 - len(p) : e - 1] = p
-        at, item, position = self.index.hits(grams.codes(whole, self.q))
-        item, low, count = grams.bands(at, item, position, self.most + 1)
+        item, low, count = self.index.bands(grams.codes(whole, self.q), self.most + 1)
         found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         for i, d in sorted(zip(item[count >= self.need[item]].tolist(), low[count >= self.need[item]].tolist())):
             k, n = int(self.most[i]), len(self.items[i])
@@ -116,14 +128,23 @@ class Searcher:
                     taken.append((e, a, b))
                     yield doc, self.ids[i], e, a, b
 
+    def find_short(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+        """The same for items of fewer than ``q`` characters: every place where one stands as whole words."""
+        if len(self.short):
+            for doc, t in enumerate(texts):
+                for end, (item, ids) in self.short.iter(f" {t} "):
+                    for i in ids:
+                        yield doc, i, 0, end - len(item) - 1, end - 1
+
 
 def contaminated(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = RATE, block: int = ITEMS) -> DataFrame:
     """Copies of ``items(item_id, text)`` in ``docs(doc_id, text)``.
 
     One row per copy: doc_id, item_id, edits, similarity (1 - edits / length of
     the item), span_start and span_end in the document's normalised text.
-    Items shorter than ``q`` characters and null items match nothing, null and
-    empty documents hold nothing, repeated rows report again, and tables
+    Items shorter than ``q`` characters are found where they stand as whole
+    words, without edits; null and empty items match nothing, null and empty
+    documents hold nothing, a text of any length is searched whole, repeated rows report again, and tables
     without rows give none.  Other columns are ignored.  Items are indexed in
     blocks of at most ``block`` characters (one item at least), each sent to
     all tasks, whatever the benchmark's size.
@@ -134,10 +155,10 @@ def contaminated(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = RA
 
         def search(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             searcher = Searcher(shared.value, q, rate)
-            lengths = {i: len(p) for i, p in zip(searcher.ids, searcher.items)}
+            lengths = {i: len(normal(t)) for i, t in shared.value}
             for f in frames:
                 ids = f["doc_id"].to_numpy()
-                rows = [(ids[d], i, e, 1 - e / lengths[i], a, z) for d, i, e, a, z in _copies(searcher, f["text"])]
+                rows = [(ids[d], i, e, 1 - e / lengths[i], a, z) for d, i, e, a, z in _copies(searcher, f["text"], True)]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "similarity", "span_start", "span_end"])
 
         found = slim.mapInPandas(search, f"doc_id string, {SCHEMA}")
@@ -154,19 +175,24 @@ def _blocks(items: DataFrame, block: int) -> list[Broadcast]:
     return [items.sparkSession.sparkContext.broadcast([tuple(r) for r in p.collect()]) for p in parts]
 
 
-def _copies(searcher: Searcher, texts: pd.Series) -> Iterator[tuple[int, int, int, int, int]]:
-    """:meth:`Searcher.find` over many texts, some at a time."""
+def _copies(searcher: Searcher, texts: pd.Series, short: bool) -> Iterator[tuple[int, int, int, int, int]]:
+    """:meth:`Searcher.find` over many texts, some at a time; with ``short``, :meth:`Searcher.find_short` too."""
     batch, size, first = [], 0, 0
     for n, t in enumerate([*texts, None]):
         if size > CHUNK or n == len(texts):
             yield from ((first + d, *r) for d, *r in searcher.find(batch))
+            if short:
+                yield from ((first + d, *r) for d, *r in searcher.find_short(batch))
             batch, size, first = [], 0, n
         batch.append(normal(t))
         size += len(batch[-1])
 
 
 def clean(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = RATE, block: int = ITEMS) -> DataFrame:
-    """The rows of ``docs`` that hold no copy of an item, all columns as they are; see :func:`contaminated`."""
+    """The rows of ``docs`` that hold no copy of an item, all columns as they are; see :func:`contaminated`.
+
+    Items shorter than ``q`` characters, words of the language perhaps, drop no document.
+    """
     for shared in _blocks(items, block):
         docs = docs.where(_free(shared, q, rate)(F.col("text")))
     return docs
@@ -178,7 +204,7 @@ def _free(shared: Broadcast, q: int, rate: float):
         searcher = Searcher(shared.value, q, rate)
         for s in texts:
             out = np.ones(len(s), bool)
-            out[[d for d, *_ in _copies(searcher, s)]] = False
+            out[[d for d, *_ in _copies(searcher, s, False)]] = False
             yield pd.Series(out)
 
     return free

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -51,17 +53,42 @@ class Index:
         with np.errstate(over="ignore"):
             return (code * _BASE) >> np.uint64(64 - _BITS)
 
-    def hits(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All (place in ``code``, pattern, position in the pattern) with equal codes."""
+    def _found(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in ``code`` of known codes, the first row of each in the index, and how many rows it has."""
         at = np.flatnonzero(self.seen[self._slot(code)])
         if not len(at) or not len(self.code):
             return (np.zeros(0, np.int64),) * 3
         k = np.minimum(np.searchsorted(self.code, code[at]), len(self.code) - 1)
         same = self.code[k] == code[at]
         at, k = at[same], k[same]
-        n = self.first[k + 1] - self.first[k]
-        rows = np.repeat(self.first[k] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        return np.repeat(at, n), self.pattern[rows], self.position[rows]
+        return at, self.first[k], self.first[k + 1] - self.first[k]
+
+    def slices(self, code: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """All (place in ``code``, pattern, position in the pattern) with equal codes, about ``most`` at a time."""
+        at, first, n = self._found(code)
+        total = np.cumsum(n)
+        cuts = np.searchsorted(total, np.arange(most, total[-1] if len(total) else 0, most), "right")
+        for i, j in zip([0, *cuts], [*cuts, len(at)]):
+            if j > i:
+                m = n[i:j]
+                rows = np.repeat(first[i:j] - np.concatenate(([0], np.cumsum(m)[:-1])), m) + np.arange(m.sum())
+                yield np.repeat(at[i:j], m), self.pattern[rows], self.position[rows]
+
+    def hits(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All of :meth:`slices` at once."""
+        parts = list(self.slices(code))
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
+
+    def bands(self, code: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """:func:`bands` of all hits, of which only a slice is held at a time."""
+        have = (np.zeros(0, np.int64),) * 3
+        for part in self.slices(code):
+            pattern, low, count = (np.concatenate(x) for x in zip(have, bands(*part, widths)))
+            order = np.lexsort((low, pattern))
+            pattern, low, count = pattern[order], low[order], count[order]
+            starts = np.flatnonzero(np.append(True, (np.diff(pattern) != 0) | (np.diff(low) != 0)))
+            have = pattern[starts], low[starts], np.add.reduceat(count, starts)
+        return have
 
 
 def bands(at: np.ndarray, pattern: np.ndarray, position: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
