@@ -23,7 +23,7 @@ from . import grams
 
 Q, WINDOW = 8, 5
 #: Least coverage reported, least share of a template's kept grams in a band, and widest shift within a band.
-COVERAGE, CANDIDATE, DRIFT = 0.8, 0.3, 120
+COVERAGE, CANDIDATE, DRIFT = 0.8, 0.1, 120
 CHUNK = 500_000
 _WORD = re.compile(r"[^\W_]+")
 
@@ -99,7 +99,7 @@ class Scanner:
         whole = np.zeros(int(ends[-1]) if parts else 0, np.uint32)
         for p, e in zip(parts, ends):
             whole[e - 1 - len(p) : e - 1] = p
-        pattern, low, count = grams.bands(*self.index.hits(grams.codes(whole, Q)), self.widths)
+        pattern, low, count = self.index.bands(grams.codes(whole, Q), self.widths)
         keep = count >= self.need[pattern]
         found: dict[int, list[tuple]] = {}
         for i, d in zip(pattern[keep].tolist(), low[keep].tolist()):
