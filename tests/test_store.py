@@ -85,9 +85,9 @@ def test_schema_differences_and_plan():
 def test_prevalence_and_gates(spark):
     p = lambda *a: spark.range(1).select(corpus.prevalence(*[F.lit(x) for x in a])).first()[0]
     assert [p(1, 9, 1), p(6, 9, 1), p(5, 9, 1), p(9, 9, 2), p(0, 0, 1)] == ["one", "EVERY", "", "", ""]
-    seen = spark.createDataFrame([("s", 1, 5), ("s", 2, 50), ("s", 3, 1)], "source string, sid long, entries long")
-    allowed = spark.createDataFrame([("s", 1, 1), ("s", 2, 1), ("s", 9, 1)], "source string, sid long, count_when_measured long")
-    assert {tuple(r) for r in corpus.review(seen, allowed).collect()} == {("s", 2, "above ceiling"), ("s", 3, "offender"), ("s", 9, "stale")}
+    seen = spark.createDataFrame([("s", 1, "d", 5), ("s", 1, "i", 5), ("s", 2, "d", 50), ("s", 3, "d", 1)], "source string, sid long, label_basis string, entries long")
+    allowed = spark.createDataFrame([("s", 1, "d", 1), ("s", 2, "d", 1), ("s", 9, "d", 1)], "source string, sid long, label_basis string, count_when_measured long")
+    assert {tuple(r) for r in corpus.review(seen, allowed).collect()} == {("s", 1, "i", "offender"), ("s", 2, "d", "above ceiling"), ("s", 3, "d", "offender"), ("s", 9, "d", "stale")}
     builds = spark.createDataFrame([("w", "success", T0), ("w", "failure", T0 + DAY), ("x", "failure", T0)], "workflow string, conclusion string, created_us long")
     assert {(r["workflow"], r["stale"]) for r in corpus.liveness(builds, T0 + 3 * DAY, 3.0).collect()} == {("w", False), ("x", True)}
 

@@ -31,6 +31,19 @@ def compressed(name: str) -> Column:
     return F.when(F.contains(F.col(name), F.lit(":")), ip6(name)).otherwise(F.col(name))
 
 
+def packed(ip: Column) -> Column:
+    """An address as the hexadecimal text of its bytes: 8 digits for IPv4, 32 for IPv6; texts order as the bytes do."""
+    pair = lambda a, b: F.lpad(F.hex(a.cast("bigint") * 256 + b.cast("bigint")), 4, "0")
+    dotted = F.split(F.regexp_extract(ip, r"([0-9.]+)$", 1), r"\.")
+    tail = F.concat(pair(F.get(dotted, 0), F.get(dotted, 1)), pair(F.get(dotted, 2), F.get(dotted, 3)))
+    # An IPv4 address at the end of an IPv6 one is its last two groups.
+    plain = F.when(F.contains(ip, F.lit(".")), F.concat(F.regexp_replace(ip, r"[0-9.]+$", ""), F.substring(tail, 1, 4), F.lit(":"), F.substring(tail, 5, 4))).otherwise(ip)
+    digits = lambda x: F.array_join(F.transform(F.filter(F.split(x, ":"), lambda g: g != ""), lambda g: F.lpad(F.lower(g), 4, "0")), "")
+    head, rest = F.split_part(plain, F.lit("::"), F.lit(1)), F.split_part(plain, F.lit("::"), F.lit(2))
+    zeros = F.repeat(F.lit("0"), 32 - F.length(digits(head)) - F.length(digits(rest)))
+    return F.when(F.contains(ip, F.lit(":")), F.concat(digits(head), zeros, digits(rest))).otherwise(F.lower(tail))
+
+
 def canonical_json(name: str, *dropped: str) -> Column:
     """JSON with sorted keys and without the ``dropped`` paths (``a`` or ``a.b``); what isn't JSON is an error."""
 

@@ -36,10 +36,13 @@ def warning_heads(warnings: DataFrame) -> DataFrame:
 
 
 def review(seen: DataFrame, tolerated: DataFrame, ceiling: int = CEILING) -> DataFrame:
-    """``source, sid, fault``: entries that nobody tolerates, tolerated ones that grew too far, and stale ones."""
-    both = seen.join(tolerated, ["source", "sid"], "full_outer")
+    """``source, sid, label_basis, fault``: entries that nobody tolerates, tolerated ones that grew too far, and stale ones.
+
+    What is tolerated on one basis says nothing of another.
+    """
+    both = seen.join(tolerated, ["source", "sid", "label_basis"], "full_outer")
     fault = F.when(F.col("count_when_measured").isNull(), "offender").when(F.col("entries").isNull(), "stale").when(F.col("entries") > ceiling * F.col("count_when_measured"), "above ceiling")
-    return both.select("source", "sid", fault.alias("fault")).where("fault is not null")
+    return both.select("source", "sid", "label_basis", fault.alias("fault")).where("fault is not null")
 
 
 def liveness(builds: DataFrame, now_us: int, days: float) -> DataFrame:

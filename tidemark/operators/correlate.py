@@ -116,3 +116,15 @@ def gate(row, threshold: float = 0.01) -> list[str]:
     if row["unmatched_ratio"] > threshold:
         raise Unmatched(f"{said}; above the {threshold:.2%} threshold")
     return [f"{said}; they are listed as unmatched and carry no label"]
+
+
+def in_windows(windows: DataFrame, dets: DataFrame, keys: list[str], bucket: int) -> DataFrame:
+    """``uid, detections``: how many of ``dets(did, ts_us, *keys)`` fall into each window ``(uid, a, b, *keys)``, ends included.
+
+    Windows are dealt to the buckets of time that they touch, so keys and
+    bucket join for equality; a key with many detections is many buckets.
+    """
+    slot = lambda c: F.floor(F.col(c) / bucket).cast("bigint")
+    dealt = windows.withColumn("slot", F.explode(F.sequence(slot("a"), slot("b"))))
+    hit = dealt.join(dets.withColumn("slot", slot("ts_us")), [*keys, "slot"]).where("ts_us between a and b").groupBy("uid").agg(F.count("*").alias("detections"))
+    return windows.select("uid").join(hit, "uid", "left").select("uid", F.coalesce("detections", F.lit(0)).cast("bigint").alias("detections"))

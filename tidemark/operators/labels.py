@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNNAMED = "unnamed"
@@ -19,10 +19,14 @@ def basis(source_class: Column, address_indicator: Column) -> Column:
 def entries(placed: DataFrame, terms: DataFrame, indicators: DataFrame) -> DataFrame:
     """Placed detections with the terms of their source; sources that may not label are left out.
 
-    ``indicators(sid, address_indicator)``: a sid that isn't there is unclassified, not false.
+    A source without terms is a failure: its label would have an invented
+    origin.  ``indicators(sid, address_indicator)``: a sid that isn't there is
+    unclassified, not false.
     """
-    own = placed.where("uid is not null").join(terms.where("source_class <> 'identify'"), "source_id").join(indicators, "sid", "left")
-    return own.withColumn("label_basis", basis(F.col("source_class"), F.col("address_indicator")))
+    own = placed.where("uid is not null").join(terms, "source_id", "left").join(indicators, "sid", "left")
+    fault = F.raise_error(F.concat(F.lit("no terms of source "), F.coalesce(F.col("source_id").cast("string"), F.lit("null"))))
+    known = own.withColumn("source_class", F.when(F.col("source_class").isNull(), fault.cast("string")).otherwise(F.col("source_class")))
+    return known.where("source_class <> 'identify'").withColumn("label_basis", basis(F.col("source_class"), F.col("address_indicator")))
 
 
 def consolidate(rows: DataFrame) -> DataFrame:
@@ -75,5 +79,6 @@ def violations(labels: DataFrame) -> DataFrame:
 
 def first_per_key(dets: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """Keeps the first row of each key in ``order``, with the number of rows it stands for."""
-    w = Window.partitionBy(*key)
-    return dets.withColumns({"__n": F.row_number().over(w.orderBy(*order)), "firings": F.count("*").over(w)}).where("__n = 1").drop("__n")
+    rest = [c for c in dets.columns if c not in key]
+    kept = dets.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__first"), F.count("*").alias("firings"))
+    return kept.select(*[F.col(c) if c in key else F.col(f"__first.{c}").alias(c) for c in dets.columns], "firings")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.net import packed
+
 TRANSPORTS = ("tcp", "udp", "icmp")
 TABLES = ("captures", "flow_labels", "unmatched")
 
@@ -24,22 +25,15 @@ def run_id(capture: Column, mode: Column, started: Column, version: Column) -> C
     return F.substring(F.sha2(F.concat_ws("|", capture, mode, started, version), 256), 1, 16)
 
 
-def packed4(ip: Column) -> Column:
-    """An IPv4 address as a number, to order endpoints by."""
-    part = lambda i: F.split_part(ip, F.lit("."), F.lit(i)).cast("bigint")
-    return part(1) * 16777216 + part(2) * 65536 + part(3) * 256 + part(4)
-
-
 def flow_key(capture: Column, ip_proto: Column) -> Column:
     """Identity of a flow with columns proto, src_*, dst_*, ts_first_us: its endpoints in order, never its uid.
 
-    IPv4 endpoints are ordered by address and port; other texts by the text.
+    Endpoints are ordered by the bytes of their address, then by port; addresses are in their canonical text.
     """
 
     def end(p: str) -> Column:
         ip, port = F.col(f"{p}_ip"), F.col(f"{p}_port")
-        number = F.when(~F.contains(ip, F.lit(":")), packed4(ip))
-        return F.struct(number.alias("number"), ip.alias("ip"), port.alias("port"), F.concat(ip, F.lit(":"), port.cast("string")).alias("text"))
+        return F.struct(packed(ip).alias("packed"), port.alias("port"), F.concat(ip, F.lit(":"), port.cast("string")).alias("text"))
 
     a, b = end("src"), end("dst")
     return F.substring(F.sha2(F.concat_ws("|", capture, F.lower("proto"), ip_proto.cast("string"), F.least(a, b)["text"], F.greatest(a, b)["text"], iso(F.col("ts_first_us"))), 256), 1, 16)
@@ -105,8 +99,6 @@ def load(spark: SparkSession, root: str, run: str, tables: dict[str, DataFrame],
     return True
 
 
-
-
 def uri_fault(uri: Column) -> Column:
     """What is wrong with a capture's gs:// URI, the first fault only; null if nothing is."""
     bucket = F.split_part(F.regexp_replace(uri, "^gs://", ""), F.lit("/"), F.lit(1))

@@ -63,7 +63,7 @@ def bidirectional_candidates(spark, sf_dir):
 def label_consolidation(spark, sf_dir):
     out = labels.consolidate(entries(views(spark, sf_dir)))
     return out.select(
-        "uid", "best_tier", F.size("sources").cast("long").alias("sources"), F.array_join(F.transform("verdict_sids", lambda x: x.cast("string")), ",").alias("sids"),
+        "uid", "best_tier", F.size("sources").cast("long").alias("sources"), F.md5(F.array_join(F.transform("sources", lambda x: F.concat_ws("|", x["tier"].cast("string"), x["source"], x["sid"].cast("string"), x["rev"].cast("string"), x["direction"], x["threat"], x["licence"], x["admission_basis"], x["label_basis"])), "\n").cast("binary")).alias("entries_md5"), F.array_join(F.transform("verdict_sids", lambda x: x.cast("string")), ",").alias("sids"),
         F.col("inline.threat").alias("threat_name"), F.col("inline.sid").alias("threat_sid"),
     )
 
@@ -83,7 +83,18 @@ def unmatched_detections(spark, sf_dir):
 
 
 def label_violations(spark, sf_dir):
-    return labels.violations(labels.label_entries(labels.consolidate(entries(views(spark, sf_dir)))))
+    """Labels of which some are broken on purpose, by the number in their flow's uid."""
+    l = labels.label_entries(labels.consolidate(entries(views(spark, sf_dir))))
+    n = F.substring("uid", 2, 12).cast("bigint")
+    verdict = lambda x: x["name"] == "verdict"
+    broken = l.withColumns({
+        "best_tier": F.when(n % 100 == 32, 3).otherwise(F.col("best_tier")),
+        "sources": F.when(n % 100 == 33, F.slice("sources", 1, 0)).otherwise(F.col("sources")),
+        "labels": F.when(n % 100 == 34, F.filter("labels", lambda x: ~verdict(x))).when(n % 100 == 35, F.concat("labels", F.filter("labels", verdict)))
+        .when(n % 100 == 36, F.transform("labels", lambda x: F.when(verdict(x), x.withField("value", F.lit(""))).otherwise(x))).when(n % 100 == 37, F.transform("labels", lambda x: F.when(verdict(x), x.withField("sids", F.concat(x["sids"], F.array(F.lit(-1).cast("bigint"))))).otherwise(x)))
+        .otherwise(F.col("labels")),
+    })
+    return labels.violations(broken)
 
 
 def identify_suppression(spark, sf_dir):
@@ -131,12 +142,11 @@ def replay_window(spark, sf_dir):
 
 
 def log_window(spark, sf_dir):
-    """Detections in a capture's padded window, two minutes on either side."""
+    """Detections in a flow's padded window, two minutes on either side."""
     v = views(spark, sf_dir)
-    w = v["flows"].where("o_orderkey % 1000 = 1").select("uid", "proto", "src_ip", (F.col("ts_first_us") - 120_000_000).alias("a"), (F.col("ts_last_us") + 120_000_000).alias("b"))
-    d = v["dets"].where("tier = 1").select("did", F.col("proto").alias("p"), F.col("src_ip").alias("s"), "ts_us")
-    hit = w.join(d, (F.col("proto") == F.col("p")) & (F.col("src_ip") == F.col("s")) & F.col("ts_us").between(F.col("a"), F.col("b")), "left")
-    return hit.groupBy("uid").agg(F.count("did").alias("detections"))
+    w = v["flows"].select("uid", "proto", "src_ip", (F.col("ts_first_us") - 120_000_000).alias("a"), (F.col("ts_last_us") + 120_000_000).alias("b"))
+    d = v["dets"].where("tier = 1").select("did", "proto", "src_ip", "ts_us")
+    return correlate.in_windows(w, d, ["proto", "src_ip"], 5 * 86_400_000_000)
 
 
 QUERIES = {
@@ -147,7 +157,7 @@ QUERIES = {
         label_consolidation,
         f"""{duck('dets', 'terms')}, {PLACED}, {ENTRIES},
 inline AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY (alert_us = 0)::int, alert_us, sid, threat) AS r FROM entries WHERE tier = 1 AND threat <> 'unnamed')
-SELECT e.uid, min(e.tier) AS best_tier, count(*) AS sources, array_to_string(list_sort(list(DISTINCT e.sid)), ',') AS sids, any_value(i.threat) AS threat_name, any_value(i.sid) AS threat_sid
+SELECT e.uid, min(e.tier) AS best_tier, count(*) AS sources, md5(string_agg(concat_ws('|', tier, source, e.sid, rev, direction, e.threat, licence, admission_basis, label_basis), chr(10) ORDER BY tier, source, e.sid, rev, direction, e.threat, licence, admission_basis, label_basis)) AS entries_md5, array_to_string(list_sort(list(DISTINCT e.sid)), ',') AS sids, any_value(i.threat) AS threat_name, any_value(i.sid) AS threat_sid
 FROM entries e LEFT JOIN (SELECT uid, threat, sid FROM inline WHERE r = 1) i ON e.uid = i.uid GROUP BY e.uid""",
     ),
     "r16_r17_label_basis": (label_basis, f"{duck('dets', 'terms')}, {PLACED}, {ENTRIES} SELECT source, label_basis, count(*) AS entries, count(DISTINCT sid) AS sids FROM entries GROUP BY 1, 2"),
@@ -159,7 +169,13 @@ SELECT count(*) AS detections_total, count(reason) AS unmatched, count(*) FILTER
  round(CAST(count(*) FILTER (reason IN ('no_flow_match', 'ambiguous_flow_match')) AS double) / (count(*) - count(*) FILTER (reason = 'unsupported_transport')), 9) AS unmatched_ratio FROM placed""",
     ),
     "o03_unmatched_detections": (unmatched_detections, f"{duck('dets')}, {PLACED} SELECT did, ts_us, source_id, sid, reason FROM placed WHERE reason IS NOT NULL"),
-    "v01_v02_label_violations": (label_violations, "SELECT CAST(NULL AS varchar) AS uid, CAST(NULL AS varchar) AS rule WHERE false"),
+    "v01_v02_label_violations": (
+        label_violations,
+        f"""{duck('dets', 'terms')}, {PLACED}, {ENTRIES}, l AS (SELECT DISTINCT uid, CAST(substr(uid, 2, 12) AS bigint) % 100 AS n FROM entries),
+r(n, rule) AS (VALUES (32, 'best tier is not the least'), (32, 'verdict tier is not the best'), (33, 'no sources'), (33, 'best tier is not the least'), (33, 'sids without a source'), (34, 'not exactly one verdict'), (35, 'not exactly one verdict'), (35, 'names repeat or are not sorted'),
+ (36, 'empty value'), (37, 'sids empty, unsorted or repeated'), (37, 'sids without a source'))
+SELECT uid, rule FROM l JOIN r USING (n)""",
+    ),
     "f02_identify_suppression": (identify_suppression, f"{duck('dets', 'terms')} SELECT tier, count(*) FILTER (source_class = 'identify') AS suppressed, count(*) FILTER (source_class <> 'identify') AS kept FROM dets JOIN terms USING (source_id) GROUP BY tier"),
     "a09_device_dedup": (
         device_dedup,
@@ -180,5 +196,5 @@ m AS (SELECT concat('cap', (did // 1000) % 7) AS capture, bool_or(coalesce(reaso
 SELECT a.capture, m.detection_uncorrelatable, m.ambiguous_flow_match, m.unsupported_transport FROM (SELECT DISTINCT capture FROM flows UNION ALL SELECT 'capnone') a LEFT JOIN m USING (capture)""",
     ),
     "p17_replay_window": (replay_window, f"{duck('flows')}, w AS (SELECT capture, min(ts_first_us) AS a, max(ts_last_us) AS b, count(*) AS flows FROM flows GROUP BY 1) SELECT capture, flows, CAST(b - a AS double) / 15000000 AS scale, CAST(round_even(a + 7500000 * (CAST(b - a AS double) / 15000000), 0) AS bigint) AS middle_us FROM w"),
-    "f10_log_window": (log_window, f"{duck('dets')} SELECT f.uid, count(d.did) AS detections FROM flows f LEFT JOIN dets d ON d.tier = 1 AND d.proto = f.proto AND d.src_ip = f.src_ip AND d.ts_us BETWEEN f.ts_first_us - 120000000 AND f.ts_last_us + 120000000 WHERE f.o_orderkey % 1000 = 1 GROUP BY 1"),
+    "f10_log_window": (log_window, f"{duck('dets')} SELECT f.uid, count(d.did) AS detections FROM flows f LEFT JOIN dets d ON d.tier = 1 AND d.proto = f.proto AND d.src_ip = f.src_ip AND d.ts_us BETWEEN f.ts_first_us - 120000000 AND f.ts_last_us + 120000000 GROUP BY 1"),
 }

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import device
-from ..operators import corpus
+from ..operators import corpus, tier1
 from .fixtures import duck, views
 
 #: Source entries of runs, from the detections: a run per order modulo 23.
-SEEN = """seen AS (SELECT concat('run', CAST((did {div} 1000) % 23 AS string)) AS run_id, concat('snap', CAST((did {div} 1000) % 23 % 1 AS string)) AS snapshot, concat('feed', CAST(source_id AS string)) AS source,
- sid % 100 AS sid, CASE WHEN sid % 4 = 0 THEN 'indicator-reference' ELSE 'direct' END AS label_basis, CASE WHEN sid % 3 = 0 THEN 'trojan-activity' END AS classtype FROM dets WHERE tier = 2 AND sid % 100 < 60)"""
+SEEN = """seen AS (SELECT concat('run', CAST((did {div} 1000) % 23 AS string)) AS run_id, concat('snap', CAST(CASE WHEN source_id % 3 = 0 THEN 0 ELSE (did {div} 1000) % 23 % 4 END AS string)) AS snapshot, concat('feed', CAST(source_id AS string)) AS source,
+ sid % 100 AS sid, CASE WHEN sid % 4 = 0 THEN 'indicator-reference' ELSE 'direct' END AS label_basis, CASE WHEN sid % 3 = 0 THEN 'trojan-activity' END AS classtype FROM dets WHERE tier = 2)"""
 RUNS = """runs AS (SELECT run_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE 100 - CAST(event_id % 3 AS int) END AS rules_loaded, 100 AS total_admitted,
  CASE WHEN event_id % 5 = 0 THEN 'partial' ELSE 'complete' END AS input_status, CAST(event_id % 4 AS int) AS unmatched, CASE WHEN event_id % 6 = 0 THEN NULL ELSE CAST(event_id % 2 AS int) END AS discarded_packets FROM all_runs)"""
 DEVICE = """device AS (SELECT CAST(l_orderkey AS bigint) * 8 + l_linenumber AS k, CASE l_linenumber % 4 WHEN 0 THEN concat('Some Threat(', CAST(l_partkey AS string), ')') WHEN 1 THEN CAST(l_partkey AS string) WHEN 2 THEN concat('(', CAST(l_suppkey AS string), ')') ELSE 'Bare name' END AS threatid,
@@ -38,9 +38,10 @@ def triage_totals(spark, sf_dir):
 
 
 def prevalence(spark, sf_dir):
+    """By the runs that a source was seen in; some sources stand in one snapshot, some in several."""
     seen = _seen(views(spark, sf_dir), spark)
-    overall = seen.agg(F.count_distinct("run_id").alias("captures"), F.count_distinct("snapshot").alias("snapshots"))
-    by = seen.groupBy("source", "sid").agg(F.count_distinct("run_id").alias("seen")).crossJoin(overall)  # one row on that side
+    overall = seen.groupBy("source").agg(F.count_distinct("run_id").alias("captures"), F.count_distinct("snapshot").alias("snapshots"))
+    by = seen.groupBy("source", "sid").agg(F.count_distinct("run_id").alias("seen")).join(overall, "source")
     return by.select("source", "sid", "seen", corpus.prevalence(F.col("seen"), F.col("captures"), F.col("snapshots")).alias("prevalence"))
 
 
@@ -55,9 +56,9 @@ def warning_rollup(spark, sf_dir):
 
 
 def allow_list_review(spark, sf_dir):
-    seen = _seen(views(spark, sf_dir), spark).groupBy("source", "sid").agg(F.count("*").alias("entries"))
-    tolerated = seen.where("sid % 10 <> 0").select("source", "sid", F.expr("CASE WHEN sid % 7 = 0 THEN 0 ELSE entries END").alias("count_when_measured"))
-    stale = spark.sql("SELECT 'gone' AS source, CAST(1 AS bigint) AS sid, CAST(5 AS bigint) AS count_when_measured")
+    seen = _seen(views(spark, sf_dir), spark).groupBy("source", "sid", "label_basis").agg(F.count("*").alias("entries"))
+    tolerated = seen.where("sid % 10 <> 0").select("source", "sid", F.expr("CASE WHEN sid % 11 = 0 THEN 'other' ELSE label_basis END").alias("label_basis"), F.expr("CASE WHEN sid % 7 = 0 THEN 0 ELSE entries END").alias("count_when_measured"))
+    stale = spark.sql("SELECT 'gone' AS source, CAST(1 AS bigint) AS sid, 'direct' AS label_basis, CAST(5 AS bigint) AS count_when_measured")
     return corpus.review(seen, tolerated.unionByName(stale))
 
 
@@ -101,18 +102,49 @@ def declined_subtypes(spark, sf_dir):
     return d.groupBy(F.lower("subtype").alias("subtype")).agg(F.count_if(device.admits(F.col("subtype"))).alias("admitted"), F.count_if(~device.admits(F.col("subtype"))).alias("declined"))
 
 
+#: The tier-1 detections as a device's threat log, in the device's words.
+_STAMP = {"spark": "date_format(timestamp_micros(ts_us - ts_us % 1000000), 'yyyy/MM/dd HH:mm:ss')", "duck": "strftime(make_timestamp(ts_us - ts_us % 1000000), '%Y/%m/%d %H:%M:%S')"}
+ENTRIES = """device_log AS (SELECT concat(threat, '(', CAST(sid AS string), ')') AS threatid, '' AS tid, CASE WHEN sid % 7 = 0 THEN 'url' WHEN sid % 5 = 0 THEN 'Spyware' ELSE 'vulnerability' END AS subtype, CASE WHEN sid % 2 = 0 THEN 'code-execution' ELSE '' END AS thr_category,
+ 'web' AS app, {stamp} AS receive_time, src_ip AS src, CAST(src_port AS string) AS sport, dst_ip AS dst, CAST(dst_port AS string) AS dport, upper(proto) AS proto, CASE WHEN direction = 'to_server' THEN 'client-to-server' ELSE 's2c' END AS direction, 'content-1' AS contentver, '' AS config_ver, did FROM dets WHERE tier = 1)"""
+
+
+def _log(v, spark):
+    return _sql(spark, ENTRIES.replace("{stamp}", _STAMP["spark"]), "device_log", dets=v["dets"])
+
+
+def tier_union(spark, sf_dir):
+    """Per source, tier and direction: detections of both tiers together, the device's deduplicated."""
+    v = views(spark, sf_dir)
+    two = v["dets"].where("tier = 2").select(F.concat(F.lit("feed"), F.col("source_id").cast("string")).alias("source"), "tier", "sid", "rev", F.lit(None).cast("string").alias("classtype"), F.lit(None).cast("string").alias("app_proto"), "threat", "ts_us", "src_ip", "src_port", "dst_ip", "dst_port", "proto", "direction")
+    both = tier1.union(tier1.deduplicated(tier1.detections(_log(v, spark))), two)
+    return both.groupBy("source", "tier", "direction", "classtype").agg(F.count("*").alias("detections"), F.count_distinct("sid").alias("sids"), F.sum("ts_us").cast("double").alias("times"))
+
+
+def declined_entries(spark, sf_dir):
+    return tier1.declined(_log(views(spark, sf_dir), spark)).groupBy("why").agg(F.count("*").alias("entries"), F.count_distinct("threat").alias("threats"))
+
+
+def device_loss(spark, sf_dir):
+    """Per log, the counters before and after, summed over the named ones, against what was retrieved."""
+    log = _log(views(spark, sf_dir), spark).groupBy((F.expr("did div 8") % 50).alias("log")).agg(F.count("*").alias("retrieved"))
+    counters = lambda *n: F.create_map(*[x for k, e in zip(("vulnerability", "spyware", "url", "anti-virus"), n) for x in (F.lit(k), F.expr(e))])
+    wrote = tier1.written(counters("log * 10", "100", "0", "5"), counters("log * 10 + retrieved", "100 + log % 3", "1000", "5 - log % 2"))
+    return log.select("log", wrote.cast("bigint").alias("written"), tier1.loss(F.col("retrieved"), wrote).alias("loss"))
+
+
 _SEEN = f"{duck('dets')}, {SEEN.replace('{div}', '//')}"
 _RUNS = f"{duck('all_runs')}, {RUNS}"
+_LOG = f"{duck('dets')}, {ENTRIES.replace('{stamp}', _STAMP['duck'])}"
 _CONCERN = "concat_ws(', ', CASE WHEN rules_loaded <> total_admitted THEN 'partial ruleset' END, CASE WHEN input_status <> 'complete' THEN 'partial input' END, CASE WHEN unmatched > 0 THEN 'unmatched detections' END, CASE WHEN discarded_packets > 0 THEN 'discarded packets' END)"
 QUERIES = {
     "a18_triage_totals": (triage_totals, f"{_SEEN} SELECT source, sid, label_basis, classtype, count(*) AS entries, count(DISTINCT run_id) AS runs FROM seen GROUP BY 1, 2, 3, 4"),
-    "a19_a22_prevalence": (prevalence, f"{_SEEN}, n AS (SELECT count(DISTINCT run_id) AS c FROM seen) SELECT source, sid, count(DISTINCT run_id) AS seen, CASE WHEN count(DISTINCT run_id) = 1 THEN 'one' WHEN count(DISTINCT run_id) * 1.0 / any_value(c) >= 2.0 / 3 THEN 'EVERY' ELSE '' END AS prevalence FROM seen, n GROUP BY 1, 2"),
+    "a19_a22_prevalence": (prevalence, f"{_SEEN}, n AS (SELECT source, count(DISTINCT run_id) AS c, count(DISTINCT snapshot) AS s FROM seen GROUP BY 1) SELECT source, sid, count(DISTINCT run_id) AS seen, CASE WHEN any_value(s) > 1 THEN '' WHEN count(DISTINCT run_id) = 1 THEN 'one' WHEN count(DISTINCT run_id) * 1.0 / any_value(c) >= 2.0 / 3 THEN 'EVERY' ELSE '' END AS prevalence FROM seen JOIN n USING (source) GROUP BY 1, 2"),
     "a20_run_concerns": (run_concerns, f"{_RUNS} SELECT run_id, {_CONCERN} AS concerns FROM runs"),
     "a21_warning_rollup": (warning_rollup, f"{_RUNS}, x AS (SELECT unnest(string_split({_CONCERN}, ', ')) AS head FROM runs) SELECT head, count(*) AS warnings FROM x WHERE head <> '' GROUP BY 1"),
     "j16_a23_allow_list_review": (
         allow_list_review,
-        f"""{_SEEN}, s AS (SELECT source, sid, count(*) AS entries FROM seen GROUP BY 1, 2), t AS (SELECT source, sid, CASE WHEN sid % 7 = 0 THEN 0 ELSE entries END AS m FROM s WHERE sid % 10 <> 0 UNION ALL SELECT 'gone', 1, 5)
-SELECT * FROM (SELECT coalesce(s.source, t.source) AS source, coalesce(s.sid, t.sid) AS sid, CASE WHEN t.m IS NULL THEN 'offender' WHEN s.entries IS NULL THEN 'stale' WHEN s.entries > 10 * t.m THEN 'above ceiling' END AS fault FROM s FULL JOIN t ON s.source = t.source AND s.sid = t.sid) WHERE fault IS NOT NULL""",
+        f"""{_SEEN}, s AS (SELECT source, sid, label_basis, count(*) AS entries FROM seen GROUP BY 1, 2, 3), t AS (SELECT source, sid, CASE WHEN sid % 11 = 0 THEN 'other' ELSE label_basis END AS label_basis, CASE WHEN sid % 7 = 0 THEN 0 ELSE entries END AS m FROM s WHERE sid % 10 <> 0 UNION ALL SELECT 'gone', 1, 'direct', 5)
+SELECT * FROM (SELECT coalesce(s.source, t.source) AS source, coalesce(s.sid, t.sid) AS sid, coalesce(s.label_basis, t.label_basis) AS label_basis, CASE WHEN t.m IS NULL THEN 'offender' WHEN s.entries IS NULL THEN 'stale' WHEN s.entries > 10 * t.m THEN 'above ceiling' END AS fault FROM s FULL JOIN t ON s.source = t.source AND s.sid = t.sid AND s.label_basis = t.label_basis) WHERE fault IS NOT NULL""",
     ),
     "a25_feed_liveness": (feed_liveness, f"{duck('all_runs')}, n AS (SELECT capture_sha256 AS workflow, max(finished_us) FILTER (user_id % 40 <> 3 AND event_type <> 'error') AS newest FROM all_runs GROUP BY 1) SELECT workflow, round((1800000000000000 - newest) / 86400000000.0::double, 6) AS age_days, newest IS NULL OR (1800000000000000 - newest) / 86400000000.0::double > 700 AS stale FROM n"),
     "j13_w04_run_differences": (
@@ -131,6 +163,18 @@ SELECT name, CASE WHEN name NOT IN (SELECT name FROM r) THEN 'only left' WHEN na
  CASE WHEN lower(proto) = 'tcp' THEN 'tcp' ELSE 'icmp' END AS proto, CASE WHEN port = 'n/a' THEN 0 ELSE CAST(port AS bigint) END AS port, lower(subtype) NOT IN ('url', 'wildfire') AS admits,
  CASE WHEN content = '' THEN 'unknown-content' ELSE concat(content, CASE WHEN config = '' THEN '' ELSE '/config-7' END) END AS ruleset, CASE received WHEN 'never' THEN 0 WHEN '2026/08/12 10:11:12' THEN epoch_us(TIMESTAMP '2026-08-12 10:11:12') ELSE epoch_us(TIMESTAMP '2026-08-12 08:11:12') END AS received_us,
  greatest(0, after - before) AS grown, regexp_extract(filename, '(cap\\d)', 1) AS directory FROM device""",
+    ),
+    "t01_tier_union": (
+        tier_union,
+        f"""{_LOG}, one AS (SELECT sid, direction, CASE WHEN sid % 2 = 0 THEN 'code-execution' END AS classtype, ts_us - ts_us % 1000000 AS ts, row_number() OVER (PARTITION BY sid, src_ip, src_port, dst_ip, dst_port, proto ORDER BY ts_us - ts_us % 1000000, direction) AS r FROM dets WHERE tier = 1 AND sid % 7 <> 0)
+SELECT 'device/threat-log' AS source, 1 AS tier, direction, classtype, count(*) AS detections, count(DISTINCT sid) AS sids, CAST(sum(ts) AS double) AS times FROM one WHERE r = 1 GROUP BY ALL
+UNION ALL SELECT concat('feed', source_id), tier, direction, NULL, count(*), count(DISTINCT sid), CAST(sum(ts_us) AS double) FROM dets WHERE tier = 2 GROUP BY ALL""",
+    ),
+    "p23_declined_entries": (declined_entries, f"{_LOG} SELECT 'subtype url' AS why, count(*) AS entries, count(DISTINCT regexp_replace(threatid, '\\(.*', '')) AS threats FROM device_log WHERE subtype = 'url'"),
+    "a10_a11_device_loss": (
+        device_loss,
+        f"""{_LOG}, l AS (SELECT (did // 8) % 50 AS log, count(*) AS retrieved FROM device_log GROUP BY 1)
+SELECT log, retrieved + log % 3 AS written, CASE WHEN log % 3 > 0 THEN format('{{}} written, {{}} retrieved: {{}} missing', retrieved + log % 3, retrieved, log % 3) END AS loss FROM l""",
     ),
     "f03_a12_declined_subtypes": (declined_subtypes, f"WITH {DEVICE} SELECT lower(subtype) AS subtype, count(*) FILTER (lower(subtype) NOT IN ('url', 'wildfire')) AS admitted, count(*) FILTER (lower(subtype) IN ('url', 'wildfire')) AS declined FROM device GROUP BY 1"),
 }

@@ -50,7 +50,7 @@ def address_indicators(spark, sf_dir):
 
 
 def rendered_rules(spark, sf_dir):
-    return rules.rendered(_judged(spark, sf_dir)).select("source", "sid", F.length("text").cast("long").alias("length"))
+    return rules.rendered(_judged(spark, sf_dir)).select("source", "sid", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 def sid_index(spark, sf_dir):
@@ -78,7 +78,7 @@ def continued_lines(spark, sf_dir):
     parts = lines.select("source", "line_no", F.posexplode(F.split("text", "; ")).alias("i", "part"), F.size(F.split("text", "; ")).alias("n"))
     cut = parts.select("source", (F.col("line_no") * 100 + F.col("i")).alias("line_no"), F.when(F.col("i") < F.col("n") - 1, F.concat("part", F.lit("; \\"))).otherwise(F.col("part")).alias("text"))
     joined = rules.logical_lines(cut)
-    return joined.select("source", F.expr("line_no div 100").alias("line_no"), F.length("text").cast("long").alias("length"), "dangling")
+    return joined.select("source", F.expr("line_no div 100").alias("line_no"), "text", "dangling")
 
 
 def classtype_join(spark, sf_dir):
@@ -92,35 +92,35 @@ def marker_census(spark, sf_dir):
     return own.groupBy("marker").agg(F.count("*").alias("rules")).withColumn("observing", F.coalesce(F.col("marker").isin(*rules.OBSERVING_MARKERS), F.lit(False)))
 
 
-_ADMITTED = "state = 'active' AND verdict IS NULL"
+ADMITTED = "state = 'active' AND verdict IS NULL"
 _SPLIT = "len(string_split(text, '; '))"
 QUERIES = {
     "f01_admission_verdicts": (admission_verdicts, f"{duck('rule_lines')}, {JUDGED} SELECT line_no, state, verdict FROM judged"),
     "a06_admission_counters": (
         admission_counters,
-        f"""{duck('rule_lines')}, {JUDGED} SELECT source, count(*) FILTER (state = 'active') AS fetched, count(*) FILTER ({_ADMITTED}) AS admitted, count(*) FILTER (state = 'disabled') AS commented,
- {', '.join(f"count(*) FILTER (verdict = '{v}') AS {v}" for v in rules.COUNTED)}, count(*) FILTER ({_ADMITTED} AND contains(text, 'ja3.hash')) AS ja3_admitted, count(*) FILTER ({_ADMITTED} AND contains(text, 'ja4.hash')) AS ja4_admitted,
- count(*) FILTER (state = 'active') - count(*) FILTER ({_ADMITTED}) - count(*) FILTER (verdict IS NOT NULL) AS balance FROM judged GROUP BY source""",
+        f"""{duck('rule_lines')}, {JUDGED} SELECT source, count(*) FILTER (state = 'active') AS fetched, count(*) FILTER ({ADMITTED}) AS admitted, count(*) FILTER (state = 'disabled') AS commented,
+ {', '.join(f"count(*) FILTER (verdict = '{v}') AS {v}" for v in rules.COUNTED)}, count(*) FILTER ({ADMITTED} AND contains(text, 'ja3.hash')) AS ja3_admitted, count(*) FILTER ({ADMITTED} AND contains(text, 'ja4.hash')) AS ja4_admitted,
+ count(*) FILTER (state = 'active') - count(*) FILTER ({ADMITTED}) - count(*) FILTER (verdict IS NOT NULL) AS balance FROM judged GROUP BY source""",
     ),
-    "a26_feed_yield": (feed_yield, f"{duck('rule_lines')}, {JUDGED} SELECT coalesce(source, 'Total') AS source, count(*) FILTER (state = 'active') AS fetched, count(*) FILTER ({_ADMITTED}) AS admitted, round(100.0 * CAST(count(*) FILTER ({_ADMITTED}) AS double) / nullif(count(*) FILTER (state = 'active'), 0), 4) AS percent FROM judged GROUP BY ROLLUP (source)"),
+    "a26_feed_yield": (feed_yield, f"{duck('rule_lines')}, {JUDGED} SELECT coalesce(source, 'Total') AS source, count(*) FILTER (state = 'active') AS fetched, count(*) FILTER ({ADMITTED}) AS admitted, round(100.0 * CAST(count(*) FILTER ({ADMITTED}) AS double) / nullif(count(*) FILTER (state = 'active'), 0), 4) AS percent FROM judged GROUP BY ROLLUP (source)"),
     "r02_r06_rule_fields": (
         rule_fields,
         f"""{duck('rule_lines')}, {JUDGED} SELECT line_no, CAST(sid_text AS bigint) AS sid, CAST(sid_text AS bigint) AS loaded_sid, nullif(classtype, '') AS classtype, nullif(confidence, '') AS confidence,
  CASE WHEN starts_with(msg, '🐾 - 👁') THEN '👁' WHEN starts_with(msg, '🐾 - 🚨') THEN '🚨' END AS marker, contains(text, 'ja4.hash') AS ja4 FROM judged""",
     ),
     "r07_r08_address_indicators": (address_indicators, f"{duck('rule_lines')} SELECT line_no, NOT (contains(text, 'content:\"x\"') OR contains(text, 'ja4.hash')) AS address_indicator, len(regexp_extract_all(text, ';')) AS options FROM rule_lines"),
-    "k06_rendered_rules": (rendered_rules, f"{duck('rule_lines')}, {JUDGED} SELECT source, CAST(sid_text AS bigint) AS sid, length(text) AS length FROM judged WHERE {_ADMITTED}"),
-    "k07_sid_index": (sid_index, f"{duck('rule_lines')}, {JUDGED} SELECT source, count(DISTINCT sid_text) AS sids, min(CAST(sid_text AS bigint)) AS first_sid, max(CAST(sid_text AS bigint)) AS last_sid, count(*) FILTER (NOT (contains(text, 'content:\"x\"') OR contains(text, 'ja4.hash'))) AS address_indicators FROM judged WHERE {_ADMITTED} GROUP BY source"),
-    "t05_sid_collisions": (sid_collisions, f"{duck('rule_lines')}, {JUDGED} SELECT CAST(sid_text AS bigint) % 500 AS sid, count(DISTINCT source) AS sources, array_to_string(list_sort(list(DISTINCT source)), ',') AS claimed_by FROM judged WHERE {_ADMITTED} GROUP BY 1 HAVING count(DISTINCT source) > 1"),
+    "k06_rendered_rules": (rendered_rules, f"{duck('rule_lines')}, {JUDGED} SELECT source, CAST(sid_text AS bigint) AS sid, md5(text) AS text_md5 FROM judged WHERE {ADMITTED}"),
+    "k07_sid_index": (sid_index, f"{duck('rule_lines')}, {JUDGED} SELECT source, count(DISTINCT sid_text) AS sids, min(CAST(sid_text AS bigint)) AS first_sid, max(CAST(sid_text AS bigint)) AS last_sid, count(*) FILTER (NOT (contains(text, 'content:\"x\"') OR contains(text, 'ja4.hash'))) AS address_indicators FROM judged WHERE {ADMITTED} GROUP BY source"),
+    "t05_sid_collisions": (sid_collisions, f"{duck('rule_lines')}, {JUDGED} SELECT CAST(sid_text AS bigint) % 500 AS sid, count(DISTINCT source) AS sources, array_to_string(list_sort(list(DISTINCT source)), ',') AS claimed_by FROM judged WHERE {ADMITTED} GROUP BY 1 HAVING count(DISTINCT source) > 1"),
     "j08_index_reconciliation": (
         index_reconciliation,
-        f"""{duck('rule_lines')}, {JUDGED}, have AS (SELECT CAST(sid_text AS bigint) AS sid FROM judged WHERE {_ADMITTED}), idx AS (SELECT DISTINCT CAST(sid_text AS bigint) AS sid FROM judged WHERE line_no % 7 <> 0)
+        f"""{duck('rule_lines')}, {JUDGED}, have AS (SELECT CAST(sid_text AS bigint) AS sid FROM judged WHERE {ADMITTED}), idx AS (SELECT DISTINCT CAST(sid_text AS bigint) AS sid FROM judged WHERE line_no % 7 <> 0)
 SELECT sid, 'unattributed' AS fault FROM have WHERE sid NOT IN (SELECT sid FROM idx) UNION ALL SELECT sid, 'phantom' FROM idx WHERE sid NOT IN (SELECT sid FROM have)""",
     ),
     "s19_continued_lines": (
         continued_lines,
         f"""{duck('rule_lines')}, x AS (SELECT *, starts_with(text, '#') AS off, length(string_split(text, '; ')[1]) AS head FROM rule_lines)
-SELECT source, line_no, CASE WHEN off THEN head + 3 ELSE length(text) END AS length, false AS dangling FROM x UNION ALL SELECT source, line_no, length(text) - head - 2, false FROM x WHERE off""",
+SELECT source, line_no, CASE WHEN off THEN concat(substr(text, 1, head), '; \\') ELSE text END AS text, false AS dangling FROM x UNION ALL SELECT source, line_no, substr(text, head + 3), false FROM x WHERE off""",
     ),
     "j06_j07_classtype_join": (classtype_join, f"{duck('rule_lines', 'dets')}, {JUDGED} SELECT nullif(j.classtype, '') AS classtype, j.source, count(*) AS detections FROM dets d LEFT JOIN judged j ON d.sid = CAST(j.sid_text AS bigint) GROUP BY 1, 2"),
     "a24_marker_census": (marker_census, f"{duck('rule_lines')}, {JUDGED}, m AS (SELECT CASE WHEN starts_with(msg, '🐾 - 👁') THEN '👁' WHEN starts_with(msg, '🐾 - 🚨') THEN '🚨' END AS marker FROM judged) SELECT marker, count(*) AS rules, coalesce(marker = '👁', false) AS observing FROM m GROUP BY 1"),

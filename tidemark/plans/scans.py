@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import constraints, documents, rules
 from ..sources import engines, feeds
 from .fixtures import duck, views
+from .ruleset import ADMITTED, JUDGED
 
 
 def _lines(df, *columns):
@@ -51,7 +52,7 @@ def alert_counts(spark, sf_dir):
 def sid_index_scan(spark, sf_dir):
     j = rules.judge(views(spark, sf_dir)["rule_lines"])
     index = rules.sid_index(j)
-    doc = index.agg(F.to_json(F.struct(F.lit(3).alias("schema"), F.map_from_entries(F.collect_list(F.struct("source", "sids"))).alias("sources"), F.array(F.lit(4).cast("bigint"), F.lit(8).cast("bigint")).alias("address_indicator"))).alias("value"))
+    doc = index.select(F.to_json(F.struct(F.lit(3).alias("schema"), F.create_map("source", "sids").alias("sources"), F.filter("sids", lambda x: x % 4 == 0).alias("address_indicator"))).alias("value"))
     return feeds.sid_index(doc).groupBy("source", "address_indicator").agg(F.count("*").alias("sids"))
 
 
@@ -85,7 +86,7 @@ SELECT it.source, x.proto, direction, 'age 1|tag a|tag b' AS metadata, count(*)
 FROM x JOIN it USING (sid) LEFT JOIN c USING (sid) WHERE x.sid % 31 <> 0 AND it.source_class <> 'identify' GROUP BY 1, 2, 3""",
     ),
     "s12_alert_counts": (alert_counts, f"{duck('dets', 'terms')}, {_T2} SELECT count(*) FILTER (x.sid % 31 <> 0) AS alerts_total, count(*) FILTER (x.sid % 31 <> 0 AND source_class = 'identify') AS identify_suppressed, count(*) FILTER (x.sid % 31 = 0) AS other_events FROM x JOIN it USING (sid)"),
-    "s21_s22_sid_index_scan": (sid_index_scan, None),
+    "s21_s22_sid_index_scan": (sid_index_scan, f"{duck('rule_lines')}, {JUDGED}, x AS (SELECT DISTINCT source, CAST(sid_text AS bigint) AS sid FROM judged WHERE {ADMITTED}) SELECT source, sid % 4 = 0 AS address_indicator, count(*) AS sids FROM x GROUP BY 1, 2"),
     "a13_loss_flags": (
         loss_flags,
         f"""{duck('all_runs')} SELECT run_id, CASE WHEN event_id % 9 > 0 THEN event_id % 5 = 0 END AS input_truncated, CASE WHEN event_id % 9 > 0 THEN event_id % 2 > 0 END AS multi_datalink_discard, CASE WHEN event_id % 4 > 0 THEN event_id % 3 > 0 END AS detection_uncorrelatable,

@@ -45,17 +45,27 @@ def run_identity(spark, sf_dir):
     return r.select(F.col("run_id").alias("name"), store.run_id(F.col("capture_sha256"), F.col("mode"), store.iso(F.col("finished_us")), F.lit("1.0")).alias("run_id"))
 
 
+#: Every fifth flow has IPv6 addresses instead, whose order as text isn't that of their bytes.
+_SIX = {"src_ip": "CASE WHEN o_orderkey % 5 = 0 THEN concat('2001:db8::', CAST(src_port AS string)) ELSE src_ip END", "dst_ip": "CASE WHEN o_orderkey % 5 = 0 THEN concat('::', CAST(1 + o_orderkey % 40 AS string)) ELSE dst_ip END"}
+
+
 def flow_identity(spark, sf_dir):
-    f = views(spark, sf_dir)["flows"]
+    f = views(spark, sf_dir)["flows"].withColumns({k: F.expr(v) for k, v in _SIX.items()})
     return f.select("uid", store.flow_key(F.col("capture"), F.expr("CASE proto WHEN 'tcp' THEN 6 WHEN 'udp' THEN 17 ELSE 1 END")).alias("flow_key"), store.iso(F.col("ts_first_us")).alias("ts_first"))
 
 
+#: The runs of a detection: two, by its number among all runs.
+_OF = "(did * 7919 + {k} * 104729) % {n}"
+
+
 def _rows(v):
-    """Label rows of several runs: each placed detection is in two runs of its capture's number."""
+    """Label rows: each placed detection is in two runs."""
     placed = correlate.place(v["dets"], v["flows"]).where("uid is not null")
-    runs = v["all_runs"].where("event_id % 11 < 2").select("run_id", "capture_sha256", (F.regexp_extract("capture_sha256", r"(\d+)", 1).cast("int")).alias("n"))
-    own = placed.select(F.expr("cast((did div 1000) % 40 as int)").alias("n"), F.col("uid").alias("flow_key"), "tier", "source_id", "sid", F.when(F.expr("sid % 1999 = 0"), "other").otherwise("malicious").alias("value")).where("sid % 7 = 0")
-    return own.join(runs, "n")
+    runs = v["all_runs"].select("run_id", "capture_sha256", F.col("event_id").alias("n"))
+    total = v["all_runs"].agg(F.max("event_id") + 1).first()[0]
+    own = placed.withColumn("n", F.explode(F.array(*[F.expr(_OF.format(k=k, n=total)) for k in (0, 1)])))
+    value = F.when(F.expr("sid % 1999 = 0"), "other").otherwise("malicious").alias("value")
+    return own.select("n", F.col("uid").alias("flow_key"), "tier", "source_id", "sid", value).join(runs, "n")
 
 
 def cross_tier_merge(spark, sf_dir):
@@ -91,9 +101,9 @@ auth AS (
     SELECT *, row_number() OVER (PARTITION BY capture_sha256, tier ORDER BY finished_us DESC NULLS LAST, run_id DESC) AS r FROM tiers t WHERE NOT EXISTS (SELECT 1 FROM exclusions x WHERE x.run_id = t.run_id)
   ) WHERE r = 1
 )"""
-ROWS = """label_rows AS (
+ROWS = f"""label_rows AS (
   SELECT r.run_id, r.capture_sha256, p.uid AS flow_key, p.tier, p.sid, CASE WHEN p.sid % 1999 = 0 THEN 'other' ELSE 'malicious' END AS value
-  FROM placed p JOIN all_runs r ON (p.did // 1000) % 40 = CAST(regexp_extract(r.capture_sha256, '(\\d+)', 1) AS int) WHERE r.event_id % 11 < 2 AND p.uid IS NOT NULL AND p.sid % 7 = 0
+  FROM (SELECT *, unnest([{_OF.format(k=0, n="total")}, {_OF.format(k=1, n="total")}]) AS n FROM placed, (SELECT max(event_id) + 1 AS total FROM all_runs)) p JOIN all_runs r ON p.n = r.event_id WHERE p.uid IS NOT NULL
 )"""
 _ISO = "strftime(make_timestamp({}), '%Y-%m-%dT%H:%M:%S.%fZ')"
 QUERIES = {
@@ -109,8 +119,10 @@ QUERIES = {
     "run_identity": (run_identity, f"{duck('all_runs')} SELECT run_id AS name, substr(sha256(concat_ws('|', capture_sha256, mode, {_ISO.format('finished_us')}, '1.0')), 1, 16) AS run_id FROM all_runs"),
     "flow_identity": (
         flow_identity,
-        f"""{duck('flows')}, e AS (SELECT *, list_transform(string_split(src_ip, '.'), lambda x: lpad(x, 3, '0')) AS s, list_transform(string_split(dst_ip, '.'), lambda x: lpad(x, 3, '0')) AS d FROM flows),
-o AS (SELECT *, (s < d OR (s = d AND src_port <= dst_port)) AS fwd, concat(src_ip, ':', src_port) AS a, concat(dst_ip, ':', dst_port) AS b FROM e)
+        f"""{duck('flows')}, six AS (SELECT * REPLACE ({', '.join(f"{v} AS {k}" for k, v in _SIX.items())}) FROM flows),
+four AS (SELECT *, list_transform([src_ip, dst_ip], lambda ip: array_to_string(list_transform(string_split(ip, '.'), lambda x: lpad(x, 3, '0')), '.')) AS e FROM six WHERE o_orderkey % 5 <> 0
+ UNION ALL SELECT *, ['2001:db8' || lpad(split_part(src_ip, '::', 2), 24, '0'), lpad(split_part(dst_ip, '::', 2), 32, '0')] AS e FROM six WHERE o_orderkey % 5 = 0),
+o AS (SELECT *, (e[1] < e[2] OR (e[1] = e[2] AND src_port <= dst_port)) AS fwd, concat(src_ip, ':', src_port) AS a, concat(dst_ip, ':', dst_port) AS b FROM four)
 SELECT uid, substr(sha256(concat_ws('|', capture, proto, CASE proto WHEN 'tcp' THEN '6' WHEN 'udp' THEN '17' ELSE '1' END, CASE WHEN fwd THEN a ELSE b END, CASE WHEN fwd THEN b ELSE a END, {_ISO.format('ts_first_us')})), 1, 16) AS flow_key, {_ISO.format('ts_first_us')} AS ts_first FROM o""",
     ),
     "a28_cross_tier_merge": (

@@ -66,12 +66,21 @@ def metadata(m: Column) -> Column:
     return F.coalesce(F.array_sort(F.flatten(pairs)), F.array().cast("array<string>"))
 
 
+def unclaimed(index: DataFrame) -> DataFrame:
+    """``index(sid, source, ..)`` with a row per sid; a sid that two sources claim is a failure."""
+    rest = [c for c in index.columns if c not in ("sid", "source")]
+    by = index.groupBy("sid").agg(F.min("source").alias("source"), F.max("source").alias("__other"), *[F.min_by(c, "source").alias(c) for c in rest])
+    fault = F.raise_error(F.concat(F.lit("sid "), F.col("sid").cast("string"), F.lit(" is claimed by "), F.col("source"), F.lit(" and "), F.col("__other")))
+    return by.withColumn("source", F.when(F.col("source") != F.col("__other"), fault.cast("string")).otherwise(F.col("source"))).select(*index.columns)
+
+
 def detections(events: DataFrame, index: DataFrame, classtypes: DataFrame) -> DataFrame:
-    """Alerts as tier-2 detections; a sid that the index doesn't have is a failure.
+    """Alerts as tier-2 detections; a sid that the index doesn't have, or has of two sources, is a failure.
 
     ``index(sid, source, source_class)``: alerts of identify sources are left
-    out (see :func:`alert_counts`).  Alerts without ports carry ICMP type and
-    code in their place.
+    out (see :func:`alert_counts`).  ``classtypes(sid, classtype)``: the first
+    in text order of a sid that has several.  Alerts without ports carry ICMP
+    type and code in their place.
     """
     a = events.where("event_type = 'alert'")
     has = F.col("src_port").isNotNull() | F.col("dest_port").isNotNull()
@@ -80,14 +89,14 @@ def detections(events: DataFrame, index: DataFrame, classtypes: DataFrame) -> Da
         F.when(has, F.coalesce("src_port", F.lit(0))).otherwise(F.coalesce("icmp_type", F.lit(0))).alias("src_port"), F.when(has, F.coalesce("dest_port", F.lit(0))).otherwise(F.coalesce("icmp_code", F.lit(0))).alias("dst_port"),
         F.coalesce(device.proto(F.col("proto")), F.lit("")).alias("proto"), "app_proto", F.when(F.col("direction").isin("to_server", "to_client"), F.col("direction")).otherwise("unknown").alias("direction"), metadata(F.col("alert.metadata")).alias("metadata"),
     )
-    joined = own.join(index, "sid", "left").join(classtypes, "sid", "left")
+    joined = own.join(unclaimed(index), "sid", "left").join(classtypes.groupBy("sid").agg(F.min("classtype").alias("classtype")), "sid", "left")
     source = F.when(F.col("source").isNull(), F.raise_error(F.concat(F.lit("no source has sid "), F.col("sid").cast("string"))).cast("string")).otherwise(F.col("source"))
     return joined.withColumns({"source": source, "tier": F.lit(2)}).where(~F.col("source_class").eqNullSafe("identify")).drop("source_class")
 
 
 def alert_counts(events: DataFrame, index: DataFrame) -> DataFrame:
     """One row: all alerts, those of identify sources, and other events."""
-    a = events.withColumn("sid", F.col("alert.signature_id")).join(index, "sid", "left")
+    a = events.withColumn("sid", F.col("alert.signature_id")).join(unclaimed(index), "sid", "left")
     alert = F.col("event_type") == "alert"
     return a.agg(F.count_if(alert).alias("alerts_total"), F.count_if(alert & (F.col("source_class") == "identify")).alias("identify_suppressed"), F.count_if(~alert).alias("other_events"))
 

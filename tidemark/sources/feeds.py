@@ -79,7 +79,7 @@ def registry(spark: SparkSession, text: str) -> tuple[DataFrame, dict]:
     return spark.createDataFrame(rows, schema), policy
 
 
-ENTRY = "receive_time string, subtype string, src string, dst string, sport string, dport string, proto string, app string, threatid string, tid string, direction string, contentver string, config_ver string, severity string"
+ENTRY = "receive_time string, subtype string, src string, dst string, sport string, dport string, proto string, app string, threatid string, tid string, direction string, contentver string, config_ver string, severity string, thr_category string"
 
 
 def threat_log(spark: SparkSession, path: str) -> DataFrame:
@@ -109,10 +109,15 @@ def snapshots(manifests: DataFrame) -> DataFrame:
 
 
 def sid_index(texts: DataFrame) -> DataFrame:
-    """``value`` (an index as JSON) -> ``sid, source, address_indicator``: null where the schema has no classification."""
+    """``value`` (an index as JSON) -> ``sid, source, address_indicator``: null where the schema has no classification.
+
+    An index may be one document or one per source; what any of them lists as
+    an address indicator counts for all.
+    """
     schema = "schema int, sources map<string, array<bigint>>, address_indicator array<bigint>"
     j = texts.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("j")).select("j.*")
     known = F.when(F.col("schema").isin(1, 2, 3), F.col("sources")).otherwise(F.raise_error(F.lit("unknown schema")).cast("map<string, array<bigint>>"))
-    rows = j.select("schema", "address_indicator", F.explode(known).alias("source", "sids")).select("schema", "address_indicator", "source", F.explode("sids").alias("sid"))
-    flag = F.when(F.col("schema") == 3, F.array_contains(F.coalesce("address_indicator", F.array().cast("array<bigint>")), F.col("sid")))
-    return rows.select("sid", "source", flag.alias("address_indicator"))
+    rows = j.select("schema", F.explode(known).alias("source", "sids")).select("schema", "source", F.explode("sids").alias("sid"))
+    listed = j.where("schema = 3").select(F.explode("address_indicator").alias("sid")).distinct().withColumn("__listed", F.lit(True))
+    flag = F.when(F.col("schema") == 3, F.coalesce("__listed", F.lit(False)))
+    return rows.join(listed, "sid", "left").select("sid", "source", flag.alias("address_indicator"))
