@@ -196,6 +196,67 @@ def test_copies_within_the_budget_are_found_and_no_others(spark):
     assert clean == set(range(len(texts))) - {d for d, _ in got}
 
 
+def test_short_items_stand_as_whole_words(spark):
+    items = spark.createDataFrame([(1, "Yes no"), (2, "x"), (3, ""), (4, None), (5, "yes  no")], "item_id long, text string")
+    df = docs(spark, ["say YES  no, x now", "yes nope", "yes no", None, "x"])
+    got = {(r["doc_id"], r["item_id"], r["edits"], r["span_start"], r["span_end"]) for r in decontaminate.contaminated(df, items).collect()}
+    assert got == {(0, 2, 0, 12, 13), (2, 1, 0, 0, 6), (2, 5, 0, 0, 6), (4, 2, 0, 0, 1)}
+    assert decontaminate.clean(df, items).count() == 5  # a word of the language drops no document
+
+
+def test_repetitive_texts_are_counted_in_slices(monkeypatch):
+    rng = random.Random(3)
+    patterns = ["ha" * 50, "".join(rng.choices("abc", k=120))]
+    index = grams.Index([(i, grams.codes(grams.points(p), 10), np.arange(len(p) - 9)) for i, p in enumerate(patterns)])
+    code, widths = grams.codes(grams.points("ha" * 900 + patterns[1] + "ha" * 70), 10), np.array([9, 10])
+    want = grams.bands(*index.hits(code), widths)
+    slices = index.slices
+    monkeypatch.setattr(index, "slices", lambda c: slices(c, 500))
+    assert len(list(index.slices(code))) > 20
+    assert all((a == b).all() for a, b in zip(want, index.bands(code, widths)))
+
+
+@pytest.mark.parametrize("leaf", [1, 64, 1 << 12])
+def test_a_shard_is_searched_by_a_tree(leaf):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    near = base[:150] ^ (np.uint64(1) << rng.integers(0, 63, 150).astype(np.uint64))
+    points = np.concatenate([base, near, np.arange(64, dtype=np.uint64)])
+    pairs = {(int(i), int(j)) for i, j in zip(*np.nonzero(np.bitwise_count(points[:, None] ^ points[None, :]) <= 4))}
+    found, compared = set(), 0
+    for h, a in simhash.leaves(points, points, 4, leaf):
+        compared += len(h) * len(a)
+        found |= {(int(h[x]), int(a[y])) for x, y in zip(*np.nonzero(np.bitwise_count(points[h][:, None] ^ points[a][None, :]) <= 4))}
+    assert found == pairs and compared < 0.7 * len(points) ** 2
+
+
+def test_the_root_is_cut_at_every_size():
+    points = np.random.default_rng(1).integers(0, 2**63, 5_000, dtype=np.uint64)
+    assert simhash.fit(points, 5_000)[1] > 1
+
+
+def test_licenses_are_found_at_the_least_coverage():
+    rng, scanner = random.Random(5), licenses.Scanner()
+    words = ["alpha", "bravo", "tango", "kilo", "omega", "sigma", "delta"]
+    for (name, _), text in licenses.TEMPLATES.items():
+        own, hits = text.split(), []
+        for _ in range(30):
+            kept = set(rng.sample(range(len(own)), len(own) - int(0.2 * len(own))))
+            copy = " ".join(w if i in kept else rng.choice(words) for i, w in enumerate(own))
+            split = [licenses._WORD.findall(x.lower()) for x in (text, copy)]
+            if len(licenses.align(*split)) >= licenses.COVERAGE * len(split[0]):
+                doc = " ".join([*rng.choices(words, k=50), copy, *rng.choices(words, k=50)])
+                hits.append(name in {r[1] for r in scanner.find([doc])})
+        assert sum(hits) >= 0.9 * len(hits) > 0
+
+
+def test_line_dedup_of_a_table_with_its_own_names(spark):
+    lines = [f"line {i} of {j}" for i in range(3) for j in range(2)]
+    df = spark.createDataFrame([(i, f"shared boilerplate\n{lines[i]}\n{i}", f"s{i}", 1, 2, 3) for i in range(6)], "doc_id long, text string, source string, __bad int, __doc int, __removed int")
+    out = linededup.dedup(df)
+    assert out.columns == [*df.columns, "lines_removed"] and {(r["__bad"], r["__doc"], r["__removed"]) for r in out.collect()} == {(1, 2, 3)}
+
+
 def test_items_in_blocks_give_the_same(spark):
     items = spark.createDataFrame([(i, f"item number {i} " + chr(97 + i) * 40) for i in range(9)], "item_id long, text string")
     df = docs(spark, [f"xx item number {i} " + chr(97 + i) * 40 for i in range(9)])
