@@ -43,9 +43,9 @@ END = 1
 #: in the solution, and the gap to the lower bound that ends them.
 ROUNDS, ETA, SHRINK, DECAY, GAP = 30, 0.12, 0.96, 0.8, 0.003
 #: Rounds without a better solution that end them as well.
-PATIENCE = 10
-#: How much cheaper than the dearest configuration one may be that is used in a round.
-SLACK = 0.01
+PATIENCE = 6
+#: How much cheaper than the dearest configuration one may be that is used in a round; tried in turn.
+SLACKS = (0.002, 0.01)
 #: Times the program is solved again for what rounding left, at most.
 SOLVES = 3
 
@@ -78,7 +78,7 @@ class Knapsack:
         return out
 
 
-def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[dict[Pattern, float], float]:
+def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, slack: float = SLACKS[0]) -> tuple[dict[Pattern, float], float]:
     """A fractional solution of the configuration program, ``{pattern: sequences}``, and a lower bound of the program.
 
     A round uses the dearest configurations to cover each length once, where it
@@ -109,10 +109,10 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
         top, gain = sack.best[capacity], np.zeros(capacity + 1)
         worth = price[lengths] + sack.best[capacity - lengths]
         used = {p: DECAY * x for p, x in used.items() if x > 1e-9}
-        for k in lengths[worth >= (1 - SLACK) * top][::-1].tolist():
+        for k in lengths[worth >= (1 - slack) * top][::-1].tolist():
             while gain[k] < 1 - 1e-6:
                 wanted = (1 - gain) * count
-                inside = sack.contents(capacity - k, wanted, float(price[k] + sack.best[capacity - k] - (1 - SLACK) * top))
+                inside = sack.contents(capacity - k, wanted, float(price[k] + sack.best[capacity - k] - (1 - slack) * top))
                 inside[k] = inside.get(k, 0) + 1
                 # As far as the pieces go that are wanted; what only fills up may be covered more than once.
                 most = wanted[k] / inside[k]
@@ -189,24 +189,22 @@ def _sequences(plan: list[tuple[Pattern, int]]) -> int:
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Pattern, int]]:
     """Patterns ``(((length, copies), ..), sequences)`` that hold exactly what ``histogram`` counts."""
-    left = {int(k): int(n) for k, n in histogram.items() if n}
-    full = [(((capacity, 1),), left.pop(capacity))] if capacity in left else []
-    taken, best = [], best_fit(left, capacity)
-    least = sum(k * n for k, n in left.items()) / capacity
-    for _ in range(SOLVES if rounds else 0):
-        if not left:
-            break
-        used, bound = solve(left, capacity, rounds)
-        least = max(least, bound) if not taken else least
-        got = rounded(used, left)
-        if not got:
-            break
-        taken += got
-        left = {k: n for k, n in left.items() if n}
-        now = taken + best_fit(left, capacity)
-        best = min(now, best, key=_sequences)
-        if _sequences(best) < least + 1:  # no plan is better
-            break
+    pieces = {int(k): int(n) for k, n in histogram.items() if n}
+    full = [(((capacity, 1),), pieces.pop(capacity))] if capacity in pieces else []
+    best, tokens_ = best_fit(pieces, capacity), sum(k * n for k, n in pieces.items())
+    plans = [best]
+    for slack in SLACKS if rounds else ():
+        taken, left = [], dict(pieces)
+        for _ in range(SOLVES):
+            got = rounded(solve(left, capacity, rounds, slack)[0], left) if left else []
+            if not got:
+                break
+            taken = taken + got
+            left = {k: n for k, n in left.items() if n}
+            plans.insert(0, taken + best_fit(left, capacity))
+            best = min(plans, key=_sequences)  # of equals, that which the program made most of
+            if _sequences(best) * capacity < tokens_ + capacity:  # no plan is better
+                return full + best
     return full + best
 
 
