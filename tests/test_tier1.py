@@ -5,8 +5,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.functions.net import packed
-from tidemark.operators import correlate, labels, store, tier1
-from tidemark.sources import engines
+from tidemark.operators import constraints, correlate, labels, store, tier1
+from tidemark.sources import engines, feeds
 
 ENTRY = "receive_time string, subtype string, src string, dst string, sport string, dport string, proto string, app string, threatid string, tid string, direction string, contentver string, config_ver string, thr_category string"
 
@@ -84,3 +84,29 @@ def test_windows_count_as_a_scan_does(spark):
     dets = [(i, rng.choice("xy"), rng.randint(-500, 900)) for i in range(300)]
     got = correlate.in_windows(spark.createDataFrame(windows, "uid string, k string, a long, b long"), spark.createDataFrame(dets, "did long, k string, ts_us long"), ["k"], 100).collect()
     assert {r[0]: r[1] for r in got} == {u: sum(k == x and a <= t <= b for _, x, t in dets) for u, k, a, b in windows}
+
+
+SOURCE = '[[source]]\nname="{}"\nurl="u"\nlicence="MIT"\nsource_class="signature"\nadmission_basis="{}"\n'
+
+
+def test_registry_guards(spark):
+    df, _ = feeds.registry(spark, SOURCE.format("et/open", "metadata-filter") + SOURCE.format("b", "wholesale") + "enabled=false\n")
+    assert df.count() == 2 and [r["name"] for r in feeds.enabled(df).collect()] == ["et/open"]
+    for bad in (SOURCE.format("b", "metadata-filter"), SOURCE.format("b", "wholesale") + 'exclude_classtypes=["a b"]\n', SOURCE.format("b", "wholesale") + 'exclude_msg_markers=["ab"]\n'):
+        with pytest.raises(feeds.BadFeed):
+            feeds.registry(spark, bad)
+
+
+def test_counts_and_snapshots(spark):
+    rows = [(5, 3, 1), (3, 5, 0), (5, 1, 2), (5, -1, 0)]
+    got = constraints.counts(spark.createDataFrame(rows, "detections_total long, unmatched long, unsupported_transport long")).collect()
+    assert {(r["unmatched"], r["rule"]) for r in got} == {(5, "more unmatched than detections"), (1, "unsupported exceed the unmatched"), (-1, "unsupported exceed the unmatched"), (-1, "negative")}
+    constraints.same_snapshot("a", "a")
+    with pytest.raises(constraints.Violated):
+        constraints.same_snapshot("a", None)
+
+
+def test_collection_order(spark):
+    rows = [("b", "2", "x"), ("a", "2", "y"), ("a", "2", "x"), ("a", "1", "z")]
+    got = store.collection_order(spark.createDataFrame(rows, "capture_sha256 string, ts_first string, flow_key string")).collect()
+    assert [tuple(r) for r in got] == sorted(rows)

@@ -61,3 +61,15 @@ def placement(df: DataFrame) -> DataFrame:
 def skew(device_us: Column, here_us: Column, seconds: int = 30) -> Column:
     """Whether two clocks are too far apart to place one's events by the other."""
     return F.abs(device_us - here_us) > seconds * 1_000_000
+
+
+def counts(df: DataFrame) -> DataFrame:
+    """Counts of a correlation that can't be: more unmatched than detections, or than correlatable ones and unsupported together."""
+    broken = {"more unmatched than detections": F.col("unmatched") > F.col("detections_total"), "unsupported exceed the unmatched": F.col("unsupported_transport") > F.col("unmatched"), "negative": F.least("detections_total", "unmatched", "unsupported_transport") < 0}
+    return violations(df, broken, "detections_total", "unmatched")
+
+
+def same_snapshot(engine: str | None, correlator: str | None) -> None:
+    """Raises unless detections are correlated with the snapshot whose rules made them."""
+    if engine != correlator:
+        raise Violated(f"the engine ran snapshot {engine}, its detections are correlated with {correlator}")

@@ -107,3 +107,8 @@ def uri_fault(uri: Column) -> Column:
         F.when(uri.isNull() | (uri == ""), "empty").when(~F.startswith(uri, F.lit("gs://")), "scheme").when(F.octet_length(uri) > 1024, "long")
         .when(uri.rlike(r"[\x00-\x1F\x7F]"), "control character").when(bucket == "", "bucket").when((name == "") | F.endswith(name, F.lit("/")), "object")
     )
+
+
+def collection_order(rows: DataFrame) -> DataFrame:
+    """Rows of a collection in its one order: by capture, first packet and flow key."""
+    return rows.orderBy("capture_sha256", "ts_first", "flow_key")

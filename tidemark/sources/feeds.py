@@ -5,8 +5,10 @@ from __future__ import annotations
 import gzip
 import io
 import posixpath
+import re
 import tarfile
 import tomllib
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,6 +20,8 @@ LARGEST = 512 << 20
 KEYS = {"name", "url", "licence", "source_class", "admission_basis"}
 OPTIONAL = {"enabled", "exclude_classtypes", "exclude_msg_markers", "msg_brand_marker"}
 CLASSES, BASES = ("signature", "ioc-dest", "ioc-name", "identify"), ("metadata-filter", "wholesale", "device-policy")
+#: Fixed value: the sources whose rules carry the metadata that ``metadata-filter`` reads.
+PUBLISHERS = frozenset({"et/open"})
 
 
 class BadFeed(ValueError):
@@ -54,14 +58,34 @@ def rule_lines(feeds: DataFrame) -> DataFrame:
     return feeds.mapInPandas(rows, "source string, line_no long, text string")
 
 
-def registry(spark: SparkSession, text: str) -> tuple[DataFrame, dict]:
-    """The sources of a TOML registry and its global policy; unknown and missing keys are errors."""
+def enabled(sources: DataFrame) -> DataFrame:
+    """The sources that contribute rules; those switched off stay in the registry, to be reported."""
+    return sources.where("enabled")
+
+
+def _policy(owner: str, policy: dict) -> None:
+    """Fails on a classtype or marker that no rule could have."""
+    for value in policy.get("exclude_classtypes", []):
+        if not re.fullmatch(r"[A-Za-z0-9._-]+", value):
+            raise BadFeed(f"{owner}: no classtype: {value!r}")
+    for value in policy.get("exclude_msg_markers", []):
+        if not value or unicodedata.category(value[0]) != "So" and value[0] != "\u2139" or any(unicodedata.category(c) not in ("Mn", "Cf") for c in value[1:]):
+            raise BadFeed(f"{owner}: no single pictograph: {value!r}")
+
+
+def registry(spark: SparkSession, text: str, publishers: frozenset = PUBLISHERS) -> tuple[DataFrame, dict]:
+    """The sources of a TOML registry and its global policy; unknown and missing keys are errors.
+
+    So are policies that could match nothing: ``metadata-filter`` for a source
+    that isn't one of ``publishers``, and impossible classtypes and markers.
+    """
     doc = tomllib.loads(text.removeprefix("﻿"))
     if extra := set(doc) - {"source", "admission"}:
         raise BadFeed(f"unknown tables: {sorted(extra)}")
     policy = doc.get("admission", {})
     if extra := set(policy) - {"exclude_classtypes"}:
         raise BadFeed(f"unknown keys in admission: {sorted(extra)}")
+    _policy("admission", policy)
     rows, seen = [], set()
     for s in doc.get("source", []):
         if missing := KEYS - set(s):
@@ -70,6 +94,9 @@ def registry(spark: SparkSession, text: str) -> tuple[DataFrame, dict]:
             raise BadFeed(f"{s['name']}: unknown {sorted(extra)}")
         if s["source_class"] not in CLASSES or s["admission_basis"] not in BASES:
             raise BadFeed(f"{s['name']}: unknown class or basis")
+        if s["admission_basis"] == "metadata-filter" and s["name"] not in publishers:
+            raise BadFeed(f"{s['name']}: publishes no metadata to filter by")
+        _policy(s["name"], s)
         if s["name"].casefold() in seen:
             raise BadFeed(f"{s['name']} is there twice")
         seen.add(s["name"].casefold())
