@@ -127,7 +127,10 @@ def scan(docs: DataFrame, templates: dict[tuple[str, str], str] = TEMPLATES, cov
     """``docs(doc_id, text)`` -> one row per license passage: doc_id, license_id, template, coverage, span_start, span_end.
 
     Spans are code points of the lower-cased text.  Null and empty texts have
-    no passage; repeated rows report again; other columns are ignored.
+    no passage and no rows give none; repeated rows and null doc_ids report as
+    others do; a text of any length is scanned whole, by one task; of templates
+    that fit equally well the longer is reported, then the first; other columns
+    are ignored.
     """
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
