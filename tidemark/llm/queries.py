@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, htmltext, licenses, linededup, orderminhash, packing, quality, simhash, tokenfiles, warc
+from . import conversations, decontaminate, htmltext, langid, licenses, linededup, orderminhash, packing, periodic, quality, simhash, tokenfiles, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit(conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations"))))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.collapse(_table(spark, sf_dir, "documents"), loop=True, text=False).drop("runs", "collapsed")
+
+
 _ALL = (
     op1_simhash_near_dedup,
     op2_benchmark_decontamination,
@@ -66,6 +78,9 @@ _ALL = (
     op8_order_minhash,
     op9_html_main_text,
     op10_quality_classifier,
+    op11_conversation_repair,
+    op12_language_id,
+    op13_periodic_runs,
 )
 
 
