@@ -117,7 +117,7 @@ def tier_union(spark, sf_dir):
     v = views(spark, sf_dir)
     two = v["dets"].where("tier = 2").select(F.concat(F.lit("feed"), F.col("source_id").cast("string")).alias("source"), "tier", "sid", "rev", F.lit(None).cast("string").alias("classtype"), F.lit(None).cast("string").alias("app_proto"), "threat", "ts_us", "src_ip", "src_port", "dst_ip", "dst_port", "proto", "direction")
     both = tier1.union(tier1.deduplicated(tier1.detections(_log(v, spark))), two)
-    return both.groupBy("source", "tier", "direction", "classtype").agg(F.count("*").alias("detections"), F.count_distinct("sid").alias("sids"), F.sum("ts_us").cast("double").alias("times"))
+    return both.groupBy("source", "tier", "direction", "classtype").agg(F.count("*").alias("detections"), F.count_distinct("sid").alias("sids"), F.sum(F.col("ts_us").cast("decimal(38,0)")).cast("double").alias("times"))
 
 
 def declined_entries(spark, sf_dir):
