@@ -23,6 +23,19 @@ DETS = [
 WANT = ["forward", "forward", "no_flow_match", "dns", "same", None, None, "code1", "nd", "v6", "no_flow_match", "unsupported_transport", "no_flow_match", "no_flow_match", "reuse1", "ambiguous_flow_match", "ambiguous_flow_match", "reuse3", "forward"]
 
 
+def theta_place(dets, flows):
+    """Placement by comparing every pair."""
+    f = flows.select("uid", *[F.col(c).alias(f"f_{c}") for c in correlate.TUPLE], "ts_first_us", "ts_last_us")
+    ends = lambda a, b: (F.col("src_ip") == F.col(f"f_{a}_ip")) & (F.col("src_port") == F.col(f"f_{a}_port")) & (F.col("dst_ip") == F.col(f"f_{b}_ip"))
+    port = lambda b: (F.col("dst_port") == F.col(f"f_{b}_port")) | ((F.col("proto") == "icmp") & (correlate.counterpart(F.col("src_ip"), F.col("src_port")) == F.col(f"f_{b}_port")))
+    fits = (F.col("proto") == F.col("f_proto")) & ((ends("src", "dst") & port("dst")) | (ends("dst", "src") & port("src")))
+    pairs = dets.join(f, fits & correlate._supported(), "left")
+    inside = F.col("ts_us").between(F.col("ts_first_us"), F.col("ts_last_us"))
+    seen = pairs.groupBy("did").agg(F.count("uid").alias("n"), F.count(F.when(inside, F.col("uid"))).alias("k"), F.min("uid").alias("any"), F.min(F.when(inside, F.col("uid"))).alias("inside"))
+    reason = F.when(~correlate._supported(), "unsupported_transport").when(F.col("n") == 0, "no_flow_match").when((F.col("n") > 1) & (F.col("k") != 1), "ambiguous_flow_match")
+    return dets.join(seen, "did").withColumn("reason", reason).withColumn("uid", F.when(reason.isNull(), F.when(F.col("n") == 1, F.col("any")).otherwise(F.col("inside"))))
+
+
 def tables(spark, flows=FLOWS, dets=DETS):
     return spark.createDataFrame([(i, *d) for i, d in enumerate(dets)], DET), spark.createDataFrame(flows, FLOW)
 
@@ -38,7 +51,7 @@ def test_truth_table(spark):
 def test_hash_keys_agree_with_every_pair_compared(spark):
     d, f = tables(spark)
     a = {tuple(r) for r in correlate.place(d, f).select("did", "uid", "reason").collect()}
-    assert a == {tuple(r) for r in correlate.theta_place(d, f).select("did", "uid", "reason").collect()}
+    assert a == {tuple(r) for r in theta_place(d, f).select("did", "uid", "reason").collect()}
 
 
 def test_random_population_agrees_whatever_its_order(spark):
@@ -50,7 +63,8 @@ def test_random_population_agrees_whatever_its_order(spark):
     dets = [(*one(rng.choice(["tcp", "icmp", "gre", ""])), rng.randrange(120)) for _ in range(150)]
     d, f = tables(spark, flows, dets)
     a = {tuple(r) for r in correlate.place(d, f).select("did", "uid", "reason").collect()}
-    assert a == {tuple(r) for r in correlate.theta_place(d, f).select("did", "uid", "reason").collect()}
+    assert a == {tuple(r) for r in theta_place(d, f).select("did", "uid", "reason").collect()}
+    assert a == {tuple(r) for r in correlate.place(d, f, hot=2).select("did", "uid", "reason").collect()} == {tuple(r) for r in correlate.place(d, f, hot=0).select("did", "uid", "reason").collect()}
     rng.shuffle(flows)
     assert a == {tuple(r) for r in correlate.place(d.repartition(7), spark.createDataFrame(flows, FLOW)).select("did", "uid", "reason").collect()}
 
@@ -128,3 +142,23 @@ def test_first_firing_survives(spark):
     df = spark.createDataFrame([(1, 5, 1), (1, 3, 2), (1, 3, 3), (2, 9, 4)], "sid int, at int, did int")
     got = {(r["sid"], r["did"], r["firings"]) for r in labels.first_per_key(df, ["sid"], ["at", "did"]).collect()}
     assert got == {(1, 2, 3), (2, 4, 1)}
+
+
+def test_slots_only_deal_events_out(spark):
+    rng = random.Random(11)
+    flows = [(f"u{i}", "tcp", A, 1, B, 2 + i % 2, t := rng.randrange(1000), t + rng.choice([-1, 0, 3, 400])) for i in range(80)]
+    dets = [(*rng.choice([("tcp", A, 1, B, 2), ("tcp", B, 3, A, 1)]), rng.randrange(1100)) for _ in range(300)]
+    d, f = tables(spark, flows, dets)
+    want = {tuple(r) for r in theta_place(d, f).select("did", "uid", "reason").collect()}
+    for hot, slot in ((0, 1), (0, 100), (0, 10_000), (45, 100), (500, 7)):
+        assert {tuple(r) for r in correlate.place(d, f, hot, slot).select("did", "uid", "reason").collect()} == want
+
+
+def test_a_hot_tuple_is_not_quadratic(spark):
+    """100,000 flows and as many detections of one tuple: 10^10 pairs, none of which is made."""
+    flows = spark.range(100_000).select(F.format_string("u%06d", "id").alias("uid"), F.lit("tcp").alias("proto"), F.lit(A).alias("src_ip"), F.lit(1).alias("src_port"), F.lit(B).alias("dst_ip"), F.lit(2).alias("dst_port"), (F.col("id") * 100).alias("ts_first_us"), (F.col("id") * 100 + F.when(F.col("id") % 10 == 0, 150).otherwise(60)).alias("ts_last_us"))
+    dets = spark.range(100_000).select(F.col("id").alias("did"), F.lit("tcp").alias("proto"), F.lit(B).alias("src_ip"), F.lit(2).alias("src_port"), F.lit(A).alias("dst_ip"), F.lit(1).alias("dst_port"), (F.col("id") * 100 + 30 + (F.col("id") % 2) * 50).alias("ts_us"))
+    got = {(r["how"], r["reason"]): r["n"] for r in correlate.place(dets, flows, slot_us=100_000).groupBy("how", "reason").agg(F.count("*").alias("n")).collect()}
+    # Even ids fall into their own flow; odd ones behind it, into that of the one before if it is long and a multiple of ten.
+    odd_inside = sum(1 for i in range(100_000) for t in [i * 100 + 30 + (i % 2) * 50] if sum(j * 100 <= t <= j * 100 + (150 if j % 10 == 0 else 60) for j in (i - 1, i) if j >= 0) == 1)
+    assert got == {("clock", None): odd_inside, (None, "ambiguous_flow_match"): 100_000 - odd_inside}

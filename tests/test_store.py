@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import constraints, corpus, ddl, documents, store
+from tidemark.operators import constraints, corpus, ddl, documents, gates, store
 
 T0 = 1_755_691_200_000_000
 DAY = 86_400_000_000
@@ -120,3 +120,60 @@ def test_constraints(spark):
     assert [tuple(r) for r in found.collect()] == [(2, "mode is unknown")]
     with pytest.raises(constraints.Violated):
         constraints.demand(found)
+
+
+def _documents(spark, rows):
+    entry = "array<struct<tier: int, source: string, sid: bigint, rev: bigint, direction: string>>"
+    return spark.createDataFrame(rows, f"run_id string, capture_sha256 string, flow_key string, labels array<struct<name: string, value: string, tier: int, sids: array<bigint>>>, sources {entry}")
+
+
+def test_merge_unions_entries_and_takes_the_least_tier(spark):
+    one = [("verdict", "malicious", 1, [5, 9]), ("threat-name", "x", 1, [5])]
+    two = [("verdict", "malicious", 2, [7])]
+    rows = [
+        ("r1", "c", "k", one, [(1, "b", 9, 1, "to_server"), (1, "a", 5, 1, "to_server"), (2, "z", 1, 1, "to_server")]),
+        ("r2", "c", "k", two, [(2, "s", 7, 1, "to_client"), (2, "s", 7, 1, "to_client")]), ("r2", "c", "only-tier-1", [("verdict", "malicious", 1, [3])], [(1, "s", 3, 1, "to_client")]),
+    ]
+    chosen = spark.createDataFrame([("c", 1, "r1"), ("c", 2, "r2")], "capture_sha256 string, tier int, run_id string")
+    (r,) = store.merge(_documents(spark, rows), chosen).collect()
+    assert [tuple(s)[:3] for s in r["sources"]] == [(1, "a", 5), (1, "b", 9), (2, "s", 7), (2, "s", 7)]
+    assert [tuple(x) for x in r["labels"]] == [("threat-name", "x", 1, [5]), ("verdict", "malicious", 1, [5, 7, 9])]
+    assert (r["best_tier"], r["runs"], r["conflicts"]) == (1, ["r1", "r2"], [])
+
+
+def test_merge_refuses_to_choose(spark):
+    rows = [("r1", "c", "k", [("verdict", "malicious", 1, [5])], [(1, "a", 5, 1, "x")]), ("r2", "c", "k", [("verdict", "other", 2, [6])], [(2, "a", 6, 1, "x")])]
+    chosen = spark.createDataFrame([("c", 1, "r1"), ("c", 2, "r2")], "capture_sha256 string, tier int, run_id string")
+    with pytest.raises(Exception, match="tiers disagree on verdict of flow k"):
+        store.merge(_documents(spark, rows), chosen).collect()
+    assert store.merge(_documents(spark, rows), chosen, strict=False).first()["conflicts"] == ["verdict"]
+
+
+def test_a_refused_run_leaves_no_marker(spark, tmp_path):
+    flows = spark.createDataFrame([("a", "tcp", "gs://b/o"), ("b", "esp", "gs://b/o"), ("c", None, "gs://b/o"), ("d", "udp", None)], "uid string, proto string, uri string")
+    tables = {"captures": spark.range(1), "unmatched": spark.range(1), "flow_labels": flows}
+    runs = spark.range(1).select(F.lit("cap").alias("capture_sha256"))
+    with pytest.raises(gates.Refused, match="1 without origin"):
+        store.load(spark, str(tmp_path), "a", tables, runs, {"flow_labels": store.flow_gates()})
+    assert not (tmp_path / "runs").exists()
+    assert store.load(spark, str(tmp_path), "a", tables, runs, {"flow_labels": store.flow_gates(allow_missing_origin=True)})
+    assert spark.read.parquet(f"{tmp_path}/runs").first()["refused"] == {"flow_labels: unsupported transport": 2, "flow_labels: without origin": 1}
+    assert sorted(r["uid"] for r in spark.read.parquet(f"{tmp_path}/flow_labels").collect()) == ["a", "d"]
+
+
+def test_admission_that_does_not_balance_raises(spark):
+    from tidemark.operators import rules
+
+    zero = {v: 0 for v in rules.COUNTED}
+    good = spark.createDataFrame([{"source": "s", "fetched": 3, "admitted": 2, **zero, "marker": 1}])
+    assert rules.balanced(good).count() == 1
+    with pytest.raises(Exception, match="does not balance"):
+        rules.balanced(good.withColumn("fetched", F.lit(4))).select("source").collect()
+
+
+def test_unsound_runs(spark):
+    rows = [("a", "labelled", 5, 5, "complete"), ("b", "labelled", 4, 5, "partial"), ("c", "labelled", None, None, "complete"), ("d", "labelled", 5, 5, "partial")]
+    df = spark.createDataFrame(rows, "run_id string, state string, rules_loaded int, total_admitted int, input_status string")
+    assert {tuple(r) for r in corpus.unsound(df).collect()} == {("b", "loaded 4 of 5 rules"), ("c", "loaded an unknown number of unknown rules"), ("d", "input is partial")}
+    with pytest.raises(Exception, match="run a wrote no labels: killed"):
+        corpus.unsound(df.withColumn("state", F.lit("killed"))).collect()

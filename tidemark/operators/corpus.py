@@ -45,6 +45,48 @@ def review(seen: DataFrame, tolerated: DataFrame, ceiling: int = CEILING) -> Dat
     return both.select("source", "sid", "label_basis", fault.alias("fault")).where("fault is not null")
 
 
+def unsound(runs: DataFrame) -> DataFrame:
+    """``run_id, reason`` of runs ``(run_id, state, rules_loaded, total_admitted, input_status)`` that looked at less than they claim.
+
+    A count that is missing is no evidence.  A run without labels isn't unsound
+    but failed, and raises: its silence would read as an empty result.
+    """
+    died = F.raise_error(F.concat(F.lit("run "), F.col("run_id"), F.lit(" wrote no labels: "), "state")).cast("string")
+    reason = (
+        F.when(F.col("state") != "labelled", died)
+        .when(~F.col("rules_loaded").eqNullSafe(F.col("total_admitted")) | F.col("rules_loaded").isNull(), F.concat(F.lit("loaded "), F.coalesce(F.col("rules_loaded").cast("string"), F.lit("an unknown number")), F.lit(" of "), F.coalesce(F.col("total_admitted").cast("string"), F.lit("unknown")), F.lit(" rules")))
+        .when(~F.col("input_status").eqNullSafe(F.lit("complete")), F.concat(F.lit("input is "), F.coalesce("input_status", F.lit("unknown"))))
+    )
+    return runs.select("run_id", reason.alias("reason")).where("reason IS NOT NULL")
+
+
+#: Parts of the expected number that is the floor; share of the fetched rules that is the ceiling.
+FLOOR, SHARE = 10, 0.05
+
+
+def marker_gate(counts: DataFrame, markers: DataFrame, expected: DataFrame, known: DataFrame, floor: int = FLOOR, share: float = SHARE) -> DataFrame:
+    """``source, fault, detail`` where a feed's markers no longer do what its policy relies on.
+
+    ``counts(source, fetched, marker)`` are admission counters, ``markers(source,
+    marker, rules)`` what admitted rules lead with, ``expected(source,
+    excluded)`` what the policy excluded when it was written, ``known(marker)``
+    the reviewed markers.  Nothing excluded, less than a tenth of what was
+    expected, more than a twentieth of the feed, a marker that nobody reviewed,
+    and a source that isn't there at all are faults; only the first of the
+    counts' faults is said of a source.
+    """
+    both = expected.join(counts, "source", "left")
+    least, most = F.floor(F.col("excluded") / floor), F.floor(F.col("fetched") * F.lit(share))
+    fault = (
+        F.when(F.col("fetched").isNull(), "not in the snapshot").when(F.col("marker") == 0, "nothing excluded")
+        .when(F.col("marker") < least, "under the floor").when(F.col("marker") > most, "over the ceiling")
+    )
+    detail = F.when(F.col("marker") < least, F.concat("marker", F.lit(" of "), least)).when(F.col("marker") > most, F.concat("marker", F.lit(" of "), most))
+    moved = both.select("source", fault.alias("fault"), detail.cast("string").alias("detail")).where("fault IS NOT NULL")
+    fresh = markers.where("marker IS NOT NULL").join(expected.select("source"), "source", "left_semi").join(known, "marker", "left_anti")
+    return moved.unionByName(fresh.select("source", F.lit("marker nobody reviewed").alias("fault"), F.concat("marker", F.lit(": "), F.col("rules").cast("string")).alias("detail")))
+
+
 def liveness(builds: DataFrame, now_us: int, days: float) -> DataFrame:
     """Per workflow, the age in days of its newest success, and whether that is too old (or there is none)."""
     newest = builds.groupBy("workflow").agg(F.max(F.when(F.col("conclusion") == "success", F.col("created_us"))).alias("newest"))

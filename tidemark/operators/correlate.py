@@ -6,7 +6,7 @@ one or two keys, so the join is on the full tuple and never on an OR.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The ICMP types whose flows carry the paired type, IPv4 and IPv6.
@@ -52,37 +52,74 @@ def candidates(dets: DataFrame, flows: DataFrame) -> DataFrame:
     return probes(dets).join(oriented(flows), on).select("did", "ts_us", "uid", "ts_first_us", "ts_last_us")
 
 
-def place(dets: DataFrame, flows: DataFrame) -> DataFrame:
+KEY = [f"k_{c}" for c in TUPLE]
+#: Flows of one tuple beyond which its detections aren't compared with each of them; microseconds of the slots in which such a tuple is dealt to tasks.
+HOT, SLOT = 500, 3_600_000_000
+
+
+def _asked(dets: DataFrame) -> DataFrame:
+    """Probes under the names of the flows' keys."""
+    return probes(dets).select("did", "ts_us", *[F.col("probe_port" if c == "dst_port" else c).alias(f"k_{c}") for c in TUPLE])
+
+
+def _compared(asked: DataFrame, keyed: DataFrame) -> DataFrame:
+    """``did, lo, hi, in_lo, in_hi`` by comparing a detection with each flow of its tuples: least and greatest uid, of all and of those that contain it."""
+    inside = F.when(F.col("ts_us").between(F.col("ts_first_us"), F.col("ts_last_us")), F.col("uid"))
+    found = asked.join(keyed, KEY)
+    return found.groupBy("did").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.min(inside).alias("in_lo"), F.max(inside).alias("in_hi"))
+
+
+def _swept(asked: DataFrame, keyed: DataFrame, slot_us: int) -> DataFrame:
+    """The same for tuples with many flows, where nothing is compared pair by pair; a detection may have a row per key.
+
+    Along a tuple's time the number of open flows is a running sum, and the
+    exclusive or of their hashes is the hash of the one that is open when it is
+    the only one; where several are, ``in_lo`` and ``in_hi`` are any two.  Sums
+    are taken slot by slot and carried from slot to slot, so a tuple with any
+    number of flows is spread over tasks; the one flow is looked up by its hash
+    and its own times.
+    """
+    moment = lambda t, kind, step, mark: F.struct(F.col(t).alias("ts_us"), F.lit(kind).alias("kind"), F.lit(step).alias("step"), mark.alias("mark"))
+    none = F.lit(0).cast("bigint")
+    # Beginnings count before detections of the same time, ends after them; flows that never contain anything change nothing.
+    opens = F.when(F.col("ts_first_us") <= F.col("ts_last_us"), F.array(moment("ts_first_us", 0, 1, F.xxhash64("uid")), moment("ts_last_us", 2, -1, F.xxhash64("uid"))))
+    edges = keyed.select(*KEY, "uid", F.lit(None).cast("bigint").alias("did"), F.explode(F.coalesce(opens, F.array(moment("ts_first_us", 0, 0, none)))).alias("m")).select(*KEY, "uid", "did", "m.*")
+    events = edges.unionByName(asked.select(*KEY, F.lit(None).cast("string").alias("uid"), "did", "ts_us", F.lit(1).alias("kind"), F.lit(0).alias("step"), none.alias("mark"))).withColumn("slot", F.coalesce(F.floor(F.col("ts_us") / slot_us), none))
+    by_slot = events.groupBy(*KEY, "slot").agg(F.sum("step").alias("step"), F.expr("bit_xor(mark)").alias("mark"), F.min("uid").alias("lo"), F.max("uid").alias("hi"))
+    before = Window.partitionBy(*KEY).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*KEY)
+    carried = by_slot.select(
+        *KEY, "slot", F.coalesce(F.sum("step").over(before), none).alias("open"), F.coalesce(F.expr("bit_xor(mark)").over(before), none).alias("which"), F.min("lo").over(whole).alias("lo"), F.max("hi").over(whole).alias("hi")
+    )
+    within = Window.partitionBy(*KEY, "slot").orderBy("ts_us", "kind")
+    running = events.withColumns({"n": F.sum("step").over(within), "x": F.expr("bit_xor(mark)").over(within)}).where("did IS NOT NULL")
+    at = running.join(carried, [*KEY, "slot"]).select(*KEY, "did", "ts_us", "lo", "hi", (F.col("n") + F.col("open")).alias("inside"), F.col("x").bitwiseXOR(F.col("which")).alias("mark"))
+    known = keyed.select(*KEY, F.xxhash64("uid").alias("mark"), "uid", "ts_first_us", "ts_last_us")
+    only = at.where("inside = 1").join(known, [*KEY, "mark"]).where("ts_us BETWEEN ts_first_us AND ts_last_us").select("did", "lo", "hi", F.col("uid").alias("in_lo"), F.col("uid").alias("in_hi"))
+    several = F.col("inside") > 1
+    return at.where("inside <> 1").select("did", "lo", "hi", F.when(several, F.col("lo")).alias("in_lo"), F.when(several, F.col("hi")).alias("in_hi")).unionByName(only)
+
+
+def place(dets: DataFrame, flows: DataFrame, hot: int = HOT, slot_us: int = SLOT) -> DataFrame:
     """``dets`` (unique ``did``) with ``uid`` or ``reason``: the placement truth table.
 
     A lone candidate is taken whatever the clock says; of several, the one that
-    contains the detection (both ends inclusive), if it is only one.
+    contains the detection (both ends inclusive), if it is only one.  Flows have
+    a uid each.  Tuples with more than ``hot`` flows are swept along their time
+    instead of comparing each detection with all of them; the rows are the same.
     """
-    found = candidates(dets, flows)
-    inside = F.col("ts_us").between(F.col("ts_first_us"), F.col("ts_last_us"))
+    keyed, asked = oriented(flows), _asked(dets)
+    crowded = keyed.groupBy(*KEY).agg(F.count("*").alias("n")).where(F.col("n") > hot).select(*KEY)
+    few = _compared(asked, keyed.join(crowded, KEY, "left_anti"))
+    many = _swept(asked.join(crowded, KEY, "left_semi"), keyed.join(crowded, KEY, "left_semi"), slot_us)
     # A flow reached under two keys counts once: its uids are compared, not its rows.
-    seen = found.groupBy("did").agg(
-        F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.min(F.when(inside, F.col("uid"))).alias("in_lo"), F.max(F.when(inside, F.col("uid"))).alias("in_hi")
-    )
+    seen = few.unionByName(many).groupBy("did").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("in_lo").alias("in_lo"), F.max("in_hi").alias("in_hi"))
     uid = F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("in_lo") == F.col("in_hi"), F.col("in_lo"))
     reason = F.when(~_supported(), "unsupported_transport").when(F.col("lo").isNull(), "no_flow_match").when(uid.isNull(), "ambiguous_flow_match")
     how = F.when(reason.isNull(), F.when(F.col("lo") == F.col("hi"), "lone").otherwise("clock"))
     return dets.join(seen, "did", "left").withColumns({"uid": uid, "reason": reason, "how": how}).drop("lo", "hi", "in_lo", "in_hi")
 
 
-def theta_place(dets: DataFrame, flows: DataFrame) -> DataFrame:
-    """The same by comparing every pair: the oracle of the tests, for small tables only."""
-    f = flows.select("uid", *[F.col(c).alias(f"f_{c}") for c in TUPLE], "ts_first_us", "ts_last_us")
-    ends = lambda a, b: (F.col("src_ip") == F.col(f"f_{a}_ip")) & (F.col("src_port") == F.col(f"f_{a}_port")) & (F.col("dst_ip") == F.col(f"f_{b}_ip"))
-    port = lambda b: (F.col("dst_port") == F.col(f"f_{b}_port")) | ((F.col("proto") == "icmp") & (counterpart(F.col("src_ip"), F.col("src_port")) == F.col(f"f_{b}_port")))
-    fits = (F.col("proto") == F.col("f_proto")) & ((ends("src", "dst") & port("dst")) | (ends("dst", "src") & port("src")))
-    pairs = dets.join(f, fits & _supported(), "left")
-    inside = F.col("ts_us").between(F.col("ts_first_us"), F.col("ts_last_us"))
-    seen = pairs.groupBy("did").agg(F.count("uid").alias("n"), F.count(F.when(inside, F.col("uid"))).alias("k"), F.min("uid").alias("any"), F.min(F.when(inside, F.col("uid"))).alias("inside"))
-    reason = F.when(~_supported(), "unsupported_transport").when(F.col("n") == 0, "no_flow_match").when((F.col("n") > 1) & (F.col("k") != 1), "ambiguous_flow_match")
-    return dets.join(seen, "did").withColumn("reason", reason).withColumn("uid", F.when(reason.isNull(), F.when(F.col("n") == 1, F.col("any")).otherwise(F.col("inside"))))
-
-
 def counts(placed: DataFrame, flows: DataFrame) -> DataFrame:
     """One row: totals and the ratio that the gate judges; no correlatable detection is no loss."""
     d = placed.agg(

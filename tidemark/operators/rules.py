@@ -144,6 +144,21 @@ def admission(judged: DataFrame) -> DataFrame:
     )
 
 
+def balanced(admissions: DataFrame) -> DataFrame:
+    """``admissions`` unchanged; a source whose counters don't add up to what was fetched raises, whatever columns are read.
+
+    Each excluded rule belongs to exactly one counter.
+    """
+    accounted = sum((F.col(v) for v in COUNTED), F.col("admitted"))
+    fault = F.raise_error(F.concat(F.lit("admission of "), "source", F.lit(" does not balance: "), F.col("fetched").cast("string"), F.lit(" fetched, "), accounted.cast("string"), F.lit(" accounted for")))
+    return admissions.where(F.when(accounted == F.col("fetched"), F.lit(True)).otherwise(fault.cast("boolean")))
+
+
+def admitted_markers(judged: DataFrame, brand: str | None = BRAND) -> DataFrame:
+    """``source, marker, rules``: what the messages of admitted rules lead with; null where prose does."""
+    return judged.where("state = 'active' AND verdict IS NULL").groupBy("source", marker(F.trim("text"), brand).alias("marker")).agg(F.count("*").alias("rules"))
+
+
 def rendered(judged: DataFrame) -> DataFrame:
     """The admitted rules as a snapshot lists them: by source, sid (none: -1) and text."""
     return judged.where("state = 'active' and verdict is null").select("source", F.coalesce(sid(F.col("text")), F.lit(-1)).alias("sid"), "text").orderBy("source", "sid", "text")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.net import packed
+from . import gates
 
 TRANSPORTS = ("tcp", "udp", "icmp")
 TABLES = ("captures", "flow_labels", "unmatched")
@@ -82,10 +83,68 @@ def committed(rows: DataFrame, runs: DataFrame) -> DataFrame:
     return rows.join(runs.select("run_id"), "run_id", "left_semi")
 
 
-def load(spark: SparkSession, root: str, run: str, tables: dict[str, DataFrame], runs: DataFrame) -> bool:
+def merge(rows: DataFrame, chosen: DataFrame, strict: bool = True) -> DataFrame:
+    """Merged labels per flow, from whole label rows of runs.
+
+    ``rows(run_id, capture_sha256, flow_key, labels, sources)`` has the arrays of
+    label documents: labels of name, value, tier and sids; sources whose first
+    fields are tier, source, sid, rev and direction.  Of each run only those
+    tiers count for which it is authoritative (``chosen``): the sources of those
+    tiers, all of them, in their one order; of each name the entry of the least
+    tier, with the sids of all its entries.  ``best_tier`` is the least of the
+    sources.  Where entries of a name differ in value that is a conflict:
+    ``strict`` raises, else ``conflicts`` has the names.
+
+    A flow has a row per tier at most, as each tier has one run, so groups are small.
+    """
+    tiers = chosen.groupBy("capture_sha256", "run_id").agg(F.collect_set(F.col("tier").cast("int")).alias("__tiers"))
+    mine = lambda c: F.filter(c, lambda x: F.array_contains("__tiers", x["tier"].cast("int")))
+    own = rows.join(tiers, ["capture_sha256", "run_id"]).select("capture_sha256", "flow_key", "run_id", mine("sources").alias("sources"), mine("labels").alias("labels"))
+    every = own.where(F.size("sources") > 0).groupBy("capture_sha256", "flow_key").agg(
+        F.sort_array(F.flatten(F.collect_list("sources"))).alias("sources"), F.flatten(F.collect_list("labels")).alias("__all"), F.array_sort(F.collect_set("run_id")).alias("runs")
+    )
+    names = F.array_sort(F.array_distinct(F.transform("__all", lambda x: x["name"])))
+
+    def merged(name: Column) -> Column:
+        # One pass over the flow's entries: the least tier's value so far, all sids, and whether another value was seen.
+        start = F.struct(F.lit(None).cast("string").alias("value"), F.lit(None).cast("int").alias("tier"), F.array().cast("array<bigint>").alias("sids"), F.lit(False).alias("conflict"))
+
+        def step(a: Column, x: Column) -> Column:
+            tier, less = x["tier"].cast("int"), a["tier"].isNull() | (x["tier"].cast("int") < a["tier"])
+            return F.struct(
+                F.when(less, x["value"]).otherwise(a["value"]).alias("value"), F.when(less, tier).otherwise(a["tier"]).alias("tier"), F.array_union(a["sids"], x["sids"].cast("array<bigint>")).alias("sids"),
+                (a["conflict"] | (a["tier"].isNotNull() & ~a["value"].eqNullSafe(x["value"]))).alias("conflict"),
+            )
+
+        return F.aggregate(F.filter("__all", lambda x: x["name"] == name), start, step, lambda a: F.struct(name.alias("name"), a["value"].alias("value"), a["tier"].alias("tier"), F.array_sort(a["sids"]).alias("sids"), a["conflict"].alias("conflict")))
+
+    out = every.withColumn("__merged", F.transform(names, merged))
+    conflicts = F.transform(F.filter("__merged", lambda x: x["conflict"]), lambda x: x["name"])
+    plain = F.transform("__merged", lambda x: F.struct(x["name"].alias("name"), x["value"].alias("value"), x["tier"].alias("tier"), x["sids"].alias("sids")))
+    fault = F.raise_error(F.concat(F.lit("tiers disagree on "), F.array_join(conflicts, ", "), F.lit(" of flow "), F.col("flow_key")))
+    labels = F.when(F.size(conflicts) > 0, fault.cast("array<struct<name: string, value: string, tier: int, sids: array<bigint>>>")).otherwise(plain) if strict else plain
+    return out.select("capture_sha256", "flow_key", F.array_min(F.transform("sources", lambda x: x["tier"].cast("int"))).alias("best_tier"), labels.alias("labels"), "sources", "runs", conflicts.alias("conflicts"))
+
+
+def flow_gates(allow_missing_origin: bool = False) -> list[gates.Gate]:
+    """What a load of flow labels refuses: rows of transports whose flows have no identity of their own, and rows without an origin.
+
+    The first are left out and counted.  One of the second refuses the whole
+    load, unless they are allowed; they are counted either way.
+    """
+    return [
+        gates.Gate("unsupported transport", ~F.coalesce(F.col("proto"), F.lit("")).isin(*TRANSPORTS)),
+        gates.Gate("without origin", uri_fault(F.col("uri")).isNotNull(), drop=False, most=None if allow_missing_origin else 0),
+    ]
+
+
+def load(spark: SparkSession, root: str, run: str, tables: dict[str, DataFrame], runs: DataFrame, refuse: dict[str, list[gates.Gate]] | None = None) -> bool:
     """Loads a run's tables under ``root``, its row in ``runs`` last; False if the run is there already.
 
-    A half-loaded run is replaced: each table has a partition per run.
+    A half-loaded run is replaced: each table has a partition per run.  The
+    gates of ``refuse`` (by table) count while their table is written and are
+    judged before the run's row, which has the counts as ``refused``; a refused
+    run leaves no row, so nothing of it can be read.
     """
     try:
         if spark.read.parquet(f"{root}/runs").where(F.col("run_id") == run).limit(1).count():
@@ -93,9 +152,14 @@ def load(spark: SparkSession, root: str, run: str, tables: dict[str, DataFrame],
     except Exception as e:  # no run yet
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
+    counts: dict[str, int] = {}
     for name in TABLES:
-        tables[name].write.mode("overwrite").parquet(f"{root}/{name}/run_id={run}")
-    runs.withColumn("run_id", F.lit(run)).write.mode("append").parquet(f"{root}/runs")
+        own = gates.Watched(tables[name], (refuse or {}).get(name, []))
+        own.df.write.mode("overwrite").parquet(f"{root}/{name}/run_id={run}")
+        if own.gates:
+            counts |= {f"{name}: {k}": n for k, n in own.check().items()}
+    said = F.create_map(*[F.lit(x) for kv in sorted(counts.items()) for x in kv]) if counts else F.create_map().cast("map<string, int>")
+    runs.withColumns({"run_id": F.lit(run), "refused": said.cast("map<string, bigint>")}).write.mode("append").parquet(f"{root}/runs")
     return True
 
 

@@ -62,6 +62,11 @@ def allow_list_review(spark, sf_dir):
     return corpus.review(seen, tolerated.unionByName(stale))
 
 
+def unsound_runs(spark, sf_dir):
+    runs = _sql(spark, RUNS, "runs", all_runs=views(spark, sf_dir)["all_runs"])
+    return corpus.unsound(runs.withColumn("state", F.lit("labelled")))
+
+
 def feed_liveness(spark, sf_dir):
     builds = views(spark, sf_dir)["all_runs"].select(F.col("capture_sha256").alias("workflow"), F.expr("CASE WHEN user_id % 40 = 3 THEN 'failure' WHEN event_type = 'error' THEN 'failure' ELSE 'success' END").alias("conclusion"), F.col("finished_us").alias("created_us"))
     now = 1_800_000_000_000_000
@@ -145,6 +150,11 @@ QUERIES = {
         allow_list_review,
         f"""{_SEEN}, s AS (SELECT source, sid, label_basis, count(*) AS entries FROM seen GROUP BY 1, 2, 3), t AS (SELECT source, sid, CASE WHEN sid % 11 = 0 THEN 'other' ELSE label_basis END AS label_basis, CASE WHEN sid % 7 = 0 THEN 0 ELSE entries END AS m FROM s WHERE sid % 10 <> 0 UNION ALL SELECT 'gone', 1, 'direct', 5)
 SELECT * FROM (SELECT coalesce(s.source, t.source) AS source, coalesce(s.sid, t.sid) AS sid, coalesce(s.label_basis, t.label_basis) AS label_basis, CASE WHEN t.m IS NULL THEN 'offender' WHEN s.entries IS NULL THEN 'stale' WHEN s.entries > 10 * t.m THEN 'above ceiling' END AS fault FROM s FULL JOIN t ON s.source = t.source AND s.sid = t.sid AND s.label_basis = t.label_basis) WHERE fault IS NOT NULL""",
+    ),
+    "a23_unsound_runs": (
+        unsound_runs,
+        f"""{_RUNS} SELECT run_id, CASE WHEN rules_loaded IS DISTINCT FROM total_admitted THEN concat('loaded ', coalesce(CAST(rules_loaded AS varchar), 'an unknown number'), ' of ', total_admitted, ' rules') ELSE concat('input is ', input_status) END AS reason
+FROM runs WHERE rules_loaded IS DISTINCT FROM total_admitted OR input_status <> 'complete'""",
     ),
     "a25_feed_liveness": (feed_liveness, f"{duck('all_runs')}, n AS (SELECT capture_sha256 AS workflow, max(finished_us) FILTER (user_id % 40 <> 3 AND event_type <> 'error') AS newest FROM all_runs GROUP BY 1) SELECT workflow, round((1800000000000000 - newest) / 86400000000.0::double, 6) AS age_days, newest IS NULL OR (1800000000000000 - newest) / 86400000000.0::double > 700 AS stale FROM n"),
     "j13_w04_run_differences": (

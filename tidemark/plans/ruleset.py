@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import rules
+from ..operators import corpus, rules
 from .fixtures import duck, views
 
 #: DuckDB's own parsing of the derived rules, and the verdicts in their order of precedence.
@@ -28,7 +28,7 @@ def admission_verdicts(spark, sf_dir):
 
 
 def admission_counters(spark, sf_dir):
-    out = rules.admission(_judged(spark, sf_dir))
+    out = rules.balanced(rules.admission(_judged(spark, sf_dir)))
     return out.withColumn("balance", F.col("fetched") - F.col("admitted") - sum(F.col(v) for v in rules.COUNTED))
 
 
@@ -92,6 +92,14 @@ def marker_census(spark, sf_dir):
     return own.groupBy("marker").agg(F.count("*").alias("rules")).withColumn("observing", F.coalesce(F.col("marker").isin(*rules.OBSERVING_MARKERS), F.lit(False)))
 
 
+def marker_gate(spark, sf_dir):
+    """Feeds whose markers have moved since their policy was written, and markers that nobody reviewed."""
+    j = _judged(spark, sf_dir)
+    expected = spark.createDataFrame([("feed0", 10), ("feed1", 10_000_000), ("feed2", 0), ("feed9", 5)], "source string, excluded long")
+    known = spark.createDataFrame([("🐾",)], "marker string")
+    return corpus.marker_gate(rules.balanced(rules.admission(j)), rules.admitted_markers(j), expected, known)
+
+
 ADMITTED = "state = 'active' AND verdict IS NULL"
 _SPLIT = "len(string_split(text, '; '))"
 QUERIES = {
@@ -123,5 +131,14 @@ SELECT sid, 'unattributed' AS fault FROM have WHERE sid NOT IN (SELECT sid FROM
 SELECT source, line_no, CASE WHEN off THEN concat(substr(text, 1, head), '; \\') ELSE text END AS text, false AS dangling FROM x UNION ALL SELECT source, line_no, substr(text, head + 3), false FROM x WHERE off""",
     ),
     "j06_j07_classtype_join": (classtype_join, f"{duck('rule_lines', 'dets')}, {JUDGED} SELECT nullif(j.classtype, '') AS classtype, j.source, count(*) AS detections FROM dets d LEFT JOIN judged j ON d.sid = CAST(j.sid_text AS bigint) GROUP BY 1, 2"),
+    "a24_marker_gate": (
+        marker_gate,
+        f"""{duck('rule_lines')}, {JUDGED}, x(source, excluded) AS (VALUES ('feed0', 10), ('feed1', 10000000), ('feed2', 0), ('feed9', 5)),
+c AS (SELECT source, count(*) FILTER (state = 'active') AS fetched, count(*) FILTER (verdict = 'marker') AS marker FROM judged GROUP BY 1),
+b AS (SELECT source, fetched, marker, excluded // 10 AS least, CAST(floor(fetched * 0.05) AS bigint) AS most FROM x LEFT JOIN c USING (source)),
+f AS (SELECT source, CASE WHEN fetched IS NULL THEN 'not in the snapshot' WHEN marker = 0 THEN 'nothing excluded' WHEN marker < least THEN 'under the floor' WHEN marker > most THEN 'over the ceiling' END AS fault,
+ CASE WHEN marker < least THEN concat(marker, ' of ', least) WHEN marker > most THEN concat(marker, ' of ', most) END AS detail FROM b)
+SELECT * FROM f WHERE fault IS NOT NULL UNION ALL SELECT source, 'marker nobody reviewed', concat('🚨: ', count(*)) FROM judged WHERE {ADMITTED} AND starts_with(msg, '🐾 - 🚨') GROUP BY 1""",
+    ),
     "a24_marker_census": (marker_census, f"{duck('rule_lines')}, {JUDGED}, m AS (SELECT CASE WHEN starts_with(msg, '🐾 - 👁') THEN '👁' WHEN starts_with(msg, '🐾 - 🚨') THEN '🚨' END AS marker FROM judged) SELECT marker, count(*) AS rules, coalesce(marker = '👁', false) AS observing FROM m GROUP BY 1"),
 }

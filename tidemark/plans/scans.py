@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import gzip
+import struct
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..operators import constraints, documents, rules
-from ..sources import engines, feeds
+from ..sources import captures, engines, feeds, scratch
 from .fixtures import duck, views
 from .ruleset import ADMITTED, JUDGED
 
@@ -76,6 +80,50 @@ def notice_lines(spark, sf_dir):
     return documents.notice(v["dets"].select("source_id").distinct().join(F.broadcast(v["terms"]), "source_id").where("source_class <> 'identify'").select("source", "licence"))
 
 
+#: Flows a capture file stands for, and what its number makes of it: a pcap, a pcapng, a packed pcap, a pcap that is cut off.
+PER_FILE = 10_000
+
+
+def _capture_bytes(block: int, packets: list[tuple[int, int, int]]) -> bytes:
+    """A capture of (microseconds, bytes, interface) packets."""
+    if block % 4 == 1:
+        frame = lambda kind, body: struct.pack("<II", kind, len(body) + 12) + body + struct.pack("<I", len(body) + 12)
+        out = [frame(captures.SECTION, struct.pack("<IHHq", captures.ORDER, 1, 0, -1)), frame(captures.INTERFACE, struct.pack("<HHI", 1, 0, 65535)), frame(captures.INTERFACE, struct.pack("<HHI", 101, 0, 200))]
+        return b"".join(out + [frame(captures.PACKET, struct.pack("<IIIII", i, us >> 32, us & 0xFFFFFFFF, n, n) + bytes(n + -n % 4)) for us, n, i in packets])
+    out = struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 65535, 1) + b"".join(struct.pack("<IIII", us // 1_000_000, us % 1_000_000, n, n) + bytes(n) for us, n, _ in packets)
+    return gzip.compress(out) if block % 4 == 2 else out[: len(out) - (block % 4 == 3)]
+
+
+def capture_facts(spark, sf_dir):
+    """Captures written from the flows, a packet each, and read back: facts per file."""
+    f = views(spark, sf_dir)["flows"]
+    packets = f.select("capture", F.expr(f"o_orderkey div {PER_FILE}").alias("block"), "o_orderkey", F.col("ts_first_us").alias("us"), F.expr("CAST(40 + o_orderkey % 100 AS int)").alias("bytes"), F.expr("CAST(o_orderkey % 10 = 0 AS int)").alias("interface"))
+    uri = scratch.folder(spark, "captures")
+
+    def write(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["o_orderkey"])
+        name = f"{rows[0]['capture']}_{rows[0]['block']}"
+        scratch.put(uri, name, _capture_bytes(rows[0]["block"], [(r["us"], r["bytes"], r["interface"]) for r in rows]))
+        return pa.table({"name": [name]})
+
+    written = packets.groupBy("capture", "block").applyInArrow(write, "name string").count()
+    name = F.element_at(F.split("path", "/"), -1)
+    facts = captures.facts(captures.read(spark, uri)) if written else captures.facts(spark.createDataFrame([], captures.ROW))
+    return facts.select(
+        name.alias("name"), "container", F.col("packets").cast("bigint").alias("packets"), "link_type_name", F.array_join(F.transform("snaplens", lambda x: x.cast("string")), ",").alias("snaplens"), "first_us", "last_us",
+        F.col("truncated_at").isNotNull().alias("cut"), F.col("discarded_packets").cast("bigint").alias("discarded"), "input_status", "fault",
+    )
+
+
+_CAPTURES = f"""p AS (SELECT capture, o_orderkey // {PER_FILE} AS block, o_orderkey AS k, ts_first_us AS us, o_orderkey % 10 = 0 AS other FROM flows),
+whole AS (SELECT *, row_number() OVER (PARTITION BY capture, block ORDER BY k DESC) AS last FROM p),
+held AS (SELECT *, block % 4 = 1 AND other AS raw FROM whole WHERE block % 4 <> 3 OR last > 1),
+f AS (SELECT capture, block, count(*) AS packets, count(*) FILTER (raw) AS raws, arg_min(us, k) AS first_us, arg_max(us, k) AS last_us FROM held GROUP BY ALL),
+g AS (SELECT DISTINCT capture, block FROM p)
+SELECT concat(g.capture, '_', g.block) AS name, CASE g.block % 4 WHEN 1 THEN 'pcapng' WHEN 2 THEN 'pcap.gz' ELSE 'pcap' END AS container, coalesce(packets, 0) AS packets,
+ CASE WHEN packets IS NULL THEN NULL WHEN raws > packets - raws THEN 'RAW' ELSE 'ETHERNET' END AS link_type_name, CASE WHEN packets IS NULL THEN NULL WHEN raws > packets - raws THEN '200' ELSE '65535' END AS snaplens, first_us, last_us,
+ g.block % 4 = 3 AS cut, coalesce(least(raws, packets - raws), 0) AS discarded, CASE WHEN packets IS NULL THEN NULL WHEN g.block % 4 = 3 OR least(raws, packets - raws) > 0 THEN 'partial' ELSE 'complete' END AS input_status, CASE WHEN packets IS NULL THEN 'no packet' END AS fault
+FROM g LEFT JOIN f USING (capture, block)"""
 _T2 = "x AS (SELECT * FROM dets WHERE tier = 2), ix AS (SELECT sid, min(source_id) AS source_id FROM dets GROUP BY sid), it AS (SELECT ix.sid, t.source, t.source_class FROM ix JOIN terms t USING (source_id))"
 QUERIES = {
     "s10_s11_conn_scan": (conn_scan, f"{duck('flows')} SELECT uid, proto, src_ip, src_port, dst_ip, dst_port, ts_first_us, ts_last_us, CASE WHEN o_orderkey % 3 = 0 THEN concat('name', o_orderkey % 9) END AS server_name FROM flows"),
@@ -94,5 +142,6 @@ FROM x JOIN it USING (sid) LEFT JOIN c USING (sid) WHERE x.sid % 31 <> 0 AND it.
  CASE WHEN event_id % 6 > 2 THEN event_id % 2 > 0 END AS rules_failed_or_skipped, CASE event_id % 3 WHEN 0 THEN false WHEN 1 THEN true END AS ja4_unavailable FROM all_runs""",
     ),
     "enumeration_violations": (enumeration_violations, f"{duck('dets')} SELECT did, 'direction is unknown' AS rule FROM dets WHERE sid % 500 = 0"),
+    "s02_s09_capture_facts": (capture_facts, f"{duck('flows')}, {_CAPTURES}"),
     "k03_notice_lines": (notice_lines, f"{duck('dets', 'terms')} SELECT DISTINCT source, concat(source, ' — ', licence) AS line FROM dets JOIN terms USING (source_id) WHERE source_class <> 'identify'"),
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import correlate, store
+from ..sources import scratch
 from .detections import PLACED
 from .fixtures import duck, views
 
@@ -74,6 +75,51 @@ def cross_tier_merge(spark, sf_dir):
     return out.select("capture_sha256", "flow_key", "best_tier", F.array_join(F.transform("sids", lambda x: x.cast("string")), ",").alias("sids"), "sources", "runs", "conflict")
 
 
+def _documents(v):
+    """Label rows as documents: each flow's labels and sources in each of its runs."""
+    placed = correlate.place(v["dets"], v["flows"]).where("uid is not null")
+    runs = v["all_runs"].select("run_id", "capture_sha256", F.col("event_id").alias("n"))
+    total = v["all_runs"].agg(F.max("event_id") + 1).first()[0]
+    own = placed.withColumn("n", F.explode(F.array(*[F.expr(_OF.format(k=k, n=total)) for k in (0, 1)])))
+    entry = F.struct("tier", F.concat(F.lit("feed"), F.col("source_id").cast("string")).alias("source"), "sid", "rev", "direction")
+    named = (F.col("tier") == 1) & (F.col("threat") != "unnamed")
+    rows = own.groupBy("n", F.col("uid").alias("flow_key")).agg(
+        F.collect_list(entry).alias("sources"), F.min("tier").alias("tier"), F.array_sort(F.collect_set("sid")).alias("sids"), F.max(F.when(F.expr("sid % 1999 = 0"), "other").otherwise("malicious")).alias("value"),
+        F.min(F.when(named, F.struct("sid", "threat"))).alias("named"),
+    )
+    verdict = F.struct(F.lit("verdict").alias("name"), "value", "tier", "sids")
+    name = F.struct(F.lit("threat-name").alias("name"), F.col("named.threat").alias("value"), F.lit(1).alias("tier"), F.array("named.sid").alias("sids"))
+    labels = F.when(F.col("named").isNull(), F.array(verdict)).otherwise(F.array(name, verdict))
+    return rows.select("n", "flow_key", labels.alias("labels"), "sources").join(runs, "n").drop("n")
+
+
+def merged_labels(spark, sf_dir):
+    """Each flow's sources of all authoritative tiers, and of each name the least tier's value."""
+    v = views(spark, sf_dir)
+    out = store.merge(_documents(v), store.authoritative(_runs(v), v["exclusions"]), strict=False)
+    text = lambda *c: F.concat_ws(":", *[x.cast("string") for x in c])
+    return out.select(
+        "capture_sha256", "flow_key", F.col("best_tier").cast("bigint").alias("best_tier"), F.array_join(F.transform("sources", lambda x: text(x["tier"], x["source"], x["sid"], x["rev"], x["direction"])), " ").alias("sources"),
+        F.array_join(F.transform("labels", lambda x: text(x["name"], x["value"], x["tier"], F.array_join(F.transform(x["sids"], lambda i: i.cast("string")), ","))), " ").alias("labels"),
+        F.array_join("runs", ",").alias("runs"), F.array_join("conflicts", ",").alias("conflicts"),
+    )
+
+
+#: Flows with an origin or none, some on a transport that the store refuses.
+_ORIGINS = {"proto": "CASE WHEN o_orderkey % 50 = 7 THEN 'unknown_transport' ELSE proto END", "uri": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE concat('gs://bucket/', capture, '.pcap') END"}
+
+
+def ingest_counts(spark, sf_dir):
+    """Flows loaded into a store, by transport, beside what the load counted on its run."""
+    flows = views(spark, sf_dir)["flows"].withColumns({k: F.expr(x) for k, x in _ORIGINS.items()})
+    root, tables = scratch.folder(spark, "store"), {"captures": flows.select("capture").distinct(), "unmatched": flows.where("false").select("uid")}
+    store.load(spark, root, "r1", {**tables, "flow_labels": flows}, spark.range(1).select(F.lit("all").alias("capture_sha256")), {"flow_labels": store.flow_gates(allow_missing_origin=True)})
+    run = spark.read.parquet(f"{root}/runs")
+    kept = store.committed(spark.read.parquet(f"{root}/flow_labels"), run).groupBy("proto").agg(F.count("*").alias("flows"))
+    said = run.select(F.explode("refused").alias("gate", "refused"))
+    return kept.select(F.concat(F.lit("kept "), "proto").alias("what"), "flows").unionByName(said.select(F.col("gate").alias("what"), F.col("refused").alias("flows")))
+
+
 def coverage(spark, sf_dir):
     """Per capture: flows, those that the store refuses for their transport, and those without an origin."""
     f = views(spark, sf_dir)["flows"].withColumn("uri", F.expr("CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'gs://bucket/' ELSE concat('gs://bucket/', capture, '.pcap') END"))
@@ -130,6 +176,25 @@ SELECT uid, substr(sha256(concat_ws('|', capture, proto, CASE proto WHEN 'tcp' T
         f"""{duck('dets', 'exclusions')}, {PLACED}, {ATTESTED}, {ROWS}
 SELECT l.capture_sha256, flow_key, min(l.tier) AS best_tier, array_to_string(list_sort(list(DISTINCT sid)), ',') AS sids, count(*) AS sources, count(DISTINCT l.run_id) AS runs, count(DISTINCT value) > 1 AS conflict
 FROM label_rows l JOIN auth USING (run_id, tier) GROUP BY 1, 2""",
+    ),
+    "a28_merged_labels": (
+        merged_labels,
+        f"""{duck('dets', 'exclusions')}, {PLACED}, {ATTESTED},
+own AS (SELECT *, unnest([{_OF.format(k=0, n="total")}, {_OF.format(k=1, n="total")}]) AS n FROM placed, (SELECT max(event_id) + 1 AS total FROM all_runs) WHERE uid IS NOT NULL),
+docs AS (SELECT r.run_id, r.capture_sha256, o.uid AS flow_key, min(tier) AS tier, list(DISTINCT sid) AS sids, max(CASE WHEN sid % 1999 = 0 THEN 'other' ELSE 'malicious' END) AS value,
+  min(sid) FILTER (tier = 1 AND threat <> 'unnamed') AS named, arg_min(threat, {{'s': sid, 't': threat}}) FILTER (tier = 1 AND threat <> 'unnamed') AS threat FROM own o JOIN all_runs r ON o.n = r.event_id GROUP BY ALL),
+s AS (SELECT r.capture_sha256, o.uid AS flow_key, min(o.tier) AS best_tier, string_agg(concat_ws(':', o.tier, 'feed' || source_id, sid, rev, direction), ' ' ORDER BY o.tier, 'feed' || source_id, sid, rev, direction) AS sources, array_to_string(list_sort(list(DISTINCT r.run_id)), ',') AS runs
+  FROM own o JOIN all_runs r ON o.n = r.event_id JOIN auth a ON a.run_id = r.run_id AND a.tier = o.tier GROUP BY 1, 2),
+e AS (SELECT d.capture_sha256, flow_key, 'verdict' AS name, value, d.tier, sids FROM docs d JOIN auth a ON a.run_id = d.run_id AND a.tier = d.tier
+  UNION ALL SELECT d.capture_sha256, flow_key, 'threat-name', threat, 1, [named] FROM docs d JOIN auth a ON a.run_id = d.run_id AND a.tier = 1 WHERE named IS NOT NULL),
+m AS (SELECT capture_sha256, flow_key, name, arg_min(value, tier) AS value, min(tier) AS tier, count(DISTINCT value) > 1 AS conflict, array_to_string(list_sort(list_distinct(flatten(list(sids)))), ',') AS sids FROM e GROUP BY 1, 2, 3),
+l AS (SELECT capture_sha256, flow_key, string_agg(concat_ws(':', name, value, tier, sids), ' ' ORDER BY name) AS labels, coalesce(string_agg(name, ',' ORDER BY name) FILTER (conflict), '') AS conflicts FROM m GROUP BY 1, 2)
+SELECT s.capture_sha256, s.flow_key, best_tier, sources, coalesce(labels, '') AS labels, runs, coalesce(conflicts, '') AS conflicts FROM s LEFT JOIN l USING (capture_sha256, flow_key)""",
+    ),
+    "f08_f09_ingest_counts": (
+        ingest_counts,
+        f"""{duck('flows')}, x AS (SELECT * REPLACE ({_ORIGINS['proto']} AS proto) FROM flows)
+SELECT concat('kept ', proto) AS what, count(*) AS flows FROM x WHERE proto <> 'unknown_transport' GROUP BY 1 UNION ALL SELECT 'flow_labels: unsupported transport', count(*) FILTER (proto = 'unknown_transport') FROM x UNION ALL SELECT 'flow_labels: without origin', count(*) FILTER (o_orderkey % 3 = 0) FROM x""",
     ),
     "a30_f08_f09_coverage": (coverage, f"{duck('flows')} SELECT capture, count(*) AS flows, count(*) FILTER (proto NOT IN ('tcp', 'udp', 'icmp')) AS refused, count(*) FILTER (o_orderkey % 3 = 0 OR o_orderkey % 5 = 0) AS without_origin, count(*) FILTER (o_orderkey % 3 <> 0 AND o_orderkey % 5 = 0) AS bad_object FROM flows GROUP BY 1"),
     "f07_label_selection": (label_selection, f"{duck('dets')}, {PLACED} SELECT uid FROM placed WHERE uid IS NOT NULL GROUP BY uid HAVING count(*) FILTER (tier = 1 AND threat <> 'unnamed') > 0"),
