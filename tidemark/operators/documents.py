@@ -84,12 +84,46 @@ def loss_flags() -> list[Column]:
     ]
 
 
+#: The counts of a run, in the order of its document; each is null until the stage that measures it has run.
+COUNTS = ("flows", "detections", "labels", "unmatched", "unmatched_unsupported_transport", "unmatched_ratio", "identify_alerts_suppressed", "rules_loaded", "rules_failed", "rules_skipped")
+
+
+def counts_section(correlated: Column, loaded: Column) -> Column:
+    """The run's counts from two stages, each with its own columns: null where ``correlated`` or ``loaded`` says that the stage didn't run."""
+    of = lambda k: correlated if COUNTS.index(k) < 6 else loaded
+    return F.struct(*[F.when(of(k), F.col(k)).alias(k) for k in COUNTS])
+
+
+def failures(*stages: Column) -> Column:
+    """All stages' failures in the order of the stages, each once: the first place of a failure counts."""
+    return F.array_distinct(F.concat(*[F.filter(F.coalesce(s, F.array()), lambda f: f.isNotNull()) for s in stages]))
+
+
+def first_seen(rows: DataFrame, key: list[str], position: str) -> DataFrame:
+    """A row per key: ``first`` (the least position that has it) and ``n``; how rows are dealt out doesn't matter."""
+    return rows.groupBy(*key).agg(F.min(position).alias("first"), F.count("*").alias("n"))
+
+
+def most_common(rows: DataFrame, key: list[str], position: str) -> DataFrame:
+    """Keys by how often they occur, most first; of equals the one that was seen first."""
+    return first_seen(rows, key, position).orderBy(F.desc("n"), "first", *key)
+
+
 def duration(start: Column, end: Column) -> Column:
-    """Seconds between two ISO stamps; null if the end is before the start."""
-    us = F.unix_micros(F.to_timestamp(end)) - F.unix_micros(F.to_timestamp(start))
+    """Seconds between two ISO stamps; null if the end is before the start, see :func:`duration_warning`."""
+    us = _between(start, end)
     return F.when(us >= 0, us / F.lit(1_000_000))
 
 
+def _between(start: Column, end: Column) -> Column:
+    return F.unix_micros(F.to_timestamp(end)) - F.unix_micros(F.to_timestamp(start))
+
+
+def duration_warning(start: Column, end: Column) -> Column:
+    """Why there is no duration though both stamps are there; null if there is one."""
+    return F.when(_between(start, end) < 0, F.concat(F.lit("the run ends at "), end, F.lit(", before it starts at "), start))
+
+
 def tiers_unavailable(mode: Column, attested: Column) -> Column:
     tried = F.when(mode == "replay", F.array(F.lit(1))).when(mode == "offline", F.array(F.lit(2))).otherwise(F.array(F.lit(1), F.lit(2)))
     return F.array_except(tried, attested)

@@ -69,14 +69,29 @@ def marker(text: Column, brand: str | None = BRAND) -> Column:
 
 
 def negates_home_net(text: Column) -> Column:
-    """A ``!`` in the header before ``$HOME_NET`` or before a bracket (up to three deep) that holds it."""
+    """A ``!`` in the header before ``$HOME_NET``, or before a bracket, nested however deep, that holds it.
+
+    A bracket that never closes holds all that follows.  The header's characters
+    are folded once: how many brackets are open, which of them is negated, and
+    whether a bare term is.
+    """
     header = F.substring_index(text, "(", 1)
-    inner = r"[^\[\]]*"
-    for _ in range(3):
-        inner = rf"(?:[^\[\]]|\[{inner}\])*"
-    name = r"\$HOME_NET(?![A-Za-z0-9_])"
-    lists = F.regexp_extract_all(header, F.lit(rf"!(\[{inner}\]|\[[^\]]*$|[^\s,\[\]]+)"), F.lit(1))
-    return F.exists(lists, lambda x: x.rlike(name))
+    tokens = F.regexp_extract_all(header, F.lit(r"(?s)\$HOME_NET(?![A-Za-z0-9_])|."), F.lit(0))
+    none = F.lit(None).cast("int")
+    start = F.struct(F.lit(0).alias("open"), none.alias("negated"), F.lit(False).alias("bang"), F.lit(False).alias("bare"), F.lit(False).alias("hit"))
+
+    def step(a: Column, t: Column) -> Column:
+        opens, closes, ends = t == "[", t == "]", t.isin(",", " ", "\t", "[", "]")
+        depth = a["open"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        negated = F.when(opens & a["bang"] & a["negated"].isNull(), depth).when(closes & (a["negated"] == a["open"]), none).otherwise(a["negated"])
+        bare = (a["bang"] | a["bare"]) & ~ends
+        return F.struct(
+            depth.alias("open"), negated.alias("negated"), (t == "!").alias("bang"), (bare | (t == "!")).alias("bare"),
+            (a["hit"] | ((t == "$HOME_NET") & (bare | a["negated"].isNotNull()))).alias("hit"),
+        )
+
+    found = F.aggregate(tokens, start, step, lambda a: a["hit"])
+    return F.when(F.contains(header, F.lit("!")) & F.contains(header, F.lit("$HOME_NET")), found).otherwise(F.lit(False))
 
 
 def options(text: Column) -> Column:
@@ -171,15 +186,10 @@ def sid_index(judged: DataFrame) -> DataFrame:
 
 
 def content_id(files: DataFrame) -> DataFrame:
-    """One row: the content address of ``files(path, content)``, 16 hex digits; the order of rows doesn't matter.
+    """One row: the content address of whole ``files(path, content)``, see :func:`snapshots.address`."""
+    from . import snapshots
 
-    SHA-256 over path, a zero byte, the length (8 bytes) and the content of
-    each file, in path order.  Meant for a snapshot's handful of files.
-    """
-    part = F.concat(F.encode("path", "utf-8"), F.unhex(F.lit("00")), F.unhex(F.lpad(F.hex(F.length("content").cast("long")), 16, "0")), F.col("content"))
-    sorted_ = F.array_sort(F.collect_list(F.struct("path", part.alias("part"))))
-    whole = F.aggregate(sorted_, F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x["part"]))
-    return files.agg(F.substring(F.sha2(whole, 256), 1, 16).alias("snapshot_id"))
+    return snapshots.address(files.select("path", F.lit(0).alias("at"), "content"))
 
 
 def content_id_of(files: dict[str, bytes]) -> str:

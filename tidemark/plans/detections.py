@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import correlate, labels
+from ..operators import correlate, labels, replay
 from .fixtures import duck, views
 
 #: DuckDB's own placement: both orientations as keys, one or two probes, then the truth table.
@@ -141,6 +141,21 @@ def replay_window(spark, sf_dir):
     return w.select("capture", "flows", ((F.col("b") - F.col("a")) / F.lit(15_000_000)).cast("double").alias("scale"), F.expr("cast(rint(a + 7500000 * ((b - a) / 15000000)) as bigint)").alias("middle_us"))
 
 
+#: Flows of one tuple and capture; a replay of fifteen seconds and a bit that was asked to be a million times as fast.
+_TUPLE = ["capture", "proto", "src_ip", "src_port", "dst_ip", "dst_port"]
+_WALL, _TIMES = 15_300_000, 14_000_000
+
+
+def separability(spark, sf_dir):
+    """Flows of reused tuples, the error of a time that a replay gives them, and whether it could tell them apart."""
+    f = views(spark, sf_dir)["flows"].select("uid", *_TUPLE, "ts_first_us", "ts_last_us")
+    span = f.groupBy("capture").agg(F.min("ts_first_us").alias("a"), F.max("ts_last_us").alias("b"))
+    times = (F.col("b") - F.col("a")) / F.lit(_TIMES)
+    error = replay.uncertainty(F.col("a"), F.col("b"), F.lit(0).cast("bigint"), F.lit(_WALL).cast("bigint"), times, F.col("capture") == "cap3")
+    known = f.join(span.select("capture", error.alias("error")), "capture")
+    return replay.separable(known, _TUPLE, F.col("error")).select("uid", F.round("error", 0).cast("bigint").alias("error_us"), "separable")
+
+
 def log_window(spark, sf_dir):
     """Detections in a flow's padded window, two minutes on either side."""
     v = views(spark, sf_dir)
@@ -150,6 +165,14 @@ def log_window(spark, sf_dir):
 
 
 QUERIES = {
+    "p17_separability": (
+        separability,
+        f"""{duck('flows')}, s AS (SELECT capture, min(ts_first_us) AS a, max(ts_last_us) AS b FROM flows GROUP BY 1),
+e AS (SELECT capture, CASE WHEN capture = 'cap3' THEN CAST(b - a AS double) ELSE abs({_WALL}.0::double - CAST(b - a AS double) / ((b - a) / {_TIMES}.0::double)) * (CAST(b - a AS double) / {_WALL}) END AS error FROM s),
+w AS (SELECT f.*, e.error, max(ts_last_us) OVER (PARTITION BY {', '.join('f.' + c for c in _TUPLE)} ORDER BY ts_first_us, ts_last_us, uid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ended,
+  lead(ts_first_us) OVER (PARTITION BY {', '.join('f.' + c for c in _TUPLE)} ORDER BY ts_first_us, ts_last_us, uid) AS following FROM flows f JOIN e USING (capture))
+SELECT uid, CAST(round(error) AS bigint) AS error_us, coalesce(ts_first_us - ended > error, true) AND coalesce(following - ts_last_us > error, true) AS separable FROM w""",
+    ),
     "correlate_placement": (correlate_placement, f"{duck('dets', 'terms')}, {PLACED} SELECT did, uid, reason, how FROM placed"),
     "j04_placement_counts": (placement_counts, f"{duck('dets')}, {PLACED} SELECT coalesce(reason, how) AS placement, count(*) AS detections FROM placed GROUP BY 1"),
     "j01_j03_bidirectional_join": (bidirectional_candidates, f"{duck('dets')}, {PLACED} SELECT did, count(*) AS candidates, min(uid) AS first_uid FROM cand JOIN dets USING (did) WHERE proto = '' OR lower(proto) IN ('tcp', 'udp', 'icmp') GROUP BY did"),

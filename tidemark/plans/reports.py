@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import device
-from ..operators import corpus, tier1
+from ..operators import corpus, documents, tier1
 from .fixtures import duck, views
 
 #: Source entries of runs, from the detections: a run per order modulo 23.
 SEEN = """seen AS (SELECT concat('run', CAST((did {div} 1000) % 23 AS string)) AS run_id, concat('snap', CAST(CASE WHEN source_id % 3 = 0 THEN 0 ELSE (did {div} 1000) % 23 % 4 END AS string)) AS snapshot, concat('feed', CAST(source_id AS string)) AS source,
- sid % 100 AS sid, CASE WHEN sid % 4 = 0 THEN 'indicator-reference' ELSE 'direct' END AS label_basis, CASE WHEN sid % 3 = 0 THEN 'trojan-activity' END AS classtype FROM dets WHERE tier = 2)"""
+ sid, CASE WHEN sid % 4 = 0 THEN 'indicator-reference' ELSE 'direct' END AS label_basis, CASE WHEN sid % 3 = 0 THEN 'trojan-activity' END AS classtype FROM dets WHERE tier = 2)"""
 RUNS = """runs AS (SELECT run_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE 100 - CAST(event_id % 3 AS int) END AS rules_loaded, 100 AS total_admitted,
  CASE WHEN event_id % 5 = 0 THEN 'partial' ELSE 'complete' END AS input_status, CAST(event_id % 4 AS int) AS unmatched, CASE WHEN event_id % 6 = 0 THEN NULL ELSE CAST(event_id % 2 AS int) END AS discarded_packets FROM all_runs)"""
 DEVICE = """device AS (SELECT CAST(l_orderkey AS bigint) * 8 + l_linenumber AS k, CASE l_linenumber % 4 WHEN 0 THEN concat('Some Threat(', CAST(l_partkey AS string), ')') WHEN 1 THEN CAST(l_partkey AS string) WHEN 2 THEN concat('(', CAST(l_suppkey AS string), ')') ELSE 'Bare name' END AS threatid,
@@ -62,6 +62,28 @@ def allow_list_review(spark, sf_dir):
     return corpus.review(seen, tolerated.unionByName(stale))
 
 
+def most_common(spark, sf_dir):
+    """What fired, most entries first; of equals the one that fired first."""
+    return documents.most_common(views(spark, sf_dir)["dets"].where("tier = 2"), ["source_id", "sid"], "did").select("source_id", "sid", "n", "first")
+
+
+#: Failures of three stages of a run; a stage that didn't run has none.
+_STAGES = {"flows_failed": "CASE WHEN event_id % 2 = 0 THEN array('a', 'b') END", "engine_failed": "CASE WHEN event_id % 3 = 0 THEN array('b', 'c', 'b') ELSE array() END", "other": "array('a')"}
+_COUNTED = {
+    "flows": "event_id", "detections": "event_id * 2", "labels": "event_id % 10", "unmatched": "event_id % 4", "unmatched_unsupported_transport": "0", "unmatched_ratio": "round((event_id % 4) / 8.0, 3)",
+    "identify_alerts_suppressed": "1", "rules_loaded": "100", "rules_failed": "event_id % 2", "rules_skipped": "0",
+}
+
+
+def run_counts(spark, sf_dir):
+    """The counts of each run, null where their stage didn't run, and its failures, each once."""
+    r = views(spark, sf_dir)["all_runs"].select("run_id", "event_id", *[F.expr(x).alias(k) for k, x in (_STAGES | _COUNTED).items()])
+    section = documents.counts_section(F.expr("event_id % 5 > 0"), F.expr("event_id % 7 > 0")).alias("c")
+    failed = F.array_join(documents.failures(*[F.col(k) for k in _STAGES]), ",").alias("failures")
+    out = r.select("run_id", section, failed)
+    return out.select("run_id", "failures", *[F.col(f"c.{k}").cast("double" if k == "unmatched_ratio" else "bigint").alias(k) for k in documents.COUNTS])
+
+
 def unsound_runs(spark, sf_dir):
     runs = _sql(spark, RUNS, "runs", all_runs=views(spark, sf_dir)["all_runs"])
     return corpus.unsound(runs.withColumn("state", F.lit("labelled")))
@@ -150,6 +172,12 @@ QUERIES = {
         allow_list_review,
         f"""{_SEEN}, s AS (SELECT source, sid, label_basis, count(*) AS entries FROM seen GROUP BY 1, 2, 3), t AS (SELECT source, sid, CASE WHEN sid % 11 = 0 THEN 'other' ELSE label_basis END AS label_basis, CASE WHEN sid % 7 = 0 THEN 0 ELSE entries END AS m FROM s WHERE sid % 10 <> 0 UNION ALL SELECT 'gone', 1, 'direct', 5)
 SELECT * FROM (SELECT coalesce(s.source, t.source) AS source, coalesce(s.sid, t.sid) AS sid, coalesce(s.label_basis, t.label_basis) AS label_basis, CASE WHEN t.m IS NULL THEN 'offender' WHEN s.entries IS NULL THEN 'stale' WHEN s.entries > 10 * t.m THEN 'above ceiling' END AS fault FROM s FULL JOIN t ON s.source = t.source AND s.sid = t.sid AND s.label_basis = t.label_basis) WHERE fault IS NOT NULL""",
+    ),
+    "o07_most_common": (most_common, f"{duck('dets')} SELECT source_id, sid, count(*) AS n, min(did) AS first FROM dets WHERE tier = 2 GROUP BY 1, 2"),
+    "a14_a15_run_counts": (
+        run_counts,
+        f"""{duck('all_runs')} SELECT run_id, CASE WHEN event_id % 6 = 0 THEN 'a,b,c' WHEN event_id % 2 = 0 THEN 'a,b' WHEN event_id % 3 = 0 THEN 'b,c,a' ELSE 'a' END AS failures,
+ {', '.join(f"CASE WHEN event_id % {5 if i < 6 else 7} > 0 THEN CAST({_COUNTED[k]} AS {'double' if k == 'unmatched_ratio' else 'bigint'}) END AS {k}" for i, k in enumerate(documents.COUNTS))} FROM all_runs""",
     ),
     "a23_unsound_runs": (
         unsound_runs,

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import gzip
+import io
+import tarfile
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ..operators import corpus, rules
+from ..operators import corpus, rules, snapshots
+from ..sources import feeds, scratch
 from .fixtures import duck, views
 
 #: DuckDB's own parsing of the derived rules, and the verdicts in their order of precedence.
@@ -58,8 +64,9 @@ def sid_index(spark, sf_dir):
 
 
 def sid_collisions(spark, sf_dir):
-    """Sids that two sources claim, by sid modulo 500, and rules without attribution."""
-    own = _judged(spark, sf_dir).where("state = 'active' and verdict is null").select("source", (rules.sid(F.col("text")) % 500).alias("sid"))
+    """Sids that two sources claim: every ninth is in another feed as well."""
+    first = _judged(spark, sf_dir).where("state = 'active' and verdict is null").select("source", rules.sid(F.col("text")).alias("sid"))
+    own = first.unionByName(first.where("sid % 9 = 0").select(F.lit("feed9").alias("source"), "sid"))
     return own.groupBy("sid").agg(F.count_distinct("source").alias("sources"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("claimed_by")).where("sources > 1")
 
 
@@ -100,6 +107,64 @@ def marker_gate(spark, sf_dir):
     return corpus.marker_gate(rules.balanced(rules.admission(j)), rules.admitted_markers(j), expected, known)
 
 
+def snapshot_commits(spark, sf_dir):
+    """The admitted rules committed as a snapshot, twice, and read back: what it holds, and which write made it."""
+    j, root = _judged(spark, sf_dir), scratch.folder(spark, "snapshots")
+    data = j.where("line_no % 50 = 0 AND state = 'active' AND verdict IS NULL").select("source", F.concat(F.lit("list"), F.col("line_no").cast("string"), F.lit(".lst")).alias("name"), F.encode(F.repeat("text", 300), "utf-8").alias("content"))
+    counters = rules.admission(j)
+    name, fresh = snapshots.write(spark, root, snapshots.components(j, data), counters, "2026-01-01T00:00:00Z")
+    again, repeated = snapshots.write(spark, root, snapshots.components(j.repartition(5), data), counters, "2026-02-01T00:00:00Z")
+    _, parts, warnings = snapshots.load(spark, root)
+    held = parts.withColumn("file", F.when(F.col("path") == snapshots.INDEX, "index").when(F.col("path") == snapshots.RULES, "rules").otherwise("data"))
+    sizes = held.where("file <> 'index'").groupBy("file").agg(F.count_distinct("path").alias("files"), F.sum(F.length("content")).alias("n")).select(F.concat("file", F.lit(" bytes")).alias("what"), F.lit(None).cast("string").alias("source"), "n")
+    index = snapshots.index(parts).groupBy("source").agg(F.count("*").alias("n")).select(F.lit("sids").alias("what"), "source", "n")
+    said = spark.createDataFrame([("new", None, int(fresh)), ("new again", None, int(repeated)), ("same id", None, int(name == again)), ("warnings", None, len(warnings))], "what string, source string, n bigint")
+    return sizes.unionByName(index).unionByName(said)
+
+
+#: Rules per feed, and what the number of a feed makes of it: plain, packed, a packed archive.
+PER_FEED = 200
+
+
+def _feed(block: int, texts: list[tuple[int, str]]) -> bytes:
+    if block % 3 < 2:
+        plain = "".join(t + "\n" for _, t in texts).encode()
+        return gzip.compress(plain) if block % 3 else plain
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:gz") as tar:
+        files = {f"z/part{k}.rules": "\n".join(t for n, t in texts if n % 2 == k) for k in (1, 0)} | {"lists/seen.lst": "".join(f"{n}\n" for n, _ in texts)}
+        for name, text in files.items():
+            info = tarfile.TarInfo(name)
+            info.size = len(text.encode())
+            tar.addfile(info, io.BytesIO(text.encode()))
+    return out.getvalue()
+
+
+def feed_members(spark, sf_dir):
+    """Feeds made from the rules, and the files that are in them."""
+
+    def pack(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["line_no"])
+        return pa.table({"source": [f"{rows[0]['source']}/{rows[0]['block']}"], "content": pa.array([_feed(rows[0]["block"], [(r["line_no"], r["text"]) for r in rows])], pa.binary())})
+
+    lines = views(spark, sf_dir)["rule_lines"].select("source", F.expr(f"line_no div {PER_FEED}").alias("block"), "line_no", "text")
+    made = lines.groupBy("source", "block").applyInArrow(pack, "source string, content binary")
+    return feeds.contents(made).select("source", "name", "kind", F.col("bytes").cast("bigint").alias("bytes"))
+
+
+#: Headers with brackets up to eleven deep, some of them negated, some never closed, the variable within or behind.
+NESTED = {
+    "depth": "CAST(line_no % 12 AS int)", "bang": "line_no % 3 = 0", "inside": "line_no % 2 = 0", "closed": "line_no % 7 > 0", "name": "CASE WHEN line_no % 5 = 0 THEN '$HOME_NETWORKS' ELSE '$HOME_NET' END",
+}
+
+
+def nested_brackets(spark, sf_dir):
+    lines = views(spark, sf_dir)["rule_lines"].select("line_no", *[F.expr(x).alias(k) for k, x in NESTED.items()])
+    text = F.expr("""concat('alert tcp any any -> ', CASE WHEN bang THEN '!' ELSE '' END, repeat('[', depth), '10.0.0.0/8', CASE WHEN inside THEN concat(',', name) ELSE '' END,
+ repeat(']', CASE WHEN closed THEN depth ELSE greatest(depth - 1, 0) END), CASE WHEN inside THEN '' ELSE concat(',', name) END, ' any (msg:"!$HOME_NET"; sid:1;)')""")
+    return lines.select("line_no", rules.negates_home_net(text).alias("negates"))
+
+
 ADMITTED = "state = 'active' AND verdict IS NULL"
 _SPLIT = "len(string_split(text, '; '))"
 QUERIES = {
@@ -119,7 +184,7 @@ QUERIES = {
     "r07_r08_address_indicators": (address_indicators, f"{duck('rule_lines')} SELECT line_no, NOT (contains(text, 'content:\"x\"') OR contains(text, 'ja4.hash')) AS address_indicator, len(regexp_extract_all(text, ';')) AS options FROM rule_lines"),
     "k06_rendered_rules": (rendered_rules, f"{duck('rule_lines')}, {JUDGED} SELECT source, CAST(sid_text AS bigint) AS sid, md5(text) AS text_md5 FROM judged WHERE {ADMITTED}"),
     "k07_sid_index": (sid_index, f"{duck('rule_lines')}, {JUDGED} SELECT source, count(DISTINCT sid_text) AS sids, min(CAST(sid_text AS bigint)) AS first_sid, max(CAST(sid_text AS bigint)) AS last_sid, count(*) FILTER (NOT (contains(text, 'content:\"x\"') OR contains(text, 'ja4.hash'))) AS address_indicators FROM judged WHERE {ADMITTED} GROUP BY source"),
-    "t05_sid_collisions": (sid_collisions, f"{duck('rule_lines')}, {JUDGED} SELECT CAST(sid_text AS bigint) % 500 AS sid, count(DISTINCT source) AS sources, array_to_string(list_sort(list(DISTINCT source)), ',') AS claimed_by FROM judged WHERE {ADMITTED} GROUP BY 1 HAVING count(DISTINCT source) > 1"),
+    "t05_sid_collisions": (sid_collisions, f"{duck('rule_lines')}, {JUDGED} SELECT CAST(sid_text AS bigint) AS sid, 2 AS sources, concat(source, ',feed9') AS claimed_by FROM judged WHERE {ADMITTED} AND CAST(sid_text AS bigint) % 9 = 0"),
     "j08_index_reconciliation": (
         index_reconciliation,
         f"""{duck('rule_lines')}, {JUDGED}, have AS (SELECT CAST(sid_text AS bigint) AS sid FROM judged WHERE {ADMITTED}), idx AS (SELECT DISTINCT CAST(sid_text AS bigint) AS sid FROM judged WHERE line_no % 7 <> 0)
@@ -131,6 +196,24 @@ SELECT sid, 'unattributed' AS fault FROM have WHERE sid NOT IN (SELECT sid FROM
 SELECT source, line_no, CASE WHEN off THEN concat(substr(text, 1, head), '; \\') ELSE text END AS text, false AS dangling FROM x UNION ALL SELECT source, line_no, substr(text, head + 3), false FROM x WHERE off""",
     ),
     "j06_j07_classtype_join": (classtype_join, f"{duck('rule_lines', 'dets')}, {JUDGED} SELECT nullif(j.classtype, '') AS classtype, j.source, count(*) AS detections FROM dets d LEFT JOIN judged j ON d.sid = CAST(j.sid_text AS bigint) GROUP BY 1, 2"),
+    "k05_s20_snapshot_commits": (
+        snapshot_commits,
+        f"""{duck('rule_lines')}, {JUDGED}, a AS (SELECT * FROM judged WHERE {ADMITTED})
+SELECT 'rules bytes' AS what, NULL AS source, CAST(sum(strlen(text) + 1) AS bigint) AS n FROM a UNION ALL SELECT 'data bytes', NULL, CAST(sum(strlen(text) * 300) AS bigint) FROM a WHERE line_no % 50 = 0
+UNION ALL SELECT 'sids', source, count(DISTINCT sid_text) FROM a GROUP BY source UNION ALL SELECT * FROM (VALUES ('new', NULL, 1), ('new again', NULL, 0), ('same id', NULL, 1), ('warnings', NULL, 0))""",
+    ),
+    "s17_feed_members": (
+        feed_members,
+        f"""{duck('rule_lines')}, x AS (SELECT concat(source, '/', line_no // {PER_FEED}) AS source, line_no // {PER_FEED} AS block, line_no, text FROM rule_lines)
+SELECT source, 'feed.rules' AS name, 'rules' AS kind, CAST(sum(strlen(text) + 1) AS bigint) AS bytes FROM x WHERE block % 3 < 2 GROUP BY 1
+UNION ALL SELECT b.source, concat('z/part', k), 'rules', coalesce(CAST(sum(strlen(text) + 1) - 1 AS bigint), 0) FROM (SELECT DISTINCT source, unnest([0, 1]) AS k FROM x WHERE block % 3 = 2) b LEFT JOIN x ON x.source = b.source AND x.line_no % 2 = k GROUP BY 1, 2
+UNION ALL SELECT source, 'seen.lst', 'data', CAST(sum(strlen(CAST(line_no AS varchar)) + 1) AS bigint) FROM x WHERE block % 3 = 2 GROUP BY 1""".replace("concat('z/part', k)", "concat('z/part', k, '.rules')"),
+    ),
+    "r09_nested_brackets": (
+        nested_brackets,
+        f"""{duck('rule_lines')}, x AS (SELECT line_no, {', '.join(f'{v} AS {k}' for k, v in NESTED.items())} FROM rule_lines)
+SELECT line_no, bang AND name = '$HOME_NET' AND depth > 0 AND (inside OR NOT closed) AS negates FROM x""",
+    ),
     "a24_marker_gate": (
         marker_gate,
         f"""{duck('rule_lines')}, {JUDGED}, x(source, excluded) AS (VALUES ('feed0', 10), ('feed1', 10000000), ('feed2', 0), ('feed9', 5)),

@@ -9,14 +9,16 @@ import re
 import tarfile
 import tomllib
 import unicodedata
+import zlib
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
-#: Bytes of a feed, inflated; a feed beyond that is refused.
-LARGEST = 512 << 20
+#: Bytes of a feed, inflated, and of one of its files; what is beyond that is refused.
+LARGEST, MEMBER = 512 << 20, 64 << 20
 KEYS = {"name", "url", "licence", "source_class", "admission_basis"}
 OPTIONAL = {"enabled", "exclude_classtypes", "exclude_msg_markers", "msg_brand_marker"}
 CLASSES, BASES = ("signature", "ioc-dest", "ioc-name", "identify"), ("metadata-filter", "wholesale", "device-policy")
@@ -28,34 +30,110 @@ class BadFeed(ValueError):
     """A feed or registry that can't be used as it is."""
 
 
-def members(data: bytes) -> list[tuple[str, bytes]]:
-    """The files of a feed in name order; a plain feed is one file, ``feed.rules``."""
-    if data[:2] == b"\x1f\x8b":
-        with gzip.open(io.BytesIO(data)) as z:
-            data = z.read(LARGEST + 1)
-    if len(data) > LARGEST:
-        raise BadFeed("too large")
-    if data[257:262] != b"ustar":
-        return [("feed.rules", data)]
-    with tarfile.open(fileobj=io.BytesIO(data)) as tar:
-        found = sorted((m.name, tar.extractfile(m).read()) for m in tar.getmembers() if m.isfile())
-    names = [posixpath.basename(n) for n, _ in found if not n.endswith(".rules")]
-    if len(set(names)) < len(names):
-        raise BadFeed("two companion files have one name")
-    return found
+class _Counted:
+    """A stream that refuses to give more than ``most`` bytes."""
+
+    def __init__(self, stream, most: int):
+        self.stream, self.left = stream, most
+
+    def read(self, size: int = -1) -> bytes:
+        try:
+            out = self.stream.read(size if size >= 0 else self.left + 1)
+        except (OSError, EOFError, zlib.error) as e:
+            raise BadFeed(f"not readable: {e}") from None
+        self.left -= len(out)
+        if self.left < 0:
+            raise BadFeed("too large")
+        return out
+
+
+def members(data: bytes, largest: int = LARGEST, member: int = MEMBER) -> Iterator[tuple[str, bytes]]:
+    """The files of a feed as they come, one at a time; a plain feed is one file, ``feed.rules``.
+
+    Only regular files count.  More than ``member`` bytes in one file or
+    ``largest`` in all, two companion files of one name, and an archive without
+    rules are failures: a feed whose shape has changed must not look like one
+    that matches nothing.
+    """
+    if not data:
+        raise BadFeed("empty")
+    stream = _Counted(gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data), largest)
+    head = b""
+    while len(head) < 512 and (more := stream.read(512 - len(head))):
+        head += more
+    if head[257:262] != b"ustar":
+        yield "feed.rules", head + stream.read()
+        return
+    stream.left += len(head)
+    names, found = set(), False
+    try:
+        with tarfile.open(fileobj=_Rejoined(head, stream), mode="r|") as tar:
+            for m in tar:
+                if not m.isfile():
+                    continue
+                if m.size > member:
+                    raise BadFeed(f"{m.name}: too large")
+                base = posixpath.basename(m.name)
+                if m.name.endswith(".rules"):
+                    found = True
+                elif base in names:
+                    raise BadFeed(f"two companion files are named {base}")
+                else:
+                    names.add(base)
+                yield m.name, tar.extractfile(m).read()
+    except tarfile.TarError as e:
+        raise BadFeed(f"not readable: {e}") from None
+    if not found:
+        raise BadFeed("an archive without rules")
+
+
+class _Rejoined:
+    """A stream whose first bytes were read already."""
+
+    def __init__(self, head: bytes, stream: _Counted):
+        self.head, self.stream = head, stream
+
+    def read(self, size: int) -> bytes:
+        out, self.head = self.head[:size], self.head[size:]
+        return out + self.stream.read(size - len(out)) if len(out) < size else out
+
+
+@udtf(returnType="name string, kind string, bytes long, content binary")
+class FeedMembers:
+    """A row per file of a feed: ``rules`` with their path in the archive, companion ``data`` files with their bare name."""
+
+    def eval(self, content: bytes):
+        for name, data in members(bytes(content or b"")):
+            rules = name.endswith(".rules")
+            if rules:
+                data.decode("utf-8")  # a rule that isn't UTF-8 would be altered silently
+            yield (name if rules else posixpath.basename(name), "rules" if rules else "data", len(data), data)
+
+
+def contents(feeds: DataFrame) -> DataFrame:
+    """``feeds(source, content)`` -> ``source, name, kind, bytes, content``: the files of every feed, companions included."""
+    spark = feeds.sparkSession
+    spark.udtf.register("feed_members", FeedMembers)
+    return spark.sql("SELECT f.source, m.* FROM {feeds} f, LATERAL feed_members(f.content) m", feeds=feeds)
 
 
 def rule_lines(feeds: DataFrame) -> DataFrame:
-    """``feeds(source, content)`` -> ``source, line_no, text``: lines of all ``.rules`` files, as UTF-8."""
+    """``feeds(source, content)`` -> ``source, line_no, text``: lines of all ``.rules`` files in the order of their names, as UTF-8.
 
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for source, data in zip(f["source"], f["content"]):
-                text = "".join(t if t.endswith("\n") else t + "\n" for n, b in members(data) if n.endswith(".rules") for t in [b.decode("utf-8")])
-                lines = text.splitlines()
-                yield pd.DataFrame({"source": source, "line_no": range(1, len(lines) + 1), "text": lines})
+    Files are cut into lines one by one, so no rule runs on from one into the next.
+    """
 
-    return feeds.mapInPandas(rows, "source string, line_no long, text string")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for source, name, content in zip(*(c.to_pylist() for c in batch.columns)):
+                lines = content.decode("utf-8").splitlines()
+                yield pa.RecordBatch.from_pydict({"source": [source] * len(lines), "name": [name] * len(lines), "i": list(range(1, len(lines) + 1)), "text": lines}, schema=schema)
+
+    schema = pa.schema([("source", pa.string()), ("name", pa.string()), ("i", pa.int64()), ("text", pa.string())])
+    lines = contents(feeds).where("kind = 'rules'").select("source", "name", "content").mapInArrow(cut, "source string, name string, i long, text string")
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = lines.groupBy("source", "name").agg(F.max("i").alias("n")).select("source", "name", before.alias("before"))  # a row per file
+    return lines.join(starts, ["source", "name"]).select("source", (F.col("before") + F.col("i")).alias("line_no"), "text")
 
 
 def enabled(sources: DataFrame) -> DataFrame:
