@@ -334,6 +334,33 @@ def test_an_article_is_never_lost_to_a_word(name, where):
     assert text.startswith("Title Some long text") and text.endswith("Sources: One Two") and "Nice" not in text and "Buy" not in text
 
 
+SUBJECTS = ["ads-and-marketing", "comment-section-wrapper", "sponsor-story", "footer-layout-grid", "newsletter", "subscribe", "post menu-food", "nav-lit story", "rss-item", "skip-link-target"]
+
+
+@pytest.mark.parametrize("name", SUBJECTS)
+@pytest.mark.parametrize("head", ["", "<h1>A title of this page, and a long one</h1>"])
+def test_the_only_content_stays_whatever_it_is_called(name, head):
+    p = "<p>This is the first paragraph, long enough to count.</p><p>And a second one that goes on, and on, for a while.</p>"
+    text = htmltext.extract(f"<body><nav><a href=x>Home</a></nav>{head}<div class='{name}'>{p}</div><footer>Imprint</footer></body>")
+    assert text.endswith("This is the first paragraph, long enough to count. And a second one that goes on, and on, for a while.")
+
+
+@pytest.mark.parametrize("part", ['<h2 class="menu-title">{}</h2>', '<p class="cookie-recipe">{}</p>', '<p class="code-comment">{}</p>', '<p class="promotion-chess">{}</p>', '<div class="alert">{}</div>'])
+def test_parts_of_an_article_stay(part):
+    said = "Mind that this is a part of it."
+    text = htmltext.extract(f"<body><article><p>This is the first paragraph, long enough to count.</p>{part.format(said)}<p>The end.</p></article></body>")
+    assert text == f"This is the first paragraph, long enough to count. {said} The end."
+
+
+def test_split_articles_keep_short_parts():
+    one = "<div><p>This is a paragraph, long enough to count, of a split article.</p><p>And another one, of some length.</p></div>"
+    assert htmltext.extract(f"<body>{one}{one}<div>Short end.</div><div class='ad'>Buy it</div></body>").endswith("of some length. Short end.")
+
+
+def test_a_marked_part_never_replaces_an_article():
+    assert htmltext.extract('<body><div class="ad">Words of an advert, that go on for quite a while.</div><article><h1>Tiny.</h1><p>So.</article></body>') == "Tiny. So."
+
+
 def test_marked_parts_go():
     comments = "<article><p>I disagree, really, I do, strongly, so much that I write a long text, ok.</p></article>" * 30
     assert htmltext.extract(f"<body>{ARTICLE}<div id=comments>{comments}</div></body>").endswith("Two")

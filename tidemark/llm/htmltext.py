@@ -41,10 +41,18 @@ LOOSE = frozenset(
     "banner promo promotion foot notice notices notification alert popup modal overlay lightbox sidebar share sharing social related recommended recommendations widget widgets "
     "subscription signup login toolbar copyright disclaimer form search hidden".split()
 )
+#: Words that say where or in what shape something stands; what else stands beside a mark in a name is a subject, and the name may be the article's.
+PLACES = frozenset(
+    "site main page left right top bottom upper lower first last list lists item items area areas slot box bar block wrap wrapper container section inner outer row col column grid layout panel group button buttons "
+    "link links icon icons post posts entry unit units primary secondary global local mobile desktop sticky fixed js the ul li div nofollow inline small large wide".split()
+)
 #: Words that say that what follows them is absent or elsewhere, and a last word that does so for what comes before.
 NEGATIONS, FREE = frozenset("no not non without has have with hide hides is".split()), "free"
 #: A marked element holds the page's article if what else there is has less than this share of its points.
 ELSE = 0.25
+#: Points that a paragraph of fifty characters has; less than that beside a surely marked element is no article.
+NOTHING = 1.5
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEADS = frozenset("header masthead topbar".split())
 PARAGRAPHS = frozenset("p pre td blockquote dd li h1 h2 h3 h4 h5 h6 div section article main body figcaption".split())
 KEPT_SIBLINGS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table figure".split())
@@ -123,28 +131,36 @@ class _Page:
 NONE, LOOSELY, SURELY, GONE = range(4)
 
 
-def _names(value: str) -> set[str]:
-    """The words of the class names in ``value``, without those that are said to be absent."""
-    out: set[str] = set()
+def _names(value: str) -> list[list[str]]:
+    """The words of each class name in ``value``, without those that are said to be absent."""
+    out = []
     for name in value.split():
         words = [w for w in _NAMES.split(name) if w]
         if FREE not in words[-1:]:
-            out.update(words[: next((i for i, w in enumerate(words) if w in NEGATIONS), None)])
+            out.append(words[: next((i for i, w in enumerate(words) if w in NEGATIONS), None)])
     return out
 
 
 def _mark(tag: str, attributes: dict[str, str], inside: bool) -> int:
-    """How an element is marked as something other than the article; ``inside``: it is within an article."""
+    """How an element is marked as something other than the article; ``inside``: it is within an article.
+
+    A name marks surely only if nothing in it is a subject: "menu" and
+    "left-menu" do, "menu-food" may be an article about food.
+    """
     if tag in DROPPED or tag in RAW:
         return GONE
     loose = tag == "form" or (tag == "header" and not inside)
     if attributes and tag not in ("html", "body", "main"):
         if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", ""):
             return GONE
-        words = _names(attributes.get("class", "")) | _names(attributes.get("id", ""))
-        if words & MARKS - LOOSE:
-            return SURELY
-        loose = loose or attributes.get("role") in ROLES or bool(words & LOOSE) or (not inside and bool(words & HEADS))
+        loose = loose or attributes.get("role") in ROLES
+        for words in _names(attributes.get("class", "")) + _names(attributes.get("id", "")):
+            marks = [w for w in words if w in MARKS]
+            subject = any(w not in MARKS and w not in PLACES and not w.isdigit() for w in words)
+            if marks and not subject and any(w not in LOOSE for w in marks):
+                return SURELY
+            if marks and not (subject and inside) or (not inside and not HEADS.isdisjoint(words)):
+                loose = True
     return LOOSELY if loose else NONE
 
 
@@ -157,8 +173,8 @@ def _total(parent: list[int], values: list[float], out: list[bool]) -> list[floa
     return whole
 
 
-def _drop(page: _Page, mark: list[int], points: list[float]) -> list[bool]:
-    """Which elements go: those marked, but for those that hold the article."""
+def _drop(page: _Page, mark: list[int], inside: list[bool], points: list[float]) -> list[bool]:
+    """Which elements go: those marked, but for those that the points say hold the article or a part of it."""
     n, tag, parent = len(page.tag), page.tag, page.parent
     gone = [m == GONE for m in mark]
     dropped = [m != NONE for m in mark]
@@ -167,12 +183,18 @@ def _drop(page: _Page, mark: list[int], points: list[float]) -> list[bool]:
         # Only an element with half of all points may hold the article in spite of its name, or one with the only article.
         small = [dropped[i] and whole[i] < 0.5 * whole[0] for i in range(n)]
         rest = _total(parent, points, small)
+        told = _total(parent, [0.0 if tag[i] in HEADINGS else p for i, p in enumerate(points)], small)
         articles = [float(tag[i] in ("article", "main") and not dropped[i]) for i in range(n)]
         held = _total(parent, articles, gone)
         for i in range(1, n):
             if LOOSELY <= mark[i] <= SURELY:
                 alone = held[i] > 0 and held[i] == held[0]
-                dropped[i] = not (alone or (mark[i] == LOOSELY and not small[i] and rest[i] > 0 and rest[0] - rest[i] < ELSE * rest[i]))
+                most = not small[i] and rest[i] > 0
+                if mark[i] == LOOSELY:
+                    kept = most and rest[0] - rest[i] < ELSE * rest[i] or (inside[parent[i]] and whole[i] >= 1)
+                else:  # it stays only if no other paragraph could be the article
+                    kept = most and told[0] - told[i] < NOTHING and held[i] == held[0]
+                dropped[i] = not (alone or kept)
     for i in range(1, n):
         dropped[i] = dropped[i] or dropped[parent[i]]
     return dropped
@@ -208,7 +230,7 @@ def extract(text: str | None) -> str:
     for i in range(1, n):
         if length[i] and tag[i] in PARAGRAPHS:
             points[i] = (length[i] >= 25) + commas[i] + min(length[i] / 100, 3) + 0.01
-    dropped = _drop(page, mark, [p * (1 - links[i] / length[i]) if p else 0.0 for i, p in enumerate(points)])
+    dropped = _drop(page, mark, inside, [p * (1 - links[i] / length[i]) if p else 0.0 for i, p in enumerate(points)])
     score = [0.0] * n
     for i in range(1, n):
         if dropped[i]:
@@ -240,7 +262,8 @@ def extract(text: str | None) -> str:
     keep[best] = True
     for i in range(1, n):
         if best and parent[i] == parent[best] and tag[best] not in ("body", "html", "main"):
-            alike = score[i] >= max(1.0, 0.2 * score[best]) and share[i] < 0.5
+            # A part of a split article may be short: it looks like the best part, or it counts by itself.
+            alike = share[i] < 0.5 and score[i] >= max(1.0, 0.2 * score[best]) or share[i] < 0.25 and tag[i] == tag[best] and page.attributes[i].get("class") == page.attributes[best].get("class") and mark[i] == NONE
             keep[i] = keep[i] or alike or (tag[i] in KEPT_SIBLINGS and tag[best] != "article" and share[i] < 0.25)
     for i in range(1, n):
         keep[i] = (keep[i] or keep[parent[i]]) and not dropped[i]

@@ -42,6 +42,8 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     if not letter.any():
         return None
     keep = letter | np.concatenate(([False], letter[:-1]))  # the first of the characters between two words stands for all
+    if not letter[-1]:
+        keep[np.flatnonzero(keep)[-1]] = False  # the text ends with one space, as it begins
     chars = np.concatenate(([32], np.where(letter, codes, 32)[keep], [32])).astype(np.uint32)
     out = []
     with np.errstate(over="ignore"):
