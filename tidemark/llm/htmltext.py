@@ -190,10 +190,9 @@ def _drop(page: _Page, mark: list[int], inside: list[bool], points: list[float])
             if LOOSELY <= mark[i] <= SURELY:
                 alone = held[i] > 0 and held[i] == held[0]
                 most = not small[i] and rest[i] > 0
+                kept = most and told[0] - told[i] < NOTHING and held[i] == held[0]  # no other paragraph could be the article
                 if mark[i] == LOOSELY:
-                    kept = most and rest[0] - rest[i] < ELSE * rest[i] or (inside[parent[i]] and whole[i] >= 1)
-                else:  # it stays only if no other paragraph could be the article
-                    kept = most and told[0] - told[i] < NOTHING and held[i] == held[0]
+                    kept = kept or most and rest[0] - rest[i] < ELSE * rest[i] or inside[parent[i]] and whole[i] >= 1
                 dropped[i] = not (alone or kept)
     for i in range(1, n):
         dropped[i] = dropped[i] or dropped[parent[i]]
