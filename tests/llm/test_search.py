@@ -71,8 +71,6 @@ def test_near_duplicates_are_those_of_brute_force(spark):
     want = brute_components(range(len(texts)), lambda a, b: (want_fp[a] ^ want_fp[b]).bit_count() <= 4)
     got = simhash.near_duplicates(docs(spark, texts)).collect()
     assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in got} == {i: (f"{want_fp[i]:016x}", want[i]) for i in range(len(texts))}
-    kept = {r["doc_id"] for r in simhash.keep_one(docs(spark, texts)).collect()}
-    assert kept == set(want.values())
 
 
 def test_the_pipeline_links_similar_documents_as_brute_force_does(spark):
@@ -141,7 +139,7 @@ def test_components(spark):
 
 def test_empty_tables(spark):
     none = docs(spark, [])
-    assert simhash.near_duplicates(none).count() == simhash.keep_one(none).count() == licenses.scan(none).count() == linededup.dedup(none).count() == 0
+    assert simhash.near_duplicates(none).count() == simhash.keep_unlike(none).count() == licenses.scan(none).count() == linededup.dedup(none).count() == 0
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(none, items).count() == decontaminate.contaminated(docs(spark, ["a"]), items).count() == 0
     assert decontaminate.clean(docs(spark, ["a"]), items).count() == 1
@@ -344,3 +342,62 @@ def test_lines_that_are_the_least_of_their_documents_go(spark):
 def test_line_dedup_runs_no_python(spark):
     plan = linededup.dedup(docs(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def _components(sets, least):
+    """By brute force: for each set the least index that it can reach through pairs of that similarity."""
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    pairs = 0
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and both >= least * (len(sets[i]) + len(sets[j]) - both) or not sets[i] and not sets[j]:
+                pairs += 1
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sets))], pairs
+
+
+def test_similar_documents_are_joined(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3_000)]
+    texts = [None, "", " ", "few words", "Few words"]
+    for _ in range(30):  # families of near copies around the threshold, some of them large
+        base = rng.choices(words, k=rng.randint(30, 160))
+        for _ in range(rng.choice([1, 2, 6]) if len(texts) > 160 else 40):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(copy) // 30))):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    want, pairs = _components([set(simhash.shingles(t).tolist()) for t in texts], simhash.LIKE)
+    df = docs(spark, texts).withColumn("key", F.lit(1)).withColumn("u", F.lit("x")).repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.alike(df, part=40).collect()}
+    assert pairs >= 1_000 and len(got) == len(texts)
+    joined = sum(got[i] == got[w] for i, w in enumerate(want) if i != w)
+    assert joined >= 0.99 * sum(i != w for i, w in enumerate(want))
+    assert all(want[i] == want[c] for i, c in got.items())  # nothing is joined that has no chain of pairs
+
+
+def test_pairs_that_fail_are_followed_by_others():
+    """Sketches that look alike though the sets aren't: each round gives others, until none is left."""
+    rng = np.random.default_rng(4)
+    sketch = np.where(rng.random((60, simhash.MINIMA)) < 0.1, rng.integers(0, 255, (60, simhash.MINIMA)), 7).astype(np.uint8)
+    fp, root = np.zeros(60, np.uint64), np.arange(60)
+    tried, seen, count = np.zeros(0, np.int64), set(), 1
+    while True:
+        h, q = simhash.candidates((fp, sketch, root), (fp, sketch, root), True, 20, count, tried)
+        if not len(h):
+            break
+        new = set(zip(h.tolist(), q.tolist()))
+        assert not new & seen
+        seen, count = seen | new, 2 * count
+        tried = np.sort([a * 60 + b for a, b in seen])
+    like = {(a, b) for b in range(60) for a in range(b) if (sketch[a] == sketch[b]).mean() >= simhash.LIKE_SKETCH}
+    assert seen == like and count <= 128

@@ -167,8 +167,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     # Which rows of a language are learned follows from a hash: a threshold leaves about twice as many as are wanted, so that none but these are ranked.
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     share = F.pmod(F.col("doc_id").bitwiseXOR(F.xxhash64("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    sizes = known.groupBy("lang").agg(F.count("*").alias("_n"))
-    likely = known.select("doc_id", "lang").join(sizes, "lang").where(share * F.col("_n") <= 2 * sample + 50).select("doc_id", "lang").distinct()
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row per language, each of which the model holds weights for
+    if not sizes:
+        return fit([], idf)
+    size = F.try_element_at(F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], r["n"])]), F.col("lang"))
+    likely = known.select("doc_id", "lang").where(share * size <= 2 * sample + 50).distinct()
     picked = likely.withColumn("_k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_k") <= sample).drop("_k")
     own = known.join(F.broadcast(picked), ["doc_id", "lang"]).select("doc_id", "lang", "text")
     measured = own.mapInArrow(_measured, "doc_id long, lang string, held binary, counts binary")

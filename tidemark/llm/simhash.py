@@ -17,14 +17,16 @@ the triangle bound leaves together.  Trees only steer the work: any tree gives
 the same links, and a shard that turns out large is cut into blocks.
 
 The pipeline's stage, :func:`keep_unlike`, links documents whose sets of 5-word
-shingles have a Jaccard similarity of 0.8 or more.  Fingerprints of those sets
-within a wide radius give candidates; a one-permutation sketch takes the chance
-ones out, and the shingles themselves decide.
+shingles have a Jaccard similarity of 0.8 or more.  Bands of minima are the keys
+under which such sets meet; fingerprints and sketches take the chance meetings
+out, and the shingles themselves decide.  Of a large group not all pairs are
+verified, but only as many as it takes: see :func:`alike`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -47,12 +49,13 @@ LEAF = 1 << 17
 _VOTES = 1 << 16
 #: The stage's shingles, the similarity that links, and the radius of its candidates.
 LIKE_WORDS, LIKE, WIDE = 5, 0.8, 20
-#: Bins of a sketch, a byte each, and the similarity by sketch under which a candidate is one by chance.
-BINS, LIKE_SKETCH = 64, 0.6
-#: Candidates that are verified: so many spanning forests of each block, the likest first.
-FORESTS = 4
-#: Groups that are compared pair by pair, at least, and documents of a group, at most.
-GROUPS, GROUP = 8, 250_000
+#: Minima of a set, and of a band: sets of similarity 0.8 share none of the 16 bands by a chance of 0.0002.
+MINIMA, BAND = 64, 4
+#: The similarity by sketch (a byte of each minimum) under which a candidate is one by chance.
+LIKE_SKETCH = 0.6
+#: Sets of a group that are compared in one task; a larger group is cut into parts, and a task gets two of them.
+PART = 8_192
+_MULTIPLIERS, _ADDENDS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, MINIMA), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -263,16 +266,6 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, sample: int = SAMPLE,
     return own.join(named, "fp").select("doc_id", hexed("fp").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, all columns as they are.
-
-    Repeated rows of that doc_id stay; rows with a null doc_id go unless their
-    whole component has none.
-    """
-    kept = near_duplicates(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-
-
 def shingles(text: str | None, words: int = LIKE_WORDS) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles; a text of fewer words is one shingle, one without words has none."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -286,23 +279,32 @@ def shingles(text: str | None, words: int = LIKE_WORDS) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], np.uint64))
 
 
-def _features(hashes: np.ndarray) -> tuple[int, int, bytes]:
-    """Of a set of shingles: a number for the set, its fingerprint, and its sketch (a byte for each bin's least hash, 0 for none)."""
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """Of a set of shingles, the least values under ``MINIMA`` hash functions."""
+    out = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
+    with np.errstate(over="ignore"):
+        for at in range(0, len(hashes), 4096):
+            np.minimum(out, (hashes[at : at + 4096, None] * _MULTIPLIERS + _ADDENDS).min(0), out)
+    return out >> np.uint64(16)
+
+
+def _features(hashes: np.ndarray) -> tuple[int, int, bytes, list[int]]:
+    """Of a set of shingles: a number for the set, its fingerprint, its sketch (a byte of each minimum), and its bands; an empty set has none."""
     votes = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _VOTES):
         votes += np.unpackbits(hashes[at : at + _VOTES].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     fp = int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<i8")[0])
-    edges = np.searchsorted(hashes, np.arange(BINS, dtype=np.uint64) << np.uint64(58))
-    sketch = np.zeros(BINS, np.uint8)
-    full = np.diff(edges, append=len(hashes)) > 0
-    sketch[full] = 1 + (hashes[edges[full]] >> np.uint64(8)) % np.uint64(255)
-    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64)), fp, sketch.tobytes()
+    signed = lambda x, seed: int(np.uint64(xxhash.xxh64_intdigest(x.tobytes(), seed)).view(np.int64))
+    if not len(hashes):
+        return signed(hashes, SEED), fp, bytes(MINIMA), []
+    least = minima(hashes)
+    return signed(hashes, SEED), fp, (least & np.uint64(255)).astype(np.uint8).tobytes(), [signed(least[k : k + BAND], k) for k in range(0, MINIMA, BAND)]
 
 
-@F.pandas_udf(T.StructType([T.StructField("sig", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("sketch", T.BinaryType())]))
+@F.pandas_udf(T.StructType([T.StructField("sig", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("sketch", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]))
 def _features_udf(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for s in texts:
-        yield pd.DataFrame([_features(shingles(t)) for t in s], columns=["sig", "fp", "sketch"])
+        yield pd.DataFrame([_features(shingles(t)) for t in s], columns=["sig", "fp", "sketch", "bands"])
 
 
 @F.pandas_udf(T.BinaryType())
@@ -345,83 +347,177 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         label = _roots(label)
 
 
-def _forests(i: np.ndarray, j: np.ndarray, like: np.ndarray, n: int) -> np.ndarray:
-    """Which edges are in the first ``FORESTS`` spanning forests, each of the likest edges that are left.
-
-    A group with few candidates to others keeps them all; no group of n has more than ``FORESTS * n``.
-    """
-    left, out = np.argsort(-like, kind="stable"), []
-    for _ in range(FORESTS):
+def _forests(i: np.ndarray, j: np.ndarray, like: np.ndarray, n: int, count: int) -> np.ndarray:
+    """Which edges are in the first ``count`` spanning forests, each of the likest edges that are left."""
+    left, out = np.argsort(-like, kind="stable"), [np.zeros(0, np.int64)]
+    for _ in range(count):
+        if not len(left):
+            break
         chosen = _forest(i[left], j[left], n)
         out.append(left[chosen])
         left = left[~chosen]
     return np.concatenate(out)
 
 
-def candidates(home: tuple[np.ndarray, np.ndarray], asked: tuple[np.ndarray, np.ndarray], same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (home, asked) of (fingerprints, sketches) that may be alike, as indexes; ``same``: both are one group."""
-    (fp, sketch), (fp2, sketch2) = home, asked
+def candidates(home: tuple, asked: tuple, same: bool, radius: int, count: int, tried: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (home, asked) of (fingerprints, sketches, roots) that may be alike, as indexes, but for those ``tried`` (home * len(asked) + asked, sorted).
+
+    Only pairs of different roots, and of these ``count`` spanning forests of
+    the roots: more would be of no use if these hold.  ``same``: both are one.
+    """
+    (fp, sketch, root), (fp2, sketch2, root2) = home, asked
+    names, number = np.unique(np.concatenate((root, root2)), return_inverse=True)
+    number, number2 = number[: len(root)], number[len(root) :]
     got = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
     rows, size = max(1, (1 << 17) // max(1, len(fp))), 0
     parts: list[list[np.ndarray]] = []
 
     def thin() -> list[np.ndarray]:
         h, q, like = (np.concatenate(x) for x in zip(got, *parts))
-        kept = _forests(h, q if same else q + len(fp), like, len(fp) + len(fp2))
+        kept = _forests(number[h], number2[q], like, len(names), count)
         return [h[kept], q[kept], like[kept]]
 
     for i in range(0, len(fp2), rows):
-        q, h = np.nonzero(np.bitwise_count(fp2[i : i + rows, None] ^ fp[None, :]) <= radius)
+        q, h = np.nonzero((np.bitwise_count(fp2[i : i + rows, None] ^ fp[None, :]) <= radius) & (number2[i : i + rows, None] != number[None, :]))
         q += i
         if same:
             q, h = q[h < q], h[h < q]
+        if len(tried) and len(q):
+            code = h * len(fp2) + q
+            fresh = tried[np.minimum(np.searchsorted(tried, code), len(tried) - 1)] != code
+            q, h = q[fresh], h[fresh]
         for at in range(0, len(q), 1 << 14):
             a, b = h[at : at + (1 << 14)], q[at : at + (1 << 14)]
-            x, y = sketch[a], sketch2[b]
-            like = ((x == y) & (x > 0)).sum(1) / np.maximum(1, ((x > 0) | (y > 0)).sum(1))
+            like = (sketch[a] == sketch2[b]).mean(1)
             good = like >= LIKE_SKETCH
             if good.any():
                 parts.append([a[good], b[good], like[good]])
                 size += int(good.sum())
-        if size > 1 << 17:
+        if size > 1 << 18:
             got, parts, size = thin(), [], 0
     got = thin()
     return got[0], got[1]
 
 
-def alike(docs: DataFrame, radius: int = WIDE, least: float = LIKE) -> DataFrame:
+def _neighbours(members: DataFrame) -> DataFrame:
+    """``u, v``: sets that follow each other within a group, in an order that spreads any group over tasks."""
+
+    def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for f in frames:
+            key, sig = f["key"].to_numpy(np.int64), f["sig"].to_numpy(np.int64)
+            if last is not None and len(key):
+                key, sig = np.append(last[0], key), np.append(last[1], sig)
+            if len(key):
+                last = key[-1], sig[-1]
+            pair = key[1:] == key[:-1]
+            yield pd.DataFrame({"u": np.minimum(sig[1:], sig[:-1])[pair], "v": np.maximum(sig[1:], sig[:-1])[pair]})
+
+    return members.select("key", "sig").repartitionByRange("key", "sig").sortWithinPartitions("key", "sig").mapInPandas(link, "u bigint, v bigint").distinct()
+
+
+def _met(open_: DataFrame, tried: DataFrame, radius: int, count: int) -> DataFrame:
+    """``key, a, b, u, v``: pairs of different roots that may be alike, of each part of each group that has several roots.
+
+    ``open_(key, a, b, x, sig, fp, sketch, root)`` are the members of the parts,
+    ``tried(key, a, b, u, v)`` what was found before.  Groups come sorted to a
+    task, many small ones to each batch; a part is bounded, so it is held.
+    """
+
+    def part(a: int, b: int, x: np.ndarray, sig: np.ndarray, fp: np.ndarray, sketch: np.ndarray, root: np.ndarray, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        i, j = np.flatnonzero(x == a), np.flatnonzero(x == b)
+        done = np.zeros(0, np.int64)
+        if len(u) and len(i) and len(j):
+            place = lambda s, at: np.minimum(np.searchsorted(sig[at], s), len(at) - 1)
+            done = np.concatenate([(place(p, i) * len(j) + place(q, j))[(sig[i][place(p, i)] == p) & (sig[j][place(q, j)] == q)] for p, q in ((u, v), (v, u))])
+        h, q = candidates((fp[i], sketch[i], root[i]), (fp[j], sketch[j], root[j]), a == b, radius, count, np.sort(done))
+        return np.minimum(sig[i][h], sig[j][q]), np.maximum(sig[i][h], sig[j][q])
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for f in chain(frames, [None]):
+            now = rest if f is None else f if rest is None else pd.concat([rest, f], ignore_index=True)
+            if now is None or not len(now):
+                continue
+            key, a, b = (now[c].to_numpy(np.int64) for c in ("key", "a", "b"))
+            starts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1))
+            ends = np.append(starts[1:], len(key))
+            if f is not None:  # the last group may go on
+                rest, starts, ends = now.iloc[starts[-1] :], starts[:-1], ends[:-1]
+            x, sig, root, fp, member = (now[c].to_numpy(np.int64) for c in ("x", "sig", "root", "fp", "member"))
+            sketches, out = now["sketch"].to_numpy(), []
+            for s, e in zip(starts.tolist(), ends.tolist()):
+                m = s + int(member[s:e].sum())  # members come first, in the order of sig; a tried pair has its u and v as sig and root
+                if m > s:
+                    sketch = np.frombuffer(b"".join(sketches[s:m]), np.uint8).reshape(-1, MINIMA)
+                    u, v = part(int(a[s]), int(b[s]), x[s:m], sig[s:m], fp[s:m].view(np.uint64), sketch, root[s:m], sig[m:e], root[m:e])
+                    out.append((np.full(len(u), key[s]), np.full(len(u), a[s]), np.full(len(u), b[s]), u, v))
+            if out:
+                yield pd.DataFrame(dict(zip(("key", "a", "b", "u", "v"), map(np.concatenate, zip(*out)))))
+
+    own = open_.select("key", "a", "b", F.lit(1).alias("member"), "x", "sig", "fp", "sketch", "root")
+    before = tried.select("key", "a", "b", F.lit(0).alias("member"), F.lit(0).alias("x"), F.col("u").alias("sig"), F.lit(0).cast("bigint").alias("fp"), F.lit(b"").cast("binary").alias("sketch"), F.col("v").alias("root"))
+    dealt = own.unionByName(before).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", F.desc("member"), "sig")
+    return dealt.mapInPandas(compare, "key bigint, a int, b int, u bigint, v bigint")
+
+
+def alike(docs: DataFrame, radius: int = WIDE, least: float = LIKE, part: int = PART) -> DataFrame:
     """``docs(doc_id, text)`` -> doc_id, component_id: linked by the Jaccard similarity of their shingles.
 
-    Texts without any word are alike, and like no other.  A null doc_id names
-    a component only if all its members are null.
+    Equal sets are one from the start.  Sets that share a band meet.  First those
+    that stand next to each other in a group are verified, which ties most groups
+    of copies together at a linear cost.  Then, round by round, groups that still
+    have several components are compared, and of the pairs that may be alike and
+    join different components, one spanning forest is verified, then two, then
+    four; a round that finds no pair is the last.  So every pair that meets is
+    either verified, or unlike by its sketch, or joined already.
+
+    Texts without any word are alike, and like no other.  Null texts are empty.
+    A null doc_id names a component only if all its members are null; repeated
+    rows are copies; no rows give no rows; whole texts count, however long; other
+    columns are ignored.
     """
     own = store.table(docs.select("doc_id", F.xxhash64("text").alias("whole"), _features_udf("text").alias("x")).select("doc_id", "whole", "x.*"), "features")
-    # Equal sets of shingles are one row from here, so copies cost nothing more.
-    first = store.table(own.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.min("whole").alias("whole"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch")), "sets")
-    groups = max(GROUPS, -(-first.count() // GROUP))
-    dealt = first.select("sig", "fp", "sketch", F.pmod(F.xxhash64("sig"), F.lit(groups)).cast("int").alias("x")).withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    dealt = dealt.withColumns({"a": F.least("x", "y"), "b": F.greatest("x", "y")})
-
-    def block(f: pd.DataFrame) -> pd.DataFrame:
-        x, a, b = f["x"].to_numpy(), int(f["a"].iloc[0]), int(f["b"].iloc[0])
-        sig, fp = f["sig"].to_numpy(np.int64), f["fp"].to_numpy(np.int64).view(np.uint64)
-        sketch = np.frombuffer(b"".join(f["sketch"]), np.uint8).reshape(-1, BINS)
-        h, q = candidates((fp[x == a], sketch[x == a]), (fp[x == b], sketch[x == b]), a == b, radius)
-        return pd.DataFrame({"u": sig[x == a][h], "v": sig[x == b][q]})
-
-    pairs = store.table(dealt.select("a", "b", "x", "sig", "fp", "sketch").groupBy("a", "b").applyInPandas(block, "u bigint, v bigint"), "candidates")
-    asked = pairs.select(F.col("u").alias("sig")).unionByName(pairs.select(F.col("v").alias("sig"))).distinct()
-    texts = docs.select(F.xxhash64("text").alias("whole"), "text").join(first.join(asked, "sig").select("whole", "sig"), "whole").groupBy("sig").agg(F.min("text").alias("text"))
+    first = store.table(own.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.min("whole").alias("whole"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands")), "sets")
+    banded = first.select("sig", F.explode("bands").alias("key"))
+    shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = store.table(banded.join(shared, "key"), "members")
+    wanted = members.select("sig").distinct()
+    texts = docs.select(F.xxhash64("text").alias("whole"), "text").join(first.join(wanted, "sig").select("whole", "sig"), "whole").groupBy("sig").agg(F.min("text").alias("text"))
     sets = store.table(texts.select("sig", _shingles_udf("text").alias("s")), "shingles")
-    both = pairs.join(sets.select(F.col("sig").alias("u"), F.col("s").alias("su")), "u").join(sets.select(F.col("sig").alias("v"), F.col("s").alias("sv")), "v")
-    linked = both.select("u", "v", _jaccard_udf("su", "sv").alias("j")).where(F.col("j") >= least).select("u", "v")
-    near = components.connected(linked).withColumnRenamed("node", "sig")
-    rooted = first.select("sig", "first_id").join(near, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+
+    def held(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets.select(F.col("sig").alias("u"), F.col("s").alias("su")), "u").join(sets.select(F.col("sig").alias("v"), F.col("s").alias("sv")), "v")
+        return both.select("u", "v", _jaccard_udf("su", "sv").alias("j")).where(F.col("j") >= least).select("u", "v")
+
+    linked = store.table(held(_neighbours(members)), "links")
+    near = store.table(components.connected(linked), "roots")
+    none, count, waiting = "key bigint, a int, b int, u bigint, v bigint", 1, members
+    tried = docs.sparkSession.createDataFrame([], none)
+    while True:
+        rooted = waiting.join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+        several = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+        open_ = rooted.join(several, "key").join(first.select("sig", "fp", "sketch"), "sig")
+        parts = F.ceil(F.col("n") / part).cast("int")
+        dealt = open_.withColumn("x", F.pmod(F.xxhash64("sig"), parts).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), parts - 1))).withColumns({"a": F.least("x", "y"), "b": F.greatest("x", "y")})
+        met = store.table(_met(dealt.select("key", "a", "b", "x", "sig", "fp", "sketch", "root"), tried, radius, count), "met")
+        if met.limit(1).count() == 0:
+            break
+        found = held(met.select("u", "v").distinct())
+        linked = store.table(linked.unionByName(found).distinct(), "links")
+        near = store.table(components.connected(linked), "roots")
+        tried = store.table(tried.unionByName(met).join(met.select("key").distinct(), "key", "left_semi"), "tried")
+        waiting, count = members.join(met.select("key").distinct(), "key"), 2 * count
+    rooted = first.select("sig", "first_id").join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("sig", "component_id")
     return own.select("doc_id", "sig").join(named, "sig").select("doc_id", "component_id")
 
 
 def keep_unlike(docs: DataFrame, radius: int = WIDE, least: float = LIKE) -> DataFrame:
-    """As :func:`keep_one`, by :func:`alike`."""
+    """The rows of ``docs`` whose doc_id names their component by :func:`alike`, all columns as they are.
+
+    Repeated rows of that doc_id stay; rows with a null doc_id go unless their
+    whole component has none.
+    """
     kept = alike(docs, radius, least).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
