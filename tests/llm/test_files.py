@@ -40,6 +40,22 @@ def test_pieces_give_the_ids_of_the_whole(name, spaced, chunk, keep, monkeypatch
     assert list(e.encode(texts)) == want
 
 
+def test_other_vocabularies_and_long_texts_are_encoded_whole(tmp_path):
+    import json
+
+    with open(tokens.vocabulary("byte_bpe_50k.json"), encoding="utf-8") as f:
+        other = json.load(f)
+    assert not tokens.Encoder(tokens.vocabulary("byte_bpe_50k.json"), True).whole and not tokens.Encoder(tokens.vocabulary("word_bpe_49k.json"), False).whole
+    other["normalizer"] = {"type": "Replace", "pattern": {"String": "a b"}, "content": "Q"}  # pieces that are cut at spaces would miss this
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(other), encoding="utf-8")
+    e = tokens.Encoder(str(path), True)
+    assert e.whole and list(e.encode(["x a b c", None])) == [np.array(e.model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ("x a b c", "")]
+    long = "Some words, and more words. " * 120_000
+    e = tokens.Encoder(tokens.vocabulary("word_bpe_49k.json"), False)
+    assert len(long) > tokens.CHUNK and list(e.encode(["a", long, "b"]))[1] == np.array(e.model.encode(long, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_token_files_round_trip(spark):
     texts = [*ODD, LONG, "same", "same"]
     df = docs(spark, texts).unionByName(docs(spark, ["null id"]).withColumn("doc_id", F.lit(None).cast("long"))).repartition(5)

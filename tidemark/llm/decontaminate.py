@@ -13,6 +13,7 @@ are, as whole words.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import grams
+from . import grams, store
 
 Q = 10
 RATE = 0.08
@@ -150,29 +151,42 @@ def contaminated(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = RA
     all tasks, whatever the benchmark's size.
     """
     slim = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    out = None
-    for shared in _blocks(items, block):
+    blocks, out = _blocks(items, block), None
+    for n, own in enumerate(blocks):
+        shared, name = items.sparkSession.sparkContext.broadcast([tuple(r) for r in own.collect()]), uuid.uuid4().hex
 
-        def search(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            searcher = Searcher(shared.value, q, rate)
-            lengths = {i: len(normal(t)) for i, t in shared.value}
+        def search(frames: Iterator[pd.DataFrame], shared=shared, name=name) -> Iterator[pd.DataFrame]:
+            searcher, lengths = _searcher(name, shared, q, rate)
             for f in frames:
                 ids = f["doc_id"].to_numpy()
                 rows = [(ids[d], i, e, 1 - e / lengths[i], a, z) for d, i, e, a, z in _copies(searcher, f["text"], True)]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "similarity", "span_start", "span_end"])
 
         found = slim.mapInPandas(search, f"doc_id string, {SCHEMA}")
+        if len(blocks) > 1:  # the block is searched before the next one is read, and then it is dropped
+            found = store.table(found, f"copies-{n}")
+            shared.destroy()
         out = found if out is None else out.unionByName(found)
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def _blocks(items: DataFrame, block: int) -> list[Broadcast]:
+def _blocks(items: DataFrame, block: int) -> list[DataFrame]:
     """The items, in blocks of about ``block`` characters."""
     known = items.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = known.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block))
-    parts = [known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else known for b in range(blocks)]
-    return [items.sparkSession.sparkContext.broadcast([tuple(r) for r in p.collect()]) for p in parts]
+    return [known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else known for b in range(blocks)]
+
+
+_KEPT: dict[str, tuple] = {}
+
+
+def _searcher(name: str, shared: Broadcast, q: int, rate: float) -> tuple[Searcher, dict[int, int]]:
+    """The index of a block and its items' lengths, made once in a Python process; only the last block's is kept."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = Searcher(shared.value, q, rate), {i: len(normal(t)) for i, t in shared.value}
+    return _KEPT[name]
 
 
 def _copies(searcher: Searcher, texts: pd.Series, short: bool) -> Iterator[tuple[int, int, int, int, int]]:
@@ -193,15 +207,20 @@ def clean(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = RATE, blo
 
     Items shorter than ``q`` characters, words of the language perhaps, drop no document.
     """
-    for shared in _blocks(items, block):
-        docs = docs.where(_free(shared, q, rate)(F.col("text")))
+    blocks = _blocks(items, block)
+    for n, own in enumerate(blocks):
+        shared = items.sparkSession.sparkContext.broadcast([tuple(r) for r in own.collect()])
+        docs = docs.where(_free(shared, uuid.uuid4().hex, q, rate)(F.col("text")))
+        if n + 1 < len(blocks):
+            docs = store.table(docs, f"free-{n}")
+            shared.destroy()
     return docs
 
 
-def _free(shared: Broadcast, q: int, rate: float):
+def _free(shared: Broadcast, name: str, q: int, rate: float):
     @F.pandas_udf(T.BooleanType())
     def free(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        searcher = Searcher(shared.value, q, rate)
+        searcher, _ = _searcher(name, shared, q, rate)
         for s in texts:
             out = np.ones(len(s), bool)
             out[[d for d, *_ in _copies(searcher, s, False)]] = False

@@ -3,12 +3,15 @@
 Cutting a text before each single space or line break that stands between two
 characters that aren't white space never changes its ids with the vocabularies
 used here (their own first step cuts there as well), so such pieces are encoded
-once and looked up afterwards.  Any other text goes to the library whole.
+once and looked up afterwards.  Any other text goes to the library whole, and so
+does every text with a vocabulary whose first steps aren't those of
+:data:`STEPS`: the encoder compares them with its file when it is made.
 """
 
 from __future__ import annotations
 
 import contextlib
+import json
 import os
 from array import array
 from collections.abc import Iterator
@@ -19,8 +22,22 @@ import pyarrow.compute as pc
 
 #: Pieces whose ids are kept.
 KEEP = 1_200_000
-#: Characters encoded at a time; a longer text is cut at a space that is safe.
+#: Characters encoded at a time, but for a longer text.
 CHUNK = 3_000_000
+#: The steps before the pieces of the two kinds of vocabulary for which cutting is known to change nothing.
+STEPS = {
+    True: (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}),
+    False: (
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {
+            "type": "Sequence",
+            "pretokenizers": [
+                {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+            ],
+        },
+    ),
+}
 #: New pieces that the library gets in one text.
 JOINED = 50
 _BAR = "|"
@@ -47,6 +64,10 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            known = json.load(file)
+        plain = known["model"].get("type", "BPE") == "BPE" and not known["model"].get("dropout") and all(t["special"] for t in known["added_tokens"])
+        self.whole = not plain or (known["normalizer"], known["pre_tokenizer"]) != STEPS[spaced]
         self.spaced, self.keep, self.first, self.rest, self.marks = spaced, keep, {}, {}, {}
         vocabulary = self.model.get_vocab()
         self.bar = vocabulary.get(f"{_BAR}</w>")
@@ -99,18 +120,12 @@ class Encoder:
         return known
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers; null is empty."""
+        """The ids of each text as little-endian unsigned 32-bit integers; null is empty, and no text is cut."""
         batch: list[str] = []
         size = 0
         for t in texts:
-            t = t or ""
-            if len(t) > CHUNK:
-                yield from self._batch(batch)
-                batch, size = [], 0
-                yield b"".join(b"".join(self._batch([p], i > 0)) for i, p in enumerate(_pieces(t)))
-                continue
-            batch.append(t)
-            size += len(t)
+            batch.append(t or "")
+            size += len(batch[-1])
             if size > CHUNK:
                 yield from self._batch(batch)
                 batch, size = [], 0
@@ -126,17 +141,19 @@ class Encoder:
             text = text.lower()
         return text.replace("\n", " ")
 
-    def _batch(self, texts: list[str], inside: bool = False) -> Iterator[bytes]:
-        """``inside``: the texts follow a space that was cut off."""
+    def _batch(self, texts: list[str]) -> Iterator[bytes]:
         if not texts:
             return
+        if self.whole:
+            yield from self._encode(texts)
+            return
         lead = " " if self.spaced else ""
         pieces = pc.split_pattern(pa.array([self._spaced(t) for t in texts], pa.string()), " ")
         coded, ends = pieces.values.dictionary_encode(), pieces.offsets.to_numpy().astype(np.int64)
         words, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
         self.rest = self._learn(self.rest, set(words), lead)
         ids = list(map(self.rest.get, words))
-        if lead and not inside:  # a text's first piece has no space before it
+        if lead:  # a text's first piece has no space before it
             heads = pieces.values.take(pa.array(ends[:-1])).to_numpy(zero_copy_only=False).tolist()
             self.first = self._learn(self.first, set(heads), "")
             code[ends[:-1]] = len(words) + np.arange(len(texts))
@@ -150,7 +167,7 @@ class Encoder:
         whole = flat[np.repeat((np.cumsum(size) - size)[code] - stop[:-1], each) + np.arange(stop[-1])]
         edge, odd = stop[ends], np.logical_or.reduceat(unknown[code], ends[:-1])
         for t, x, y, other in zip(texts, edge[:-1].tolist(), edge[1:].tolist(), odd.tolist()):
-            yield self._encode([lead + t if inside else t])[0] if other else whole[x:y].tobytes()
+            yield self._encode([t])[0] if other else whole[x:y].tobytes()
 
 
 _KEPT: dict[tuple[str, bool], Encoder] = {}
@@ -163,16 +180,3 @@ def encoder(path: str, spaced: bool) -> Encoder:
         _KEPT[key] = Encoder(path, spaced)
     return _KEPT[key]
 
-
-def _pieces(text: str) -> Iterator[str]:
-    """Cuts a long text at spaces between characters that aren't white space."""
-    start = 0
-    while len(text) - start > CHUNK:
-        at = text.find(" ", start + CHUNK)
-        while 0 < at < len(text) - 1 and (text[at - 1].isspace() or text[at + 1].isspace()):
-            at = text.find(" ", at + 1)
-        if at < 0 or at >= len(text) - 1:
-            break
-        yield text[start:at]
-        start = at + 1
-    yield text[start:]
