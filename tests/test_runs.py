@@ -63,3 +63,24 @@ def test_stamps_placement_and_clocks(spark):
     placed = spark.createDataFrame([(1, "u", None), (2, None, "no_flow_match"), (3, "u", "x"), (4, None, None)], "did int, uid string, reason string")
     assert [r["did"] for r in constraints.placement(placed).orderBy("did").collect()] == [3, 4]
     assert spark.range(1).select(constraints.skew(F.lit(0), F.lit(30_000_000)), constraints.skew(F.lit(0), F.lit(30_000_001))).first() == (False, True)
+
+
+def test_entries_are_traceable(spark):
+    rows = [(1, 1, "a", "a", "x", "MIT", "signature", "0123456789abcdef"), (2, 2, "a", "b", "x", "MIT", "signature", "0123456789abcdef"), (3, 2, "a", "a", "", "MIT", "identify", "abc")]
+    df = spark.createDataFrame(rows, "did int, tier int, source string, admitted_source string, threat string, licence string, source_class string, snapshot_id string")
+    assert {tuple(r) for r in constraints.source_entries(df).collect()} == {(2, "terms of another source"), (3, "no threat"), (3, "source may not label"), (3, "no snapshot id")}
+
+
+def test_files_that_needn_t_be_equal(spark):
+    names = ["suricata/suricata.log", "zeek/packet_filter.log", ".run.json.partial", "run.json", "zeek/conn.log"]
+    df = spark.createDataFrame([(n, 1, "x") for n in names], "name string, pos int, record string")
+    assert {r["name"] for r in corpus.differences(df, df.withColumn("record", F.lit("y"))).collect()} == {"run.json", "zeek/conn.log"}
+
+
+def test_times_that_no_calendar_has(spark):
+    from tidemark.operators import store
+
+    df = spark.createDataFrame([(store.FIRST_US,), (None,), (store.LAST_US,)], "x long")
+    assert [r[0] for r in df.select(store.iso(F.col("x"))).collect()] == ["0001-01-01T00:00:00.000000Z", None, "9999-12-31T23:59:59.999999Z"]
+    with pytest.raises(Exception, match="no UTC time"):
+        df.select(store.iso(F.col("x") + 1)).collect()

@@ -37,9 +37,18 @@ STAMP, ID = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}Z$", r"^[0-9a-f]{16}$"
 
 
 def source_entries(df: DataFrame) -> DataFrame:
-    """Entries of labels: known tier, a threat and a licence, a device's entries with a ruleset."""
+    """Entries of labels ``(did, tier, source, threat)`` beside the terms they were given: what makes one untraceable.
+
+    The terms are those of ``admitted_source`` in ``snapshot_id``; where a table
+    doesn't have these columns they aren't looked at.
+    """
     blank = lambda n: F.coalesce(F.col(n), F.lit("")) == ""
-    return violations(df, {"tier is unknown": ~F.coalesce(F.col("tier").isin(1, 2), F.lit(False)), "no threat": blank("threat"), "no licence": blank("licence"), "source may not label": F.col("source_class") == "identify"}, "did")
+    rules = {"tier is unknown": ~F.coalesce(F.col("tier").isin(1, 2), F.lit(False)), "no threat": blank("threat"), "no licence": blank("licence"), "source may not label": F.col("source_class") == "identify"}
+    if "admitted_source" in df.columns:
+        rules["terms of another source"] = ~F.col("admitted_source").eqNullSafe(F.col("source"))
+    if "snapshot_id" in df.columns:
+        rules["no snapshot id"] = ~F.coalesce(F.col("snapshot_id").rlike(ID), F.lit(False))
+    return violations(df, rules, "did")
 
 
 def stamps(df: DataFrame, *names: str) -> DataFrame:

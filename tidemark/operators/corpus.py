@@ -94,11 +94,21 @@ def liveness(builds: DataFrame, now_us: int, days: float) -> DataFrame:
     return newest.select("workflow", F.round(age, 6).alias("age_days"), (F.col("newest").isNull() | (age > days)).alias("stale"))
 
 
+#: Files that differ from run to run, and the ending of files that a killed run left half written.
+EXCLUDED, PARTIAL = ("zeek/packet_filter.log", "suricata/suricata.log"), ".partial"
+
+
+def comparable(files: DataFrame) -> DataFrame:
+    """``files(name, ...)`` that two runs over one capture must have in common, by their path within the run."""
+    return files.where(~F.col("name").isin(*EXCLUDED) & ~F.endswith("name", F.lit(PARTIAL)))
+
+
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """``name, kind, first``: files of two runs that differ, and the first record at which they do.
 
-    Both have ``name, pos, record``.
+    Both have ``name, pos, record``; files that needn't be equal are left out.
     """
+    left, right = comparable(left), comparable(right)
     a, b = left.withColumnRenamed("record", "a"), right.withColumnRenamed("record", "b")
     pairs = a.join(b, ["name", "pos"], "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
     first = pairs.groupBy("name").agg(F.min("pos").alias("first"))

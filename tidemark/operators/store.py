@@ -12,9 +12,16 @@ TRANSPORTS = ("tcp", "udp", "icmp")
 TABLES = ("captures", "flow_labels", "unmatched")
 
 
+#: The first and the last microsecond that have a four-digit year.
+FIRST_US, LAST_US = -62_135_596_800_000_000, 253_402_300_799_999_999
+
+
 def iso(us: Column) -> Column:
-    """Microseconds as the one timestamp format; the session's time zone has to be UTC."""
-    return F.date_format(F.timestamp_micros(us), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """Microseconds as the one timestamp format, whatever the session's time zone; a time outside the years 1 to 9999 raises."""
+    fault = F.raise_error(F.concat(us.cast("string"), F.lit(" microseconds are no UTC time")))
+    at = F.when((us >= FIRST_US) & (us <= LAST_US), us).when(us.isNotNull(), fault.cast("bigint"))
+    utc = F.timestamp_add("MICROSECOND", at, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def micros(seconds: Column) -> Column:

@@ -102,6 +102,16 @@ def run_differences(spark, sf_dir):
     return corpus.differences(left, right)
 
 
+#: Files of a run by the last digit of a detection's source.
+_NAMES = "CASE source_id WHEN 0 THEN 'zeek/packet_filter.log' WHEN 1 THEN 'suricata/suricata.log' WHEN 2 THEN '.labels.json.partial' WHEN 3 THEN 'zeek/.conn.log.partial' WHEN 4 THEN 'suricata/eve.json' ELSE concat('zeek/log', CAST(source_id AS string)) END"
+
+
+def comparable_files(spark, sf_dir):
+    """Two runs whose files all differ: those that are reported, and where each begins to differ."""
+    d = views(spark, sf_dir)["dets"].select(F.expr(_NAMES).alias("name"), F.col("did").alias("pos"), F.col("threat").alias("record"))
+    return corpus.differences(d, d.withColumn("record", F.when(F.col("pos") % 3 == 0, "changed").otherwise(F.col("record")))).select("name", "kind", "first")
+
+
 def bag_equality(spark, sf_dir):
     d = views(spark, sf_dir)["dets"].select("source_id", "sid", "threat")
     return corpus.bag_differences(d, d.where("sid % 150 <> 0")).groupBy("side", "source_id").agg(F.count("*").alias("records"))
@@ -191,6 +201,11 @@ FROM runs WHERE rules_loaded IS DISTINCT FROM total_admitted OR input_status <>
 r AS (SELECT concat('file', (did // 1000) % 50) AS name, did AS pos, CASE WHEN sid % 997 = 0 THEN 'changed' ELSE threat END AS record FROM dets WHERE did % 501 <> 0 AND (did // 1000) % 50 <> 9),
 f AS (SELECT coalesce(l.name, r.name) AS name, min(coalesce(l.pos, r.pos)) AS first FROM l FULL JOIN r ON l.name = r.name AND l.pos = r.pos WHERE l.record IS DISTINCT FROM r.record GROUP BY 1)
 SELECT name, CASE WHEN name NOT IN (SELECT name FROM r) THEN 'only left' WHEN name NOT IN (SELECT name FROM l) THEN 'only right' ELSE 'differs' END AS kind, first FROM f""",
+    ),
+    "f05_comparable_files": (
+        comparable_files,
+        f"""{duck('dets')}, f AS (SELECT {_NAMES} AS name, did FROM dets WHERE did % 3 = 0)
+SELECT name, 'differs' AS kind, min(did) AS first FROM f WHERE name NOT IN ('zeek/packet_filter.log', 'suricata/suricata.log') AND name NOT LIKE '%.partial' GROUP BY 1""",
     ),
     "t03_bag_equality": (bag_equality, f"{duck('dets')} SELECT 'left' AS side, source_id, count(*) AS records FROM dets WHERE sid % 150 = 0 GROUP BY 2"),
     "j14_source_agreement": (source_agreement, f"{duck('dets', 'terms')}, h AS (SELECT DISTINCT source_id FROM dets WHERE source_id <> 4), t AS (SELECT source_id FROM terms WHERE source_id <> 2) SELECT source_id, 'no terms' AS fault FROM h WHERE source_id NOT IN (SELECT source_id FROM t) UNION ALL SELECT source_id, 'no rules' FROM t WHERE source_id NOT IN (SELECT source_id FROM h)"),
