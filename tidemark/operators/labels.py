@@ -55,6 +55,24 @@ def label_entries(labels: DataFrame) -> DataFrame:
     return labels.withColumn("labels", F.when(F.col("inline").isNull(), F.array(verdict)).otherwise(F.array(name, verdict)))
 
 
+def kinds(placed: DataFrame) -> DataFrame:
+    """``uid, names``: the label names that each flow's placed detections give it, in order."""
+    named = F.count_if(F.col("tier").isin(*KINDS["threat-name"]) & (F.col("threat") != UNNAMED)) > 0
+    return placed.where("uid is not null").groupBy("uid").agg(F.array_compact(F.array(F.when(named, F.lit("threat-name")), F.lit("verdict"))).alias("names"))
+
+
+def selected(kinds: DataFrame, *asked: str) -> DataFrame:
+    """``uid`` of flows that carry every name that is asked for."""
+    want = F.array(*[F.lit(n) for n in asked])
+    return kinds.where(F.size(F.array_intersect("names", want)) == F.size(want)).select("uid")
+
+
+def suppressed(dets: DataFrame, terms: DataFrame) -> DataFrame:
+    """``tier, suppressed, kept``: detections of sources that only identify traffic and may never label, beside the others."""
+    identify = F.col("source_class") == "identify"
+    return dets.join(terms, "source_id").groupBy("tier").agg(F.count_if(identify).alias("suppressed"), F.count_if(~identify).alias("kept"))
+
+
 def violations(labels: DataFrame) -> DataFrame:
     """``uid, rule``: labels that break an invariant; none are expected."""
     names = F.transform("labels", lambda x: x["name"])

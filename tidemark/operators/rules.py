@@ -174,6 +174,30 @@ def admitted_markers(judged: DataFrame, brand: str | None = BRAND) -> DataFrame:
     return judged.where("state = 'active' AND verdict IS NULL").groupBy("source", marker(F.trim("text"), brand).alias("marker")).agg(F.count("*").alias("rules"))
 
 
+def yields(judged: DataFrame) -> DataFrame:
+    """Per source and in ``Total``: active rules, admitted ones, and their percentage (null where there is no active rule)."""
+    active = F.col("state") == "active"
+    out = judged.rollup("source").agg(F.count_if(active).alias("fetched"), F.count_if(active & F.col("verdict").isNull()).alias("admitted"))
+    return out.select(F.coalesce("source", F.lit("Total")).alias("source"), "fetched", "admitted", F.round(100.0 * F.col("admitted") / F.nullif("fetched", F.lit(0)), 4).alias("percent"))
+
+
+def markers(lines: DataFrame, brand: str | None = BRAND, observing: tuple = OBSERVING_MARKERS) -> DataFrame:
+    """``marker, rules, observing`` over all rules, admitted or not."""
+    own = lines.groupBy(marker(F.col("text"), brand).alias("marker")).agg(F.count("*").alias("rules"))
+    return own.withColumn("observing", F.coalesce(F.col("marker").isin(*observing), F.lit(False)))
+
+
+def collisions(claims: DataFrame) -> DataFrame:
+    """``sid, sources, claimed_by`` of sids that more than one source claims in ``claims(source, sid)``."""
+    by = claims.groupBy("sid").agg(F.count_distinct("source").alias("sources"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("claimed_by"))
+    return by.where("sources > 1")
+
+
+def reconciled(have: DataFrame, index: DataFrame) -> DataFrame:
+    """``sid, fault``: rules that the index doesn't list, and what it lists without a rule."""
+    return have.join(index, "sid", "left_anti").select("sid", F.lit("unattributed").alias("fault")).unionByName(index.join(have, "sid", "left_anti").select("sid", F.lit("phantom").alias("fault")))
+
+
 def rendered(judged: DataFrame) -> DataFrame:
     """The admitted rules as a snapshot lists them: by source, sid (none: -1) and text."""
     return judged.where("state = 'active' and verdict is null").select("source", F.coalesce(sid(F.col("text")), F.lit(-1)).alias("sid"), "text").orderBy("source", "sid", "text")

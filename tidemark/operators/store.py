@@ -180,6 +180,13 @@ def uri_fault(uri: Column) -> Column:
     )
 
 
+def coverage(flows: DataFrame) -> DataFrame:
+    """Per capture of ``flows(capture, proto, uri)``: all, those whose transport the store refuses, those without an origin, and of these the ones whose URI names no object."""
+    fault = uri_fault(F.col("uri"))
+    refused = F.count_if(~F.col("proto").isin(*TRANSPORTS)).alias("refused")
+    return flows.groupBy("capture").agg(F.count("*").alias("flows"), refused, F.count_if(fault.isNotNull()).alias("without_origin"), F.count_if(fault == "object").alias("bad_object"))
+
+
 def collection_order(rows: DataFrame) -> DataFrame:
     """Rows of a collection in its one order: by capture, first packet and flow key."""
     return rows.orderBy("capture_sha256", "ts_first", "flow_key")

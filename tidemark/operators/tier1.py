@@ -50,6 +50,12 @@ def deduplicated(dets: DataFrame) -> DataFrame:
     return labels.first_per_key(dets, KEY, ["ts_us", *sorted(rest)]).orderBy(*ORDER, "dst_ip", "dst_port", "proto")
 
 
+def with_first_ruleset(dets: DataFrame, key: list[str] = KEY, order: str = "did") -> DataFrame:
+    """``dets`` with ``first_ruleset``: the ruleset of the first entry of their key, which is the one that a label cites."""
+    first = dets.groupBy(*key).agg(F.min_by("ruleset", order).alias("first_ruleset"))
+    return dets.join(first, key, "left")
+
+
 def union(one: DataFrame, two: DataFrame) -> DataFrame:
     """Detections of both tiers with one schema, which are placed together."""
     types = {"sid": "bigint", "rev": "bigint", "ts_us": "bigint", "src_port": "int", "dst_port": "int", "tier": "int"}

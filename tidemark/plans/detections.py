@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import correlate, labels, replay
+from ..operators import correlate, labels, replay, tier1
 from .fixtures import duck, views
 
 #: DuckDB's own placement: both orientations as keys, one or two probes, then the truth table.
@@ -99,7 +99,7 @@ def label_violations(spark, sf_dir):
 
 def identify_suppression(spark, sf_dir):
     v = views(spark, sf_dir)
-    return v["dets"].join(F.broadcast(v["terms"]), "source_id").groupBy("tier").agg(F.count_if(F.col("source_class") == "identify").alias("suppressed"), F.count_if(F.col("source_class") != "identify").alias("kept"))
+    return labels.suppressed(v["dets"], v["terms"])
 
 
 KEY = ["sid", "src_ip", "src_port", "dst_ip", "dst_port", "proto"]
@@ -113,8 +113,7 @@ def device_dedup(spark, sf_dir):
 def device_ruleset_lookup(spark, sf_dir):
     v = views(spark, sf_dir)
     inline = v["dets"].where("tier = 1").withColumn("ruleset", F.concat(F.lit("content-"), F.col("rev").cast("string"), F.when(F.col("source_id") > 4, F.concat(F.lit("/config-"), F.col("source_id").cast("string"))).otherwise("")))
-    first = inline.groupBy(*KEY).agg(F.min_by("ruleset", "did").alias("first_ruleset"))
-    return inline.join(first, KEY, "left").groupBy("first_ruleset").agg(F.count("*").alias("detections"), F.count_if(F.col("ruleset") == F.col("first_ruleset")).alias("own"))
+    return tier1.with_first_ruleset(inline, KEY).groupBy("first_ruleset").agg(F.count("*").alias("detections"), F.count_if(F.col("ruleset") == F.col("first_ruleset")).alias("own"))
 
 
 def unlabelled_licences(spark, sf_dir):
@@ -138,7 +137,9 @@ def replay_window(spark, sf_dir):
     """Wall clock to capture time by an affine map: the first and last flow of a capture on a window of 15 seconds."""
     f = views(spark, sf_dir)["flows"]
     w = f.groupBy("capture").agg(F.min("ts_first_us").alias("a"), F.max("ts_last_us").alias("b"), F.count("*").alias("flows"))
-    return w.select("capture", "flows", ((F.col("b") - F.col("a")) / F.lit(15_000_000)).cast("double").alias("scale"), F.expr("cast(rint(a + 7500000 * ((b - a) / 15000000)) as bigint)").alias("middle_us"))
+    none, wall = F.lit(0).cast("bigint"), F.lit(15_000_000).cast("bigint")
+    scale = replay.scale(F.col("a"), F.col("b"), none, wall, F.lit(1.0))
+    return w.select("capture", "flows", scale.alias("scale"), replay.capture_time(F.lit(7_500_000), F.col("a"), none, scale).alias("middle_us"))
 
 
 #: Flows of one tuple and capture; a replay of fifteen seconds and a bit that was asked to be a million times as fast.

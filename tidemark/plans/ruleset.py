@@ -39,9 +39,7 @@ def admission_counters(spark, sf_dir):
 
 
 def feed_yield(spark, sf_dir):
-    j = _judged(spark, sf_dir)
-    return j.rollup("source").agg(F.count_if(F.col("state") == "active").alias("fetched"), F.count_if((F.col("state") == "active") & F.col("verdict").isNull()).alias("admitted")).select(
-        F.coalesce("source", F.lit("Total")).alias("source"), "fetched", "admitted", F.round(100.0 * F.col("admitted") / F.nullif("fetched", F.lit(0)), 4).alias("percent"))
+    return rules.yields(_judged(spark, sf_dir))
 
 
 def rule_fields(spark, sf_dir):
@@ -67,7 +65,7 @@ def sid_collisions(spark, sf_dir):
     """Sids that two sources claim: every ninth is in another feed as well."""
     first = _judged(spark, sf_dir).where("state = 'active' and verdict is null").select("source", rules.sid(F.col("text")).alias("sid"))
     own = first.unionByName(first.where("sid % 9 = 0").select(F.lit("feed9").alias("source"), "sid"))
-    return own.groupBy("sid").agg(F.count_distinct("source").alias("sources"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("claimed_by")).where("sources > 1")
+    return rules.collisions(own)
 
 
 def index_reconciliation(spark, sf_dir):
@@ -75,8 +73,7 @@ def index_reconciliation(spark, sf_dir):
     j = _judged(spark, sf_dir)
     have = j.where("state = 'active' and verdict is null").select(rules.sid(F.col("text")).alias("sid"))
     index = j.where("line_no % 7 <> 0").select(rules.sid(F.col("text")).alias("sid")).distinct()
-    a = have.join(index, "sid", "left_anti").select("sid", F.lit("unattributed").alias("fault"))
-    return a.unionByName(index.join(have, "sid", "left_anti").select("sid", F.lit("phantom").alias("fault")))
+    return rules.reconciled(have, index)
 
 
 def continued_lines(spark, sf_dir):
@@ -95,8 +92,7 @@ def classtype_join(spark, sf_dir):
 
 
 def marker_census(spark, sf_dir):
-    own = views(spark, sf_dir)["rule_lines"].select(rules.marker(F.col("text")).alias("marker"))
-    return own.groupBy("marker").agg(F.count("*").alias("rules")).withColumn("observing", F.coalesce(F.col("marker").isin(*rules.OBSERVING_MARKERS), F.lit(False)))
+    return rules.markers(views(spark, sf_dir)["rule_lines"])
 
 
 def marker_gate(spark, sf_dir):

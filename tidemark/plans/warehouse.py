@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import correlate, store
+from ..operators import correlate, labels, store
 from ..sources import scratch
 from .detections import PLACED
 from .fixtures import duck, views
@@ -123,15 +123,13 @@ def ingest_counts(spark, sf_dir):
 def coverage(spark, sf_dir):
     """Per capture: flows, those that the store refuses for their transport, and those without an origin."""
     f = views(spark, sf_dir)["flows"].withColumn("uri", F.expr("CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'gs://bucket/' ELSE concat('gs://bucket/', capture, '.pcap') END"))
-    return f.groupBy("capture").agg(F.count("*").alias("flows"), F.count_if(~F.col("proto").isin(*store.TRANSPORTS)).alias("refused"), F.count_if(store.uri_fault(F.col("uri")).isNotNull()).alias("without_origin"), F.count_if(store.uri_fault(F.col("uri")) == "object").alias("bad_object"))
+    return store.coverage(f)
 
 
 def label_selection(spark, sf_dir):
     """Flows that carry every kind that is asked for."""
-    p = correlate.place(views(spark, sf_dir)["dets"], views(spark, sf_dir)["flows"]).where("uid is not null")
-    kinds = p.groupBy("uid").agg(F.array_compact(F.array(F.lit("verdict"), F.when(F.count_if((F.col("tier") == 1) & (F.col("threat") != "unnamed")) > 0, F.lit("threat-name")))).alias("names"))
-    asked = F.array(F.lit("verdict"), F.lit("threat-name"))
-    return kinds.where(F.size(F.array_intersect("names", asked)) == F.size(asked)).select("uid")
+    v = views(spark, sf_dir)
+    return labels.selected(labels.kinds(correlate.place(v["dets"], v["flows"])), "verdict", "threat-name")
 
 
 def committed_rows(spark, sf_dir):
