@@ -278,9 +278,10 @@ def extract(text: str | None) -> str:
 def main_text(pages: DataFrame) -> DataFrame:
     """``pages(page_id, url, html)`` -> page_id, url, text, n_chars.
 
-    Null and empty html, and pages without an article, give an empty text.
-    Repeated rows and null page_ids give rows of their own; other columns are
-    ignored.
+    Null and empty html, and pages without an article, give an empty text; a
+    page of any length is read whole, in one task.  Repeated rows and null
+    page_ids give rows of their own; no rows give none; other columns are
+    ignored, whatever their names.
     """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -212,8 +212,9 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
 
     Only features of the text are inputs.  Labels that are null or neither 0
     nor 1 are left out; several labels of one document count as their rounded
-    mean.  Null and empty texts are scored like any other; without usable
-    labels every score is 0.5; no rows give no rows; other columns are ignored.
+    mean.  Null and empty texts are scored like any other, and a text of any
+    length by all of it; repeated rows are scored alike; without usable labels
+    every score is 0.5; no rows give no rows; other columns are ignored.
     """
     scored = docs.select("doc_id", scores(train(docs, labels, sample)).alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -254,8 +254,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, sample: int = SAMPLE,
 
     Null and empty texts, and texts of white space only, have fingerprint zero
     and are linked like any other.  Repeated rows stay repeated; a null doc_id
-    is kept and never names a component unless all its members are null.  An
-    empty table gives an empty table; other columns are ignored.
+    is kept and never names a component unless all its members are null.  Every
+    word of a text counts, however long it is.  An empty table gives an empty
+    table; other columns are ignored.
     """
     own = store.table(docs.select("doc_id", fingerprint_udf(F.col("text")).alias("fp")), "fingerprints")
     first = store.table(own.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")

@@ -134,7 +134,9 @@ def write(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end: int = END
     Returns the folder and its manifest ``(part, file, documents, ids)``; the
     parts' order is the documents' order.  Null texts are empty and only get
     the end id; null doc_ids come first; rows that share a doc_id stay in one
-    file, ordered by text.
+    file, ordered by text.  A text of any length is one document, whole, in a
+    frame of its own if it is longer than ``frame``; no rows give an empty
+    manifest and no file; other columns are ignored, whatever their names.
     """
     uri = store.scratch(docs.sparkSession, "tokens")
     spaced = vocabulary.startswith("byte")
