@@ -54,7 +54,9 @@ MINIMA, BAND = 64, 4
 #: The similarity by sketch (a byte of each minimum) under which a candidate is one by chance.
 LIKE_SKETCH = 0.6
 #: Sets of a group that are compared in one task; a larger group is cut into parts, and a task gets two of them.
-PART = 8_192
+PART = 4_096
+#: Links whose components one task finds.
+SMALL = 200_000
 _MULTIPLIERS, _ADDENDS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, MINIMA), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -370,7 +372,7 @@ def candidates(home: tuple, asked: tuple, same: bool, radius: int, count: int, t
     names, number = np.unique(np.concatenate((root, root2)), return_inverse=True)
     number, number2 = number[: len(root)], number[len(root) :]
     got = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-    rows, size = max(1, (1 << 17) // max(1, len(fp))), 0
+    rows, size = max(1, (1 << 16) // max(1, len(fp))), 0
     parts: list[list[np.ndarray]] = []
 
     def thin() -> list[np.ndarray]:
@@ -394,7 +396,7 @@ def candidates(home: tuple, asked: tuple, same: bool, radius: int, count: int, t
             if good.any():
                 parts.append([a[good], b[good], like[good]])
                 size += int(good.sum())
-        if size > 1 << 18:
+        if size > 1 << 17:
             got, parts, size = thin(), [], 0
     got = thin()
     return got[0], got[1]
@@ -469,8 +471,8 @@ def alike(docs: DataFrame, radius: int = WIDE, least: float = LIKE, part: int =
     that stand next to each other in a group are verified, which ties most groups
     of copies together at a linear cost.  Then, round by round, groups that still
     have several components are compared, and of the pairs that may be alike and
-    join different components, one spanning forest is verified, then two, then
-    four; a round that finds no pair is the last.  So every pair that meets is
+    join different components, four spanning forests are verified, then 16, then
+    64; a round that finds no pair is the last.  So every pair that meets is
     either verified, or unlike by its sketch, or joined already.
 
     Texts without any word are alike, and like no other.  Null texts are empty.
@@ -491,9 +493,8 @@ def alike(docs: DataFrame, radius: int = WIDE, least: float = LIKE, part: int =
         both = pairs.join(sets.select(F.col("sig").alias("u"), F.col("s").alias("su")), "u").join(sets.select(F.col("sig").alias("v"), F.col("s").alias("sv")), "v")
         return both.select("u", "v", _jaccard_udf("su", "sv").alias("j")).where(F.col("j") >= least).select("u", "v")
 
-    linked = store.table(held(_neighbours(members)), "links")
-    near = store.table(components.connected(linked), "roots")
-    none, count, waiting = "key bigint, a int, b int, u bigint, v bigint", 1, members
+    near = store.table(components.connected(held(_neighbours(members)), SMALL), "roots")
+    none, count, waiting = "key bigint, a int, b int, u bigint, v bigint", 4, members
     tried = docs.sparkSession.createDataFrame([], none)
     while True:
         rooted = waiting.join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
@@ -504,11 +505,14 @@ def alike(docs: DataFrame, radius: int = WIDE, least: float = LIKE, part: int =
         met = store.table(_met(dealt.select("key", "a", "b", "x", "sig", "fp", "sketch", "root"), tried, radius, count), "met")
         if met.limit(1).count() == 0:
             break
-        found = held(met.select("u", "v").distinct())
-        linked = store.table(linked.unionByName(found).distinct(), "links")
-        near = store.table(components.connected(linked), "roots")
+        # What is new joins components as they were, so only their roots are joined, and what had a root before gets that one's.
+        root = lambda c: near.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+        found = held(met.select("u", "v").distinct()).join(root("u"), "u", "left").join(root("v"), "v", "left")
+        fresh = store.table(components.connected(found.select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v")), SMALL), "joined")
+        moved = near.join(fresh.select(F.col("node").alias("root"), F.col("root").alias("__to")), "root", "left").select("node", F.coalesce("__to", "root").alias("root"))
+        near = store.table(moved.unionByName(fresh), "roots")
         tried = store.table(tried.unionByName(met).join(met.select("key").distinct(), "key", "left_semi"), "tried")
-        waiting, count = members.join(met.select("key").distinct(), "key"), 2 * count
+        waiting, count = members.join(met.select("key").distinct(), "key"), 4 * count
     rooted = first.select("sig", "first_id").join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("sig", "component_id")
     return own.select("doc_id", "sig").join(named, "sig").select("doc_id", "component_id")
