@@ -162,3 +162,28 @@ def test_a_hot_tuple_is_not_quadratic(spark):
     # Even ids fall into their own flow; odd ones behind it, into that of the one before if it is long and a multiple of ten.
     odd_inside = sum(1 for i in range(100_000) for t in [i * 100 + 30 + (i % 2) * 50] if sum(j * 100 <= t <= j * 100 + (150 if j % 10 == 0 else 60) for j in (i - 1, i) if j >= 0) == 1)
     assert got == {("clock", None): odd_inside, (None, "ambiguous_flow_match"): 100_000 - odd_inside}
+
+
+def test_candidates_are_counted_without_pairs(spark):
+    """Counts are those of the pairs, ports of ICMP included; 100,000 flows and as many detections of one tuple make none."""
+    rng = random.Random(3)
+    kinds = lambda p: rng.choice([0, 8, 13, 14]) if p == "icmp" else rng.choice([1, 2, 3])
+    one = lambda p: (p, rng.choice([A, B]), kinds(p), rng.choice([A, B]), kinds(p))
+    flows = [(f"u{i}", *one(rng.choice(["tcp", "icmp"])), t := rng.randrange(100), t + rng.randrange(20)) for i in range(60)]
+    dets = [(*one(rng.choice(["tcp", "icmp", "gre", ""])), rng.randrange(120)) for _ in range(150)]
+    d, f = tables(spark, flows + flows[:5], dets)
+    pairs = correlate.candidates(d, f).select("did", "uid").distinct().groupBy("did").agg(F.count("*").alias("n"), F.min("uid").alias("lo"))
+    assert {tuple(r) for r in correlate.candidate_counts(d, f).collect()} == {tuple(r) for r in pairs.collect()}
+    n = 100_000
+    f = spark.range(n).select(F.format_string("u%06d", "id").alias("uid"), F.lit("tcp").alias("proto"), F.lit(A).alias("src_ip"), F.lit(1).alias("src_port"), F.lit(B).alias("dst_ip"), F.lit(2).alias("dst_port"), F.col("id").alias("ts_first_us"), F.col("id").alias("ts_last_us"))
+    d = spark.range(n).select(F.col("id").alias("did"), F.lit("tcp").alias("proto"), F.lit(B).alias("src_ip"), F.lit(2).alias("src_port"), F.lit(A).alias("dst_ip"), F.lit(1).alias("dst_port"), F.col("id").alias("ts_us"))
+    assert [tuple(r) for r in correlate.candidate_counts(d, f).groupBy("candidates", "first_uid").count().collect()] == [(n, "u000000", n)]
+
+
+def test_placement_reads_detections_once(spark):
+    """Each detection goes through one exchange, whatever number of flows its tuple has; repeated flows count once."""
+    f = spark.range(900).select(F.format_string("u%03d", F.col("id") % 890).alias("uid"), F.lit("tcp").alias("proto"), F.lit(A).alias("src_ip"), F.lit(1).alias("src_port"), F.lit(B).alias("dst_ip"), (F.col("id") % 3).cast("int").alias("dst_port"), F.col("id").alias("ts_first_us"), (F.col("id") + F.col("id") % 5).alias("ts_last_us"))
+    d = spark.range(777).select(F.col("id").alias("did"), F.lit("tcp").alias("proto"), F.lit(A).alias("src_ip"), F.lit(1).alias("src_port"), F.lit(B).alias("dst_ip"), (F.col("id") % 4).cast("int").alias("dst_port"), F.col("id").alias("ts_us"))
+    out = correlate.place(d, f)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 777") == 1
+    assert {tuple(r) for r in out.select("did", "uid", "reason").collect()} == {tuple(r) for r in theta_place(d, f).select("did", "uid", "reason").collect()}

@@ -53,8 +53,80 @@ def candidates(dets: DataFrame, flows: DataFrame) -> DataFrame:
 
 
 KEY = [f"k_{c}" for c in TUPLE]
-#: Flows of one tuple beyond which its detections aren't compared with each of them; microseconds of the slots in which such a tuple is dealt to tasks.
-HOT, SLOT = 500, 3_600_000_000
+#: Where a detection meets flows: its tuple, but all ports of an ICMP type at once, as it may ask for two of them.
+MEET = [*KEY[:-1], "k_door"]
+#: Flows that meet under one key beyond which they aren't held in one row; microseconds of the slots in which such a tuple is dealt to tasks.
+HOT, SLOT = 4096, 3_600_000_000
+
+
+def _met(keyed: DataFrame) -> DataFrame:
+    return keyed.withColumn("k_door", F.when(F.col("k_proto") == "icmp", -1).otherwise(F.col("k_dst_port").cast("int")))
+
+
+def _meeting(dets: DataFrame) -> DataFrame:
+    """Detections with the key under which they meet flows; the last part is null for those that can't be placed."""
+    door = F.when(_supported(), F.when(F.col("proto") == "icmp", -1).otherwise(F.col("dst_port").cast("int")))
+    return dets.withColumns({**{f"k_{c}": F.col(c) for c in TUPLE[:-1]}, "k_door": door})
+
+
+def _asks(door: Column) -> Column:
+    """Whether a detection asks for the flows behind this port."""
+    other = F.when(F.col("proto") == "icmp", counterpart(F.col("src_ip"), F.col("src_port")))
+    return (door["port"] == F.col("dst_port").cast("int")) | (door["port"] == other)
+
+
+def candidate_counts(dets: DataFrame, flows: DataFrame) -> DataFrame:
+    """``did, candidates, first_uid`` of the detections (unique ``did``) that have :func:`candidates`: how many flows, and the least.
+
+    Flows are counted by tuple before detections meet them, so no pair is made.
+    Two ports that one detection asks for never lead to the same flow: it would
+    need the same port at both its ends, and then they are one port.
+    """
+    # One exchange serves all three groupings; the last one lets adaptive execution split the detections of a frequent tuple.
+    met = _met(oriented(flows)).select(*MEET, "k_dst_port", "uid").repartition(*MEET)
+    per = met.distinct().groupBy(*MEET, "k_dst_port").agg(F.count("*").alias("n"), F.min("uid").alias("lo"))
+    doors = per.groupBy(*MEET).agg(F.collect_list(F.struct(F.col("k_dst_port").alias("port"), "n", "lo")).alias("doors")).repartition(*MEET)
+    found = _meeting(dets).join(doors, MEET).select("did", F.filter("doors", _asks).alias("hit")).where(F.size("hit") > 0)
+    total = F.aggregate("hit", F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+    return found.select("did", total.alias("candidates"), F.array_min(F.transform("hit", lambda x: x["lo"])).alias("first_uid"))
+
+
+def _spans(keyed: DataFrame) -> DataFrame:
+    """Per meeting key its ports, each with the least and greatest uid and ``spans``: what is open from each flow's beginning on.
+
+    A span has the flow that ends last of those begun, and the latest end of
+    any other: a time before neither is within several, before the first only
+    it is within just that flow.
+    """
+    within = Window.partitionBy(*MEET, "k_dst_port").orderBy("ts_first_us", "ts_last_us", "uid")
+    so_far, before = within.rowsBetween(Window.unboundedPreceding, 0), within.rowsBetween(Window.unboundedPreceding, -1)
+    sound = (F.col("ts_first_us") <= F.col("ts_last_us")) & F.col("uid").isNotNull()
+    end = F.when(sound, F.struct("ts_last_us", "uid"))
+    tops = _met(keyed).repartition(*MEET).withColumns({"top": F.max(end).over(so_far), "was": F.max(end).over(before), "n": F.row_number().over(within)})
+    # The end that doesn't lead is the lesser of the new one and the one that led, unless both are the same flow's.
+    lesser = F.when(sound & (F.col("was.uid") != F.col("uid")), F.least("ts_last_us", "was.ts_last_us"))
+    span = F.when(sound, F.struct("ts_first_us", "n", F.col("top.ts_last_us").alias("last"), F.col("top.uid").alias("uid"), F.max(lesser).over(so_far).alias("second")))
+    per = tops.select(*MEET, "k_dst_port", "uid", span.alias("span")).groupBy(*MEET, "k_dst_port").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.sort_array(F.collect_list("span")).alias("spans"))
+    return per.groupBy(*MEET).agg(F.collect_list(F.struct(F.col("k_dst_port").alias("port"), "lo", "hi", "spans")).alias("__doors")).repartition(*MEET)
+
+
+def _looked_up(dets: DataFrame, doors: DataFrame, hot: int) -> DataFrame:
+    """``dets`` with ``lo, hi, in_lo, in_hi``: least and greatest uid of all its candidates and of those that contain it (any two of several)."""
+    steps = F.array(*[F.lit(2**k) for k in reversed(range(max(hot, 1).bit_length()))])
+
+    def at(door: Column) -> Column:
+        # Spans begun, by halving: a position is taken if its span has begun; past the end there is none.
+        begun = F.aggregate(steps, F.lit(0), lambda p, s: F.when(F.get(door["spans"], p + s - 1)["ts_first_us"] <= F.col("ts_us"), p + s).otherwise(p))
+        return F.struct(door["lo"].alias("lo"), door["hi"].alias("hi"), F.get(door["spans"], begun - 1).alias("at"))
+
+    def judged(x: Column) -> Column:
+        one, several = x["at"]["last"] >= F.col("ts_us"), x["at"]["second"] >= F.col("ts_us")
+        inside = [F.when(one, F.when(several, x[k]).otherwise(x["at"]["uid"])).alias(f"in_{k}") for k in ("lo", "hi")]
+        return F.struct(x["lo"].alias("lo"), x["hi"].alias("hi"), *inside)
+
+    found = _meeting(dets).join(doors, MEET, "left").select(*dets.columns, F.transform(F.transform(F.filter("__doors", _asks), at), judged).alias("__found"))
+    ends = {k: end(F.col("__found")[k]) for k, end in (("lo", F.array_min), ("hi", F.array_max), ("in_lo", F.array_min), ("in_hi", F.array_max))}
+    return found.withColumns(ends).drop("__found")
 
 
 def _asked(dets: DataFrame) -> DataFrame:
@@ -62,15 +134,8 @@ def _asked(dets: DataFrame) -> DataFrame:
     return probes(dets).select("did", "ts_us", *[F.col("probe_port" if c == "dst_port" else c).alias(f"k_{c}") for c in TUPLE])
 
 
-def _compared(asked: DataFrame, keyed: DataFrame) -> DataFrame:
-    """``did, lo, hi, in_lo, in_hi`` by comparing a detection with each flow of its tuples: least and greatest uid, of all and of those that contain it."""
-    inside = F.when(F.col("ts_us").between(F.col("ts_first_us"), F.col("ts_last_us")), F.col("uid"))
-    found = asked.join(keyed, KEY)
-    return found.groupBy("did").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.min(inside).alias("in_lo"), F.max(inside).alias("in_hi"))
-
-
 def _swept(asked: DataFrame, keyed: DataFrame, slot_us: int) -> DataFrame:
-    """The same for tuples with many flows, where nothing is compared pair by pair; a detection may have a row per key.
+    """``did, lo, hi, in_lo, in_hi`` for tuples with too many flows for a row; a detection may have a row per key.
 
     Along a tuple's time the number of open flows is a running sum, and the
     exclusive or of their hashes is the hash of the one that is open when it is
@@ -105,19 +170,26 @@ def place(dets: DataFrame, flows: DataFrame, hot: int = HOT, slot_us: int = SLOT
 
     A lone candidate is taken whatever the clock says; of several, the one that
     contains the detection (both ends inclusive), if it is only one.  Flows have
-    a uid each.  Tuples with more than ``hot`` flows are swept along their time
-    instead of comparing each detection with all of them; the rows are the same.
+    a uid each.  No pair of detection and candidate is made: a detection looks
+    its time up among its tuple's flows, and passes one exchange.  Tuples with
+    more than ``hot`` flows, if there are any (a job counts them), are swept
+    along their time instead; the rows are the same.
     """
-    keyed, asked = oriented(flows), _asked(dets)
-    crowded = keyed.groupBy(*KEY).agg(F.count("*").alias("n")).where(F.col("n") > hot).select(*KEY)
-    few = _compared(asked, keyed.join(crowded, KEY, "left_anti"))
-    many = _swept(asked.join(crowded, KEY, "left_semi"), keyed.join(crowded, KEY, "left_semi"), slot_us)
-    # A flow reached under two keys counts once: its uids are compared, not its rows.
-    seen = few.unionByName(many).groupBy("did").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("in_lo").alias("in_lo"), F.max("in_hi").alias("in_hi"))
+    keyed = oriented(flows)
+    crowded = _met(keyed).groupBy(*MEET).agg(F.count("*").alias("n")).where(F.col("n") > hot).select(*MEET)
+    if crowded.isEmpty():
+        seen = _looked_up(dets, _spans(keyed), hot)
+    else:
+        own = _meeting(dets).join(crowded, MEET, "left_semi").select(*dets.columns)
+        many = _swept(_asked(own), _met(keyed).join(crowded, MEET, "left_semi").drop("k_door"), slot_us)
+        # A flow reached under two keys counts once: its uids are compared, not its rows.
+        ends = many.groupBy("did").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("in_lo").alias("in_lo"), F.max("in_hi").alias("in_hi"))
+        few = _meeting(dets).join(crowded, MEET, "left_anti").select(*dets.columns)
+        seen = _looked_up(few, _spans(_met(keyed).join(crowded, MEET, "left_anti").drop("k_door")), hot).unionByName(own.join(ends, "did", "left"))
     uid = F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("in_lo") == F.col("in_hi"), F.col("in_lo"))
     reason = F.when(~_supported(), "unsupported_transport").when(F.col("lo").isNull(), "no_flow_match").when(uid.isNull(), "ambiguous_flow_match")
     how = F.when(reason.isNull(), F.when(F.col("lo") == F.col("hi"), "lone").otherwise("clock"))
-    return dets.join(seen, "did", "left").withColumns({"uid": uid, "reason": reason, "how": how}).drop("lo", "hi", "in_lo", "in_hi")
+    return seen.withColumns({"uid": uid, "reason": reason, "how": how}).drop("lo", "hi", "in_lo", "in_hi")
 
 
 def counts(placed: DataFrame, flows: DataFrame) -> DataFrame:

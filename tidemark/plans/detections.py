@@ -57,7 +57,7 @@ def placement_counts(spark, sf_dir):
 
 def bidirectional_candidates(spark, sf_dir):
     v = views(spark, sf_dir)
-    return correlate.candidates(v["dets"], v["flows"]).select("did", "uid").distinct().groupBy("did").agg(F.count("*").alias("candidates"), F.min("uid").alias("first_uid"))
+    return correlate.candidate_counts(v["dets"], v["flows"])
 
 
 def label_consolidation(spark, sf_dir):
