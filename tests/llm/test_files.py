@@ -302,6 +302,21 @@ def test_order_minhash(spark):
     assert np.mean([got[10 + i]["near_edited"] for i in range(20)]) > 0.08 and np.mean([got[10 + i]["near_next"] for i in range(19)]) < 0.02
 
 
+def test_every_byte_begins_a_kmer(spark, monkeypatch):
+    """No place of a text is left out, and what is looked at first changes no fingerprint."""
+    rng = random.Random(8)
+    texts = ["", "a", "plain text of some length", "\u00e9t\u00e9 \u4e2d\u6587 x", "".join(rng.choices("abcd \u00e9", k=900)), "again and again " * 60, " ".join(f"w{rng.randrange(400)}" for _ in range(900))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select("text", orderminhash.kmers(F.col("text")).alias("p"))
+    for r in df.collect():
+        data = r["text"].encode()
+        assert [(x & (1 << 31) - 1, x >> 31 & 2**33 - 1) for x in r["p"]] == [(i + 1, xxhash.xxh64_intdigest(data[i : i + 12].decode("latin-1").encode(), 42) % 2**33) for i in range(len(data))]
+    seen = []
+    for first in (10**6, 24, 4, 1):
+        monkeypatch.setattr(orderminhash, "FIRST", first)
+        seen.append(sorted((r["text"], tuple(r["c"])) for r in orderminhash.components(df, {"c": "p"}).collect()))
+    assert all(x == seen[0] for x in seen) and len(seen[0]) == len(texts)
+
+
 def test_an_inserted_character_is_a_small_edit(spark):
     rng = random.Random(6)
     for text in ("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=2_000)), "".join(rng.choices("bdfz", k=2_000)), "".join(chr(0x4E00 + rng.randrange(3_000)) for _ in range(1_000))):

@@ -1,10 +1,8 @@
 """Order MinHash fingerprints of documents. DataFrame functions only.
 
-k-mers are overlapping runs of ``K`` bytes of a text (fewer at its end).  They
-begin at anchors: at each byte of one residue class, and at each byte that has
-no such byte among the ``GAP`` before it.  Anchors depend on nothing but the
-bytes at hand, so an edit disturbs the k-mers around it and no others, with or
-without spaces in the text.
+k-mers are all overlapping runs of ``K`` bytes of a text, one from each byte on
+(fewer bytes at its end), so an edit disturbs the k-mers around it and no
+others, with or without spaces in the text.
 
 The n-th occurrence of a k-mer is an element of its own.  One hash orders the
 elements (the permutation) and deals them to ``SIZE`` parts.  Of each part the
@@ -26,15 +24,14 @@ from pyspark.sql import functions as F
 from . import store
 
 K, SIZE, TUPLE = 12, 64, 2
-#: Anchors are the bytes that are ``AT`` modulo ``EVERY``, and those without such a byte among the ``GAP`` before them.
-EVERY, AT, GAP = 4, 1, 31
+#: k-mers begin at the bytes that are ``AT`` modulo ``EVERY``, and those without such a byte among the ``GAP`` before them: at every byte.
+EVERY, AT, GAP = 1, 0, 31
 #: Characters of one range of neighbouring documents, ranges of one task, and ranges beyond which their number grows by its square root.
 RUN, RUNS, MANY = 1_000_000, 4, 10_000
 _PLACE = 31
 _PARTS = SIZE.bit_length() - 1
-_ANCHORS = "".join(f"\\x{b:02x}" for b in range(256) if b % EVERY == AT)
-#: Over a text whose characters are bytes, from one anchor to the next; a short text without an anchor has one at its start.
-KMER = rf"(?s)(?:\A(?=[^{_ANCHORS}]{{1,{GAP}}}\z)|(?<=[^{_ANCHORS}]{{{GAP}}})|[^{_ANCHORS}]{{0,{GAP}}}+)(?=(.{{1,{K}}}))."
+#: k-mers of each part that are looked at first, about; see :func:`components`.
+FIRST = 24
 
 
 def _long(x: int) -> Column:
@@ -43,8 +40,14 @@ def _long(x: int) -> Column:
 
 def kmers(text: Column) -> Column:
     """The k-mers of ``text`` in text order, each as ``hash << 31 | place``."""
-    found = F.regexp_extract_all(F.decode(text.cast("binary"), "ISO-8859-1"), F.lit(KMER), F.lit(1))
-    return F.transform(found, lambda x, i: F.shiftleft(F.xxhash64(x), _PLACE).bitwiseOR((i + 1).cast("bigint")))
+    number = lambda h, i: F.shiftleft(F.xxhash64(h), _PLACE).bitwiseOR(i.cast("bigint"))
+    places, data = F.sequence(F.lit(1), F.greatest(F.octet_length(text), F.lit(1))), text.cast("binary")
+    # The bytes are a lambda's own, so that they aren't taken from the text again for each k-mer.
+    plain = F.flatten(F.transform(F.array(data), lambda b: F.transform(places, lambda i: number(F.substring(b, i, F.lit(K)), i))))
+    # A byte's character is itself in ASCII; in other texts bytes are hashed as the characters of ISO-8859-1.
+    other = F.transform(F.regexp_extract_all(F.decode(data, "ISO-8859-1"), F.lit(rf"(?s)(?=(.{{1,{K}}}))."), F.lit(1)), lambda x, i: number(x, i + 1))
+    # Neither array can have nulls, which makes the sort after it several times as fast.
+    return F.when((F.length(text) > 0) & (F.length(text) == F.octet_length(text)), plain).otherwise(other)
 
 
 def _same(a: Column, b: Column, bits: int) -> Column:
@@ -95,11 +98,21 @@ def components(df: DataFrame, columns: dict[str, str]) -> DataFrame:
         nonlocal df
         df = df.withColumns({f"{c}_{name}": f(c) for c in columns for name, f in made.items()}).drop(*(f"{c}_{u}" for c in columns for u in use))
 
+    low = 64 - _PARTS
+    top, within = _long(1 << low), lambda x: x.bitwiseAND(_long((1 << low) - 1))
+    old = lambda c, x, i: F.coalesce(_same(x, F.get(f"{c}_s", i - 1), _PLACE), F.lit(False))
+    merged = lambda c, new: F.sort_array(F.concat(new, f"{c}_n"))
+
     df = df.withColumns({f"{c}_s": F.sort_array(p) for c, p in columns.items()}).drop(*columns.values())
-    again = lambda c: F.zip_with(F.slice(f"{c}_s", 2, F.greatest(F.size(f"{c}_s") - 1, F.lit(0))), f"{c}_s", lambda b, a: F.when(_same(a, b, _PLACE), F.coalesce(b, _long(0))).otherwise(_long(0)))
-    step({"r": lambda c: F.array_except(again(c), F.array(_long(0)))}, [])
-    step({"d": lambda c: F.sort_array(F.concat(F.array_except(f"{c}_s", f"{c}_r"), _numbered(f"{c}_r")))}, ["s", "r"])
-    step({"c": lambda c: _leading(f"{c}_d")}, ["d"])
+    step({"r": lambda c: F.filter(f"{c}_s", lambda x, i: old(c, x, i))}, [])
+    step({"m": lambda c: F.size(f"{c}_s") - F.size(f"{c}_r"), "n": lambda c: _numbered(f"{c}_r")}, ["r"])
+    # Of a long text only what is low in its part is sorted again.  If that gives each part all its elements, and they are low, no other comes before them; else all are sorted.
+    step({"b": lambda c: F.when(F.col(f"{c}_m") <= SIZE * FIRST, top).otherwise((top / F.col(f"{c}_m")).cast("bigint") * (SIZE * FIRST))}, ["m"])
+    step({"d": lambda c: merged(c, F.filter(f"{c}_s", lambda x, i: (within(x) < F.col(f"{c}_b")) & ~old(c, x, i)))}, [])
+    step({"e": lambda c: _leading(f"{c}_d")}, ["d"])
+    found = lambda c: (F.col(f"{c}_b") == top) | ((F.size(f"{c}_e") == SIZE * TUPLE) & F.forall(f"{c}_e", lambda x: within(x) < F.col(f"{c}_b")))
+    step({"g": lambda c: F.when(found(c), F.array().cast("array<bigint>")).otherwise(merged(c, F.filter(f"{c}_s", lambda x, i: ~old(c, x, i)))), "f": found}, ["s", "n", "b"])
+    step({"c": lambda c: F.when(F.col(f"{c}_f"), F.col(f"{c}_e")).otherwise(_leading(f"{c}_g"))}, ["e", "f", "g"])
     return df.withColumns({c: _tuples(f"{c}_c") for c in columns}).drop(*(f"{c}_c" for c in columns))
 
 
