@@ -21,9 +21,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces whose ids are kept.
-KEEP = 1_200_000
+KEEP = 300_000
 #: Characters encoded at a time, but for a longer text.
-CHUNK = 3_000_000
+CHUNK = 1_000_000
 #: The steps before the pieces of the two kinds of vocabulary for which cutting is known to change nothing.
 STEPS = {
     True: (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}),
