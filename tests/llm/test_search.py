@@ -385,6 +385,16 @@ def test_similar_documents_are_joined(spark):
     assert all(want[i] == want[c] for i, c in got.items())  # nothing is joined that has no chain of pairs
 
 
+def test_fingerprints_bring_together_what_shares_no_band(spark):
+    """Eight of ten shingles in common, fingerprints four bits apart, and no band of minima in common."""
+    words = " ".join(f"w23692x{i}" for i in range(12))
+    texts = [f"{words} left", f"{words} right", "nothing of the kind is said in this one at all"]
+    a, b, _ = (simhash._features(simhash.shingles(t)) for t in texts)
+    assert ((a[1] ^ b[1]) & (2**64 - 1)).bit_count() == 4 and not set(a[3]) & set(b[3])
+    assert {r["doc_id"]: r["component_id"] for r in simhash.alike(docs(spark, texts)).collect()} == {0: 0, 1: 0, 2: 2}
+    assert [r["doc_id"] for r in simhash.keep_unlike(docs(spark, texts)).orderBy("doc_id").collect()] == [0, 2]
+
+
 def test_pairs_that_fail_are_followed_by_others():
     """Sketches that look alike though the sets aren't: each round gives others, until none is left."""
     rng = np.random.default_rng(4)

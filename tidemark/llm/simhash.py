@@ -17,9 +17,10 @@ the triangle bound leaves together.  Trees only steer the work: any tree gives
 the same links, and a shard that turns out large is cut into blocks.
 
 The pipeline's stage, :func:`keep_unlike`, links documents whose sets of 5-word
-shingles have a Jaccard similarity of 0.8 or more.  Bands of minima are the keys
-under which such sets meet; fingerprints and sketches take the chance meetings
-out, and the shingles themselves decide.  Of a large group not all pairs are
+shingles have a Jaccard similarity of 0.8 or more.  Sets meet if the trees above
+connect their fingerprints, or if they share a band of minima (at 0.8,
+fingerprints may be 20 bits apart, and no tree prunes that far); fingerprints and
+sketches take the chance meetings out, and the shingles themselves decide.  Of a large group not all pairs are
 verified, but only as many as it takes: see :func:`alike`.
 """
 
@@ -402,6 +403,12 @@ def candidates(home: tuple, asked: tuple, same: bool, radius: int, count: int, t
     return got[0], got[1]
 
 
+def by_fingerprint(sets: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``sets(sig, fp)`` -> sig, key: one key for all whose fingerprints links within ``radius`` connect, as in :func:`near_duplicates`."""
+    near = components.connected(links(store.table(sets.select("fp").distinct(), "distinct"), radius), SMALL)
+    return sets.join(near.withColumnRenamed("node", "fp"), "fp", "left").select("sig", F.xxhash64(F.coalesce("root", "fp")).alias("key"))
+
+
 def _neighbours(members: DataFrame) -> DataFrame:
     """``u, v``: sets that follow each other within a group, in an order that spreads any group over tasks."""
 
@@ -467,7 +474,8 @@ def _met(open_: DataFrame, tried: DataFrame, radius: int, count: int) -> DataFra
 def alike(docs: DataFrame, radius: int = WIDE, least: float = LIKE, part: int = PART) -> DataFrame:
     """``docs(doc_id, text)`` -> doc_id, component_id: linked by the Jaccard similarity of their shingles.
 
-    Equal sets are one from the start.  Sets that share a band meet.  First those
+    Equal sets are one from the start.  Sets whose fingerprints are connected, and
+    sets that share a band, meet.  First those
     that stand next to each other in a group are verified, which ties most groups
     of copies together at a linear cost.  Then, round by round, groups that still
     have several components are compared, and of the pairs that may be alike and
@@ -482,7 +490,7 @@ def alike(docs: DataFrame, radius: int = WIDE, least: float = LIKE, part: int =
     """
     own = store.table(docs.select("doc_id", F.xxhash64("text").alias("whole"), _features_udf("text").alias("x")).select("doc_id", "whole", "x.*"), "features")
     first = store.table(own.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.min("whole").alias("whole"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands")), "sets")
-    banded = first.select("sig", F.explode("bands").alias("key"))
+    banded = first.select("sig", F.explode("bands").alias("key")).unionByName(by_fingerprint(first.where("size(bands) > 0")))
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = store.table(banded.join(shared, "key"), "members")
     wanted = members.select("sig").distinct()
