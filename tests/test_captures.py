@@ -6,6 +6,7 @@ import random
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.sources import captures
 
@@ -167,3 +168,17 @@ def test_kept_interfaces_and_refusals(spark, tmp_path):
     assert (got["m"]["snaplens"], got["m"]["discarded_packets"], got["m"]["discarded_link_types"], got["m"]["input_status"]) == ([96, 65535], 1, ["RAW"], "partial")
     assert got["m"]["warnings"] == ["1 packets left out, of link types RAW"]
     assert got["n"]["fault"].startswith("pcapng cut off at") and got["n"]["input_status"] is None and got["n"]["warnings"] is None
+
+
+def test_files_are_read_by_many_tasks_and_packets_are_not_sorted(spark, tmp_path):
+    header = struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 65535, 1)
+    for k in range(24):
+        (tmp_path / f"f{k}").write_bytes(header + b"".join(struct.pack("<IIII", 1_700_000_000 + i, k, 40, 40) + bytes(40) for i in range(50)))
+    rows = captures.read(spark, str(tmp_path))
+    assert rows.where("pos is not null").select(F.spark_partition_id()).distinct().count() > 1
+    facts = captures.facts(rows)
+    assert {(r["packets"], r["last_us"] - r["first_us"]) for r in facts.collect()} == {(50, 49_000_000)} and facts.count() == 24
+    # What sorts has nothing but rows of files, or of link types of files, below it.
+    plan = captures.facts(rows.where("pos is not null"))._jdf.queryExecution().sparkPlan().toString()
+    per_packet = [line for line in plan.splitlines() if "Aggregate(" in line and "partial_" in line and "ts_us" in line]
+    assert per_packet and all("HashAggregate(" in line and "ObjectHashAggregate(" not in line for line in per_packet)

@@ -39,6 +39,8 @@ LINK_TYPES = {0: "NULL", 1: "ETHERNET", 101: "RAW", 105: "IEEE802_11", 108: "LOO
 ROW = "path string, pos long, link_type int, snaplen long, ts_us long, caplen long, truncated_at long, fault string, interfaces array<struct<link_type: int, snaplen: long>>, container string"
 #: Bytes of a range, and of what is read at once.
 SPLIT, CHUNK = 64 << 20, 1 << 18
+#: Tasks that read captures, at most.
+MOST = 20_000
 #: Headers that must follow each other before a guess is tried; bytes of an interface's options that are looked at.
 CHAIN, OPTIONS = 24, 4096
 
@@ -438,8 +440,11 @@ def read(spark: SparkSession, path: str, split: int = SPLIT) -> DataFrame:
     ``path`` is a file or a folder of files.  Packets before a fault are given;
     those of a gzip file too, up to where it is damaged.
     """
-    plan = ranges(spark, path, split).groupBy("path").applyInArrow(_plan, PLAN)
-    return plan.repartition("path", "part").mapInArrow(_packets, ROW)
+    # A range is a small row that stands for much work, which adaptive execution would put into one task.
+    sizes = [size for _, size in _files(path)]
+    tasks = max(1, min(sum(-(-size // split) for size in sizes), MOST, max(spark.sparkContext.defaultParallelism, 4 * sum(sizes) // split)))
+    plan = ranges(spark, path, split).repartition(tasks, "path").groupBy("path").applyInArrow(_plan, PLAN)
+    return plan.repartition(tasks, "path", "part").mapInArrow(_packets, ROW)
 
 
 def link_type_name(n: Column) -> Column:
@@ -456,14 +461,15 @@ def facts(rows: DataFrame) -> DataFrame:
     left out safely.  A pcap that is cut off, and packets of other link types,
     make it ``partial``, with a warning each.
     """
-    by = rows.where("pos is not null").groupBy("path", "link_type").agg(F.count("*").alias("n"))
-    top = by.groupBy("path").agg(
-        F.max_by(F.struct("link_type", "n"), F.struct("n", -F.col("link_type"))).alias("top"), F.sum("n").alias("packets"), F.array_sort(F.collect_set("link_type")).alias("types")
+    # Packets are only counted by numbers, a file's own row has the rest: texts and arrays among their aggregates would have every packet sorted.
+    by = rows.where("pos is not null").groupBy("path", "link_type").agg(
+        F.count("*").alias("n"), F.min("pos").alias("p0"), F.max("pos").alias("p1"), F.min_by("ts_us", "pos").alias("t0"), F.max_by("ts_us", "pos").alias("t1")
     )
-    own = rows.groupBy("path").agg(
-        F.min_by("ts_us", "pos").alias("first_us"), F.max_by("ts_us", "pos").alias("last_us"), F.max("truncated_at").alias("truncated_at"), F.max("fault").alias("fault"),
-        F.max(F.when(F.col("pos").isNull(), F.col("interfaces"))).alias("interfaces"), F.max("container").alias("container"),
+    top = by.groupBy("path").agg(
+        F.max_by(F.struct("link_type", "n"), F.struct("n", -F.col("link_type"))).alias("top"), F.sum("n").alias("packets"), F.array_sort(F.collect_set("link_type")).alias("types"),
+        F.min_by("t0", "p0").alias("first_us"), F.max_by("t1", "p1").alias("last_us"),
     )
+    own = rows.where("pos is null").groupBy("path").agg(F.max("truncated_at").alias("truncated_at"), F.max("fault").alias("fault"), F.max("interfaces").alias("interfaces"), F.max("container").alias("container"))
     out = own.join(top, "path", "left")
     packets, kept = F.coalesce("packets", F.lit(0)), F.col("top.link_type")
     lens = lambda x: F.array_sort(F.array_distinct(F.transform(x, lambda i: i["snaplen"])))
