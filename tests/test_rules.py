@@ -102,6 +102,21 @@ def test_continuations_agree_with_a_loop(spark):
     assert got == {s: _joined(ls) for s, ls in all_.items()}
 
 
+def test_one_source_is_joined_by_many_tasks(spark):
+    """Blocks of line numbers cut runs anywhere; a source's lines aren't one task's."""
+    rng = random.Random(5)
+    lines = rng.choices(["# note \\", "# note", "alert a; \\", "b; \\", "c", ""], k=400)
+    df = spark.createDataFrame([("s", 3 * i, t) for i, t in enumerate(lines)] + [(None, None, "alone \\"), (None, 7, "end")], "source string, line_no long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for block in (1, 7, 50, 10**6):
+            got = rules.logical_lines(df, block).withColumn("task", F.spark_partition_id()).orderBy("source", "line_no").collect()
+            assert [r["text"] for r in got if r["source"]] == _joined(lines) and [(r["line_no"], r["text"]) for r in got if not r["source"]] == [(None, "alone end")]
+            assert len({r["task"] for r in got if r["source"]}) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_admission_is_a_partition(spark):
     ok = "metadata:confidence High, signature_severity Major; "
     texts = [f"{HEAD}({ok}sid:1;)", f"{HEAD}(sid:2;)", f"{HEAD}({ok}classtype:policy-violation; sid:3;)", f"alert tcp any any -> !$HOME_NET any ({ok}sid:4;)", f'{HEAD}(msg:"👁 x"; {ok}sid:5;)', f"#{HEAD}(sid:6;)", "# words", f"{HEAD}({ok}ja3.hash; sid:7;)"]

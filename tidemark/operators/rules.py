@@ -19,6 +19,8 @@ BRAND = "🐾"
 
 _OPTION = r'(?:[^;"\\]|\\.|"(?:[^"\\]|\\.)*")+'
 _LEAD = r"^(?:[ \t\n\x0B\f\r\x1C-\x1F]|[\p{Mn}\p{Cf}])*([\p{So}ℹ])"
+#: Line numbers of a source that one task puts in order.
+BLOCK = 100_000
 
 
 def state(text: Column) -> Column:
@@ -114,22 +116,28 @@ def address_indicator(text: Column) -> Column:
     return F.coalesce((F.size(found) > 0) & ~F.exists(found, detects), F.lit(False))
 
 
-def logical_lines(lines: DataFrame) -> DataFrame:
+def logical_lines(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     r"""Joins lines continued with ``\`` per source; ``lines(source, line_no, text)``.
 
-    A comment never begins a continuation, but one inside it is part of it.
+    A comment never begins a continuation, but one inside it is part of it.  A
+    source is spread over tasks: by blocks of line numbers, and then by runs.
     """
-    w = Window.partitionBy("source").orderBy("line_no")
     slash = F.rtrim("text").endswith("\\")
     comment = F.ltrim("text").startswith("#")
-    # (1) runs of lines that end in a backslash; (2) within a run all lines from its first rule line on continue.
-    runs = lines.withColumn("__run", F.sum(F.when(slash, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    within = Window.partitionBy("source", F.coalesce("__run", F.lit(0))).orderBy("line_no")
-    going = runs.withColumn("__on", slash & (F.max((~comment).cast("int")).over(within) == 1))
-    starts = going.withColumn("__start", ~F.coalesce(F.lag("__on").over(w), F.lit(False)))
-    grouped = starts.withColumn("__group", F.sum(F.col("__start").cast("int")).over(w))
+    # (1) Runs of lines that end in a backslash, with the line that ends them, by how many ended before: in earlier blocks, and in the line's own.
+    ended = F.when(slash, 0).otherwise(1)
+    blocks = lines.withColumns({"__source": F.struct("source"), "__block": F.struct(F.expr(f"line_no div {block}"))})
+    before = Window.partitionBy("__source").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.groupBy("__source", "__block").agg(F.sum(ended).alias("__n")).select("__source", "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("__source", "__block").orderBy("line_no")
+    runs = blocks.withColumn("__own", F.coalesce(F.sum(ended).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).join(carried, ["__source", "__block"])
+    # (2) Within a run all lines from its first rule line on continue; the line before a run's first one has ended.
+    within = Window.partitionBy("source", "__run").orderBy("line_no")
+    going = runs.withColumn("__run", F.col("__base") + F.col("__own")).withColumn("__on", slash & (F.max((~comment).cast("int")).over(within) == 1))
+    starts = going.withColumn("__start", ~F.coalesce(F.lag("__on").over(within), F.lit(False)))
+    grouped = starts.withColumn("__group", F.sum(F.col("__start").cast("int")).over(within))
     part = F.struct("line_no", F.when(F.col("__on"), F.regexp_replace("text", r"\\\s*$", "")).otherwise(F.col("text")).alias("text"), F.col("__on").alias("open"))
-    joined = grouped.groupBy("source", "__group").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    joined = grouped.groupBy("source", "__run", "__group").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     last = F.element_at("parts", -1)
     return joined.select("source", F.col("parts")[0]["line_no"].alias("line_no"), F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), last["open"].alias("dangling"))
 
