@@ -473,3 +473,18 @@ def test_pipeline(spark):
     placed = {r["doc_id"] for r in docs_.collect()}
     assert placed == kept[-1] and len(placed) > 100 and len(kept[0]) < read.count()
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).select("doc_id", "piece", "ids_crc32").collect())) == sorted(map(tuple, docs_.select("doc_id", "piece", "ids_crc32").collect()))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_frequent_pieces_stay_when_others_go(name):
+    """A full store drops what isn't asked for, so that frequent pieces aren't encoded again."""
+    encoder = tokens.Encoder(tokens.vocabulary(name), name.startswith("byte"), keep=20)
+    often, asked = "some words that every text has", []
+    for i in range(5):
+        words, plain = encoder._words, encoder._encode
+        encoder._words = lambda w, lead: asked.append(set(w)) or words(w, lead)
+        text = f"x {often} " + " ".join(f"rare{i}x{k}" for k in range(30))
+        assert list(encoder.encode([text])) == plain([text])
+        encoder._words = words
+        assert len(encoder.rest) <= 40
+    assert set(often.split()) <= set().union(*asked) and sum("words" in w for w in asked) == 1

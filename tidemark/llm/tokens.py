@@ -95,8 +95,8 @@ class Encoder:
         return out
 
     def _learn(self, known: dict[str, bytes], asked: set[str], lead: str) -> dict[str, bytes]:
-        if len(known) > self.keep:
-            known = {}
+        if len(known) > self.keep:  # what is asked again stays
+            known = {w: known[w] for w in asked if w in known}
         if len(self.marks) > self.keep:
             self.marks = {}
         bare, marked = set(), []
