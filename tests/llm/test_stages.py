@@ -42,3 +42,19 @@ def test_awkward_rows(spark, folder, name, stage):
 @pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
 def test_no_rows(spark, folder, name, stage):
     assert stage(spark, spark.createDataFrame([], SCHEMA), folder).count() == 0
+
+
+def test_a_process_keeps_things_of_one_stage():
+    import weakref
+
+    import pandas as pd
+
+    from tidemark.llm import simhash, tokens
+
+    path = tokens.vocabulary("word_bpe_49k.json")
+    held = weakref.ref(tokens.encoder(path, False))
+    assert tokens.encoder(path, False) is held()
+    (got,) = simhash._features_udf.func(iter([pd.Series(["one two three four five six"])]))
+    assert len(got) == 1 and held() is None
+    again = tokens.encoder(path, False)
+    assert b"".join(again.encode(["one two"])) and tokens.encoder(path, False) is again

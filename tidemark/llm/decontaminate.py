@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import grams, store
+from . import grams, kept, store
 
 Q = 10
 RATE = 0.08
@@ -178,15 +178,13 @@ def _blocks(items: DataFrame, block: int) -> list[DataFrame]:
     return [known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else known for b in range(blocks)]
 
 
-_KEPT: dict[str, tuple] = {}
-
-
 def _searcher(name: str, shared: Broadcast, q: int, rate: float) -> tuple[Searcher, dict[int, int]]:
     """The index of a block and its items' lengths, made once in a Python process; only the last block's is kept."""
-    if name not in _KEPT:
-        _KEPT.clear()
-        _KEPT[name] = Searcher(shared.value, q, rate), {i: len(normal(t)) for i, t in shared.value}
-    return _KEPT[name]
+    held = kept.of("searcher")
+    if name not in held:
+        held.clear()
+        held[name] = Searcher(shared.value, q, rate), {i: len(normal(t)) for i, t in shared.value}
+    return held[name]
 
 
 def _copies(searcher: Searcher, texts: pd.Series, short: bool) -> Iterator[tuple[int, int, int, int, int]]:

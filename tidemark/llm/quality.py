@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import kept
+
 #: Labelled rows that are fitted, at most (those with the least hash of doc_id).
 SAMPLE = 50_000
 BINS, PAIR_BINS, PAIRS = 48, 12, 8
@@ -186,6 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows of ``docs`` that aren't held out, ``sample`` of them at most."""
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept.of("quality")
         for f in frames:
             yield pd.DataFrame({"id": f["id"], "x": [features(t) for t in f["text"]], "y": f["y"]})
 
@@ -201,6 +204,7 @@ def scores(model: Model, text: str = "text") -> F.Column:
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept.of("quality")
         for s in texts:
             yield pd.Series(model.score(np.array([features(t) for t in s], float).reshape(-1, len(FEATURES))))
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import components, store
+from . import components, kept, store
 
 SEED = 42
 WORDS = 4
@@ -84,6 +84,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 @F.pandas_udf(T.LongType())
 def fingerprint_udf(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Fingerprints as signed 64-bit integers."""
+    kept.of("simhash")
     for s in texts:
         yield pd.Series(np.array([fingerprint(t) for t in s], np.uint64).view(np.int64))
 
@@ -226,6 +227,7 @@ def links(fps: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, shard: int
     tree, _ = fit(np.array(few, np.int64).view(np.uint64), total, radius, shard)
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept.of("simhash")
         for f in frames:
             fp = f["fp"].to_numpy(np.int64)
             for at in range(0, len(fp), 10_000):
@@ -307,6 +309,7 @@ def _features(hashes: np.ndarray) -> tuple[int, int, bytes, list[int]]:
 
 @F.pandas_udf(T.StructType([T.StructField("sig", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("sketch", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]))
 def _features_udf(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kept.of("simhash")  # nothing, but what other operators keep goes
     for s in texts:
         yield pd.DataFrame([_features(shingles(t)) for t in s], columns=["sig", "fp", "sketch", "bands"])
 
@@ -314,11 +317,13 @@ def _features_udf(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 @F.pandas_udf(T.BinaryType())
 def _shingles_udf(texts: pd.Series) -> pd.Series:
     """Shingles by 32 bits of their hashes."""
+    kept.of("simhash")
     return pd.Series([np.unique(shingles(t).astype("<u4")).tobytes() for t in texts])
 
 
 @F.pandas_udf(T.DoubleType())
 def _jaccard_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    kept.of("simhash")
     out = []
     for x, y in zip(a, b):
         x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
@@ -444,6 +449,7 @@ def _met(open_: DataFrame, tried: DataFrame, radius: int, count: int) -> DataFra
         return np.minimum(sig[i][h], sig[j][q]), np.maximum(sig[i][h], sig[j][q])
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept.of("simhash")
         rest = None
         for f in chain(frames, [None]):
             now = rest if f is None else f if rest is None else pd.concat([rest, f], ignore_index=True)

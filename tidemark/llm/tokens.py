@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from . import kept
+
 #: Pieces whose ids are kept.
 KEEP = 300_000
 #: Characters encoded at a time, but for a longer text.
@@ -170,13 +172,9 @@ class Encoder:
             yield self._encode([t])[0] if other else whole[x:y].tobytes()
 
 
-_KEPT: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, spaced: bool) -> Encoder:
-    """The encoder of this Python process; later tasks find what earlier ones have learned."""
-    key = (path, spaced)
-    if key not in _KEPT:
-        _KEPT[key] = Encoder(path, spaced)
-    return _KEPT[key]
-
+    """The encoder of this Python process; later tasks find what earlier ones have learned, until another operator's begin."""
+    held, key = kept.of("encoder"), (path, spaced)
+    if key not in held:
+        held[key] = Encoder(path, spaced)
+    return held[key]
