@@ -317,6 +317,15 @@ def test_every_byte_begins_a_kmer(spark, monkeypatch):
     assert all(x == seen[0] for x in seen) and len(seen[0]) == len(texts)
 
 
+@pytest.mark.parametrize("text", ["plain text, again and again and again", "\u00e9t\u00e9 \u4e2d\u6587 and more, and more", "short", "z"])
+def test_kmers_from_a_place_on(spark, text):
+    """The edited text's k-mers begin as the text's own, so the rest can be taken alone; arrays to be sorted can't have nulls."""
+    df = spark.createDataFrame([(text, n) for n in range(len(text.encode()))], "text string, n int").withColumn("n", F.coalesce("n", F.lit(0)))
+    both = df.select("n", orderminhash.kmers(F.col("text")).alias("p"), orderminhash.kmers(F.col("text"), F.col("n")).alias("q")).withColumn("c_r", orderminhash._repeated("p"))
+    assert all(r["q"] == r["p"][r["n"] :] for r in both.collect())
+    assert not any(both.withColumn("m", orderminhash._numbered("c_r")).schema[c].dataType.containsNull for c in ("p", "q", "c_r", "m"))
+
+
 def test_an_inserted_character_is_a_small_edit(spark):
     rng = random.Random(6)
     for text in ("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=2_000)), "".join(rng.choices("bdfz", k=2_000)), "".join(chr(0x4E00 + rng.randrange(3_000)) for _ in range(1_000))):

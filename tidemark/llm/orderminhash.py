@@ -38,33 +38,45 @@ def _long(x: int) -> Column:
     return F.lit(x).cast("bigint")
 
 
-def kmers(text: Column) -> Column:
-    """The k-mers of ``text`` in text order, each as ``hash << 31 | place``."""
+def kmers(text: Column, after: Column | int = 0) -> Column:
+    """The k-mers of ``text`` in text order, each as ``hash << 31 | place``; those that begin beyond the first ``after`` bytes (a column, fewer than all)."""
     number = lambda h, i: F.shiftleft(F.xxhash64(h), _PLACE).bitwiseOR(i.cast("bigint"))
-    places, data = F.sequence(F.lit(1), F.greatest(F.octet_length(text), F.lit(1))), text.cast("binary")
+    after = F.lit(after) if isinstance(after, int) else after
+    places, data = F.sequence(after + 1, F.greatest(F.octet_length(text), after + 1)), text.cast("binary")
     # The bytes are a lambda's own, so that they aren't taken from the text again for each k-mer.
     plain = F.flatten(F.transform(F.array(data), lambda b: F.transform(places, lambda i: number(F.substring(b, i, F.lit(K)), i))))
     # A byte's character is itself in ASCII; in other texts bytes are hashed as the characters of ISO-8859-1.
-    other = F.transform(F.regexp_extract_all(F.decode(data, "ISO-8859-1"), F.lit(rf"(?s)(?=(.{{1,{K}}}))."), F.lit(1)), lambda x, i: number(x, i + 1))
+    rest = F.decode(F.substring(data, after + 1, F.octet_length(text)), "ISO-8859-1")
+    other = F.transform(F.regexp_extract_all(rest, F.lit(rf"(?s)(?=(.{{1,{K}}}))."), F.lit(1)), lambda x, i: number(x, i + 1 + after))
     # Neither array can have nulls, which makes the sort after it several times as fast.
     return F.when((F.length(text) > 0) & (F.length(text) == F.octet_length(text)), plain).otherwise(other)
 
 
+def _none() -> Column:
+    """No numbers, in an array that can't have nulls either; a cast one could."""
+    return F.slice(F.array(_long(0)), 1, 0)
+
+
 def _same(a: Column, b: Column, bits: int) -> Column:
     return F.shiftrightunsigned(a.bitwiseXOR(b), bits) == 0
 
 
+def _repeated(name: str) -> Column:
+    """Of column ``name``, sorted k-mers, those that occurred before."""
+    x = F.col(name)
+    late = F.concat(F.array(F.lit(None).cast("bigint")), x)
+    return F.array_remove(F.zip_with(x, late, lambda b, a: F.coalesce(F.when(_same(a, b, _PLACE), b), _long(0))), _long(0))
+
+
 def _numbered(name: str) -> Column:
     """Of column ``name``, the sorted k-mers that occurred before: new ones, hashed with their occurrence."""
     r = F.col(name)
     starts = F.filter(F.sequence(F.lit(0), F.size(r) - 1), lambda j: ~F.coalesce(_same(F.get(r, j), F.get(r, j - 1), _PLACE), F.lit(False)))
-
-    def run(s: Column, e: Column) -> Column:
-        return F.transform(F.sequence(s, e - 1), lambda j: F.shiftleft(F.xxhash64(F.shiftrightunsigned(F.get(r, j), _PLACE), j - s), _PLACE).bitwiseOR(F.get(r, j).bitwiseAND(_long((1 << _PLACE) - 1))))
-
+    again = lambda x, k: F.shiftleft(F.xxhash64(F.shiftrightunsigned(x, _PLACE), k), _PLACE).bitwiseOR(x.bitwiseAND(_long((1 << _PLACE) - 1)))
+    run = lambda s, e: F.coalesce(F.transform(F.slice(r, s + 1, e - s), again), _none())
     ends = lambda a: F.concat(F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0))), F.array(F.size(r)))
     each = F.get(F.transform(F.array(starts), lambda a: F.zip_with(a, ends(a), run)), 0)
-    return F.when(F.size(r) == 0, F.array().cast("array<bigint>")).otherwise(F.flatten(each))
+    return F.coalesce(F.when(F.size(r) > 0, F.flatten(each)), _none())
 
 
 def _leading(name: str) -> Column:
@@ -100,18 +112,18 @@ def components(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
     low = 64 - _PARTS
     top, within = _long(1 << low), lambda x: x.bitwiseAND(_long((1 << low) - 1))
-    old = lambda c, x, i: F.coalesce(_same(x, F.get(f"{c}_s", i - 1), _PLACE), F.lit(False))
     merged = lambda c, new: F.sort_array(F.concat(new, f"{c}_n"))
 
     df = df.withColumns({f"{c}_s": F.sort_array(p) for c, p in columns.items()}).drop(*columns.values())
-    step({"r": lambda c: F.filter(f"{c}_s", lambda x, i: old(c, x, i))}, [])
-    step({"m": lambda c: F.size(f"{c}_s") - F.size(f"{c}_r"), "n": lambda c: _numbered(f"{c}_r")}, ["r"])
+    step({"r": lambda c: _repeated(f"{c}_s")}, [])
+    step({"m": lambda c: F.size(f"{c}_s") - F.size(f"{c}_r"), "n": lambda c: _numbered(f"{c}_r")}, [])
     # Of a long text only what is low in its part is sorted again.  If that gives each part all its elements, and they are low, no other comes before them; else all are sorted.
     step({"b": lambda c: F.when(F.col(f"{c}_m") <= SIZE * FIRST, top).otherwise((top / F.col(f"{c}_m")).cast("bigint") * (SIZE * FIRST))}, ["m"])
-    step({"d": lambda c: merged(c, F.filter(f"{c}_s", lambda x, i: (within(x) < F.col(f"{c}_b")) & ~old(c, x, i)))}, [])
+    low_ones = lambda c: F.when(F.col(f"{c}_b") == top, F.col(f"{c}_s")).otherwise(F.filter(f"{c}_s", lambda x: within(x) < F.col(f"{c}_b")))
+    step({"d": lambda c: merged(c, F.array_except(low_ones(c), f"{c}_r"))}, [])
     step({"e": lambda c: _leading(f"{c}_d")}, ["d"])
     found = lambda c: (F.col(f"{c}_b") == top) | ((F.size(f"{c}_e") == SIZE * TUPLE) & F.forall(f"{c}_e", lambda x: within(x) < F.col(f"{c}_b")))
-    step({"g": lambda c: F.when(found(c), F.array().cast("array<bigint>")).otherwise(merged(c, F.filter(f"{c}_s", lambda x, i: ~old(c, x, i)))), "f": found}, ["s", "n", "b"])
+    step({"g": lambda c: F.when(found(c), _none()).otherwise(merged(c, F.array_except(f"{c}_s", f"{c}_r"))), "f": found}, ["s", "r", "n", "b"])
     step({"c": lambda c: F.when(F.col(f"{c}_f"), F.col(f"{c}_e")).otherwise(_leading(f"{c}_g"))}, ["e", "f", "g"])
     return df.withColumns({c: _tuples(f"{c}_c") for c in columns}).drop(*(f"{c}_c" for c in columns))
 
@@ -179,7 +191,10 @@ def fingerprint(docs: DataFrame, run: int = RUN) -> DataFrame:
     half = F.expr("cast(length(text) div 2 as int)")
     texts = led.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring(F.coalesce("next", "head"), F.lit(1), half)))
     facts = [F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")]
-    both = texts.select("run", "doc_id", "h", "head_c", *facts, kmers(F.col("text")).alias("p"), kmers(F.col("edited")).alias("q"))
+    # Both texts begin alike, and so do their k-mers, up to those that reach beyond what they share.
+    alike = F.greatest(F.octet_length(F.substring("text", F.lit(1), F.length("text") - half)) - (K - 1), F.lit(0))
+    own = texts.select("run", "doc_id", "h", "head_c", *facts, "edited", kmers(F.col("text")).alias("p"), alike.alias("alike"))
+    both = own.withColumn("q", F.concat(F.slice("p", F.lit(1), F.col("alike")), kmers(F.col("edited"), F.col("alike")))).drop("edited", "alike")
     done = components(both, {"own": "p", "other": "q"}).withColumn("next", F.coalesce(F.lead("own").over(within), "head_c"))
     text = lambda c: F.array_join(F.transform(c, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), ",")
     return done.select("doc_id", "n_chars", "edited_sha256", text("own").alias("fingerprint"), text("other").alias("edited_fingerprint"), likeness("own", "other").alias("near_edited"), likeness("own", "next").alias("near_next"))
